@@ -197,7 +197,7 @@ LINEAR_FORECAST = f"""
 linear_forecast AS (
   SELECT resource_type, resource_id, 'linear_regression' AS model, 'linear_regression' AS model_used,
          h.horizon_weeks, step, ds, yhat, yhat - 1.96 * sigma AS yhat_lower, yhat + 1.96 * sigma AS yhat_upper
-  FROM (SELECT resource_type, resource_id, sigma, step, CAST(max_ds + step AS DATE) AS ds,
+  FROM (SELECT resource_type, resource_id, sigma, step, CAST(max_ds + CAST(step AS INTEGER) AS DATE) AS ds,
                intercept + slope * (max_t + step) AS yhat
         FROM (SELECT *, unnest(generate_series(1, 84)) AS step FROM linear_fit WHERE status = 'ok')) f
   JOIN {HORIZONS} h ON f.step <= h.horizon_weeks * 7
@@ -243,7 +243,7 @@ seasonal_forecast AS (
   FROM (SELECT g.*, CASE WHEN g.model_used = 'seasonal'
                          THEN g.intercept + g.slope * (g.max_t + g.step) + coalesce(w._sw, 0.0) + coalesce(m._sm, 0.0)
                          ELSE g.intercept + g.slope * (g.max_t + g.step) END AS yhat
-        FROM (SELECT *, CAST(max_ds + step AS DATE) AS ds FROM
+        FROM (SELECT *, CAST(max_ds + CAST(step AS INTEGER) AS DATE) AS ds FROM
                 (SELECT *, unnest(generate_series(1, 84)) AS step FROM sfit WHERE model_used IS NOT NULL)) g
         LEFT JOIN weekday_eff w ON w.resource_type = g.resource_type AND w.resource_id = g.resource_id
                                AND w._dow = dayofweek(g.ds) + 1
