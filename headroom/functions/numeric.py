@@ -9,9 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POS_INF = F.lit(float("inf"))
-NEG_INF = F.lit(float("-inf"))
-NULL_DOUBLE = F.lit(None).cast("double")
+
+def pos_inf() -> Column:
+    return F.lit(float("inf"))
+
+
+def neg_inf() -> Column:
+    return F.lit(float("-inf"))
+
+
+def null_double() -> Column:
+    return F.lit(None).cast("double")
 
 
 def _c(col) -> Column:
@@ -20,7 +28,7 @@ def _c(col) -> Column:
 
 def nan_to_null(col) -> Column:
     """NaN -> NULL, everything else unchanged."""
-    return F.nanvl(_c(col), NULL_DOUBLE)
+    return F.nanvl(_c(col), null_double())
 
 
 def clip(col, lower: float | None = None, upper: float | None = None) -> Column:
@@ -37,8 +45,8 @@ def clip(col, lower: float | None = None, upper: float | None = None) -> Column:
 def pandas_div(num, den) -> Column:
     """num / den with float semantics instead of ANSI errors: x/0 -> +-inf, 0/0 -> missing."""
     n, d = _c(num), _c(den)
-    return (F.when(n.isNull() | d.isNull(), NULL_DOUBLE)
-            .when(d == 0, F.when(n > 0, POS_INF).when(n < 0, NEG_INF).otherwise(NULL_DOUBLE))
+    return (F.when(n.isNull() | d.isNull(), null_double())
+            .when(d == 0, F.when(n > 0, pos_inf()).when(n < 0, neg_inf()).otherwise(null_double()))
             .otherwise(n.cast("double") / d))
 
 

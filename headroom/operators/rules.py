@@ -19,7 +19,9 @@ from headroom.config import (
 from headroom.functions.numeric import pandas_div
 from headroom.schemas import COMPUTE, NETWORK, STORAGE, RECOMMENDATION_COLUMNS
 
-EMPTY_DETAILS = F.create_map().cast("map<string,double>")
+
+def empty_details() -> Column:
+    return F.create_map().cast("map<string,double>")
 
 
 def _details(key: str, value: Column) -> Column:
@@ -79,7 +81,7 @@ def rule_storage(current: DataFrame, peaks: DataFrame, th: Thresholds = Threshol
         F.when(is_none, F.lit(NO_ACTION)).otherwise(F.lit(INCREASE_STORAGE)),
         F.coalesce(F.col("c.risk"), F.lit(INFO)),
         F.col("current_value"), F.col("c.peak"), F.col("c.h"),
-        F.when(is_none, EMPTY_DETAILS).otherwise(_details("threshold", F.col("c.thr")))))
+        F.when(is_none, empty_details()).otherwise(_details("threshold", F.col("c.thr")))))
 
 
 def rule_compute(trends: DataFrame, th: Thresholds = Thresholds(), id_col: str = COMPUTE.id_col,
@@ -92,7 +94,7 @@ def rule_compute(trends: DataFrame, th: Thresholds = Thresholds(), id_col: str =
                        .otherwise(F.lit(DOWNSIZE_COMPUTE)))
                 .when(F.col("avg") >= th.compute_over_pct, F.lit(ENABLE_AUTOSCALING)).otherwise(F.lit(NO_ACTION)))
     risk = F.when(chronic, F.lit(WARNING)).when(F.col("avg") >= th.compute_over_pct, F.lit(CRITICAL)).otherwise(F.lit(INFO))
-    details = F.when(chronic, _details("days_below_threshold", F.col("below"))).otherwise(EMPTY_DETAILS)
+    details = F.when(chronic, _details("days_below_threshold", F.col("below"))).otherwise(empty_details())
     return g.select(*_rec(F.col(id_col), "compute", rec_type, risk, F.col("avg"), F.col("avg"), F.lit(0), details))
 
 
@@ -120,7 +122,7 @@ def rule_network(trends: DataFrame, th: Thresholds = Thresholds(), normalise_by:
         F.when(spike, F.lit(ENABLE_AUTOSCALING)).otherwise(F.lit(NO_ACTION)),
         F.when(spike, F.lit(WARNING)).otherwise(F.lit(INFO)),
         F.col("avg"), F.when(spike, F.col("mx")).otherwise(F.col("avg")), F.lit(0),
-        F.when(spike, _details("spike_days", F.col("spike_days"))).otherwise(EMPTY_DETAILS)))
+        F.when(spike, _details("spike_days", F.col("spike_days"))).otherwise(empty_details())))
 
 
 def recommend(trends: dict[str, DataFrame], forecasts: DataFrame, th: Thresholds = Thresholds(),

@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headroom.functions.numeric import NEG_INF, POS_INF
+from headroom.functions.numeric import neg_inf, pos_inf
 from headroom.schemas import COMPUTE, NETWORK, STORAGE, MetricKind
 
 
@@ -48,7 +48,7 @@ def growth_rate(value_col: str, w, fill: str = "ffill") -> Column:
     else:
         raise ValueError(f"fill must be 'ffill' or 'none', got {fill!r}")
     return (F.when(cur.isNull() | prev.isNull(), F.lit(0.0))
-            .when(prev == 0, F.when(cur == 0, F.lit(0.0)).when(cur > 0, POS_INF).otherwise(NEG_INF))
+            .when(prev == 0, F.when(cur == 0, F.lit(0.0)).when(cur > 0, pos_inf()).otherwise(neg_inf()))
             .otherwise(cur / prev - F.lit(1.0)))
 
 
