@@ -76,7 +76,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", "\"").csv(path)
     else:
         w.format(fmt).save(path)
     return path, int(obs.get["rows"])
