@@ -47,12 +47,26 @@ def fit_linear(series: DataFrame) -> DataFrame:
         n.alias("n"), n_y.alias("n_y"),
         F.regr_intercept("y", "t").alias("intercept"), F.regr_slope("y", "t").alias("slope"),
         F.regr_syy("y", "t").alias("_syy"), F.regr_sxy("y", "t").alias("_sxy"), F.regr_sxx("y", "t").alias("_sxx"),
-        F.max("t").alias("max_t"), F.max("ds").alias("max_ds"))
+        F.max("t").alias("max_t"), F.max("ds").alias("max_ds"), F.max_by("y", "ds").alias("last_y"))
     return (fit.withColumn("sigma", _linear_sigma(F.col("_syy"), F.col("_sxy"), F.col("_sxx"), F.col("n")))
             .withColumn("status", linear_status(F.col("n"), F.col("n_y")))
             .drop("_syy", "_sxy", "_sxx"))
 
 
+def linear_yhat(step: Column) -> Column:
+    """Linear prediction ``step`` days after the last point of a fit row."""
+    return F.col("intercept") + F.col("slope") * (F.col("max_t") + step)
+
+
+def seasonal_yhat(step: Column) -> Column:
+    """Seasonal prediction ``step`` days ahead (linear where the fit fell back to linear)."""
+    ds = F.date_add(F.col("max_ds"), step)
+    wk = F.coalesce(F.element_at("weekday_effect", F.dayofweek(ds)), F.lit(0.0))
+    mo = F.coalesce(F.element_at("month_effect", F.month(ds)), F.lit(0.0))
+    trend = linear_yhat(step)
+    return F.when(F.col("model_used") == SEASONAL, trend + wk + mo).otherwise(trend)
+
+
 def _future(fit: DataFrame, horizons_weeks: Sequence[int], yhat_of) -> DataFrame:
     """Explode each eligible fit to the longest horizon and tag the horizons each step belongs to."""
     horizons = sorted({int(h) for h in horizons_weeks if int(h) > 0})
@@ -62,7 +76,7 @@ def _future(fit: DataFrame, horizons_weeks: Sequence[int], yhat_of) -> DataFrame
     hs = F.array(*[F.lit(h) for h in horizons])
     steps = (fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(max_days))))
              .withColumn("ds", F.date_add("max_ds", F.col("step"))))
-    steps = steps.withColumn("yhat", yhat_of(steps))
+    steps = steps.withColumn("yhat", yhat_of(F.col("step")))
     return (steps.withColumn("horizon_weeks", F.explode(F.filter(hs, lambda h: F.col("step") <= h * 7)))
             .withColumn("yhat_lower", F.col("yhat") - F.lit(INTERVAL_Z) * F.col("sigma"))
             .withColumn("yhat_upper", F.col("yhat") + F.lit(INTERVAL_Z) * F.col("sigma")))
@@ -73,9 +87,7 @@ def forecast_linear(series: DataFrame, horizons_weeks: Sequence[int] | None = No
     horizons = ForecastParams(tuple(horizons_weeks or ())).resolved_horizons()
     fit = (fit_linear(series).where(F.col("status") == "ok")
            .withColumn("model", F.lit(LINEAR)).withColumn("model_used", F.lit(LINEAR)))
-    out = _future(fit, horizons,
-                  lambda d: F.col("intercept") + F.col("slope") * (F.col("max_t") + F.col("step")))
-    return out.select(*FORECAST_COLUMNS)
+    return _future(fit, horizons, linear_yhat).select(*FORECAST_COLUMNS)
 
 
 def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
@@ -101,6 +113,7 @@ def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -
     fit = s.groupBy(*KEY).agg(
         F.max("_n").alias("n"), F.max("_n_y").alias("n_y"), F.max("_a").alias("intercept"),
         F.max("_b").alias("slope"), F.max("t").alias("max_t"), F.max("ds").alias("max_ds"),
+        F.max_by("y", "ds").alias("last_y"),
         F.stddev_pop("_e").alias("_sigma_e"),
         _linear_sigma(F.max("_syy"), F.max("_sxy"), F.max("_sxx"), F.max("_n")).alias("_sigma_lin"),
         F.array(*[F.max(F.when(F.col("_dow") == d, F.col("_sw"))) for d in range(1, 8)]).alias("weekday_effect"),
@@ -122,14 +135,7 @@ def forecast_seasonal(series: DataFrame, horizons_weeks: Sequence[int] | None =
     """Seasonal forecasts (linear stand-in where the seasonal model is not eligible)."""
     horizons = ForecastParams(tuple(horizons_weeks or ())).resolved_horizons()
     fit = fit_seasonal(series, params).where(F.col("model_used").isNotNull()).withColumn("model", F.lit(SEASONAL))
-
-    def yhat(d: DataFrame) -> Column:
-        trend = F.col("intercept") + F.col("slope") * (F.col("max_t") + F.col("step"))
-        wk = F.coalesce(F.element_at("weekday_effect", F.dayofweek("ds")), F.lit(0.0))
-        mo = F.coalesce(F.element_at("month_effect", F.month("ds")), F.lit(0.0))
-        return F.when(F.col("model_used") == SEASONAL, trend + wk + mo).otherwise(trend)
-
-    return _future(fit, horizons, yhat).select(*FORECAST_COLUMNS)
+    return _future(fit, horizons, seasonal_yhat).select(*FORECAST_COLUMNS)
 
 
 def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
@@ -151,3 +157,25 @@ def forecast_status(series: DataFrame, params: ForecastParams = ForecastParams()
     lin = fit_linear(series).select(*KEY, F.lit(LINEAR).alias("model"), "status", "n", "n_y")
     sea = fit_seasonal(series, params).select(*KEY, F.lit(SEASONAL).alias("model"), "status", "n", "n_y")
     return lin.unionByName(sea)
+
+
+def forecast_peaks(series: DataFrame, model: str = LINEAR, horizons_weeks: Sequence[int] = (4, 12),
+                   params: ForecastParams = ForecastParams()) -> DataFrame:
+    """Per resource: the latest value and the peak forecast of each horizon, in one pass.
+
+    (resource_type, resource_id, current_value, peak_<h>...). The peaks are evaluated in the
+    fit row with higher-order functions (``array_max`` over the horizon's steps), so there is
+    no exploded forecast table and no join back to the history; an ineligible resource gets
+    NULL peaks. Equal to the peaks of :func:`forecast_linear` / :func:`forecast_seasonal`.
+    """
+    if model == LINEAR:
+        fit = fit_linear(series).withColumn("_ok", F.col("status") == "ok")
+        yhat = linear_yhat
+    elif model == SEASONAL:
+        fit = fit_seasonal(series, params).withColumn("_ok", F.col("model_used").isNotNull())
+        yhat = seasonal_yhat
+    else:
+        raise ValueError(f"unknown model {model!r}")
+    peaks = {f"peak_{h}": F.when(F.col("_ok"), F.array_max(F.transform(F.sequence(F.lit(1), F.lit(int(h) * 7)), yhat)))
+             for h in horizons_weeks}
+    return fit.select(*KEY, F.col("last_y").alias("current_value"), *[c.alias(n) for n, c in peaks.items()])

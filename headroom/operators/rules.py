@@ -17,6 +17,8 @@ from headroom.config import (
     STORAGE_RULE_HORIZONS, WARNING, Thresholds,
 )
 from headroom.functions.numeric import pandas_div
+from headroom.operators.forecast import forecast_peaks
+from headroom.operators.series import prepare_series
 from headroom.schemas import COMPUTE, NETWORK, STORAGE, RECOMMENDATION_COLUMNS
 
 
@@ -55,9 +57,13 @@ def attach_forecast(current: DataFrame, peaks: DataFrame) -> DataFrame:
     return current.join(peaks, on="resource_id", how="left")
 
 
-def rule_storage(current: DataFrame, peaks: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
-    """Visit horizon 4 then 12; critical stops, warning continues, nothing -> no_action."""
-    j = attach_forecast(current, peaks)
+def rule_storage(current: DataFrame, peaks: DataFrame | None = None, th: Thresholds = Thresholds()) -> DataFrame:
+    """Visit horizon 4 then 12; critical stops, warning continues, nothing -> no_action.
+
+    Input: (resource_id, current_value) plus a peaks table to left-join (J1), or one table
+    that already carries ``peak_4``/``peak_12`` (``peaks=None``).
+    """
+    j = current if peaks is None else attach_forecast(current, peaks)
     crit, warn = float(th.storage_critical_pct), float(th.storage_warning_pct)
 
     def candidate(h: int) -> Column:
@@ -125,11 +131,20 @@ def rule_network(trends: DataFrame, th: Thresholds = Thresholds(), normalise_by:
         F.when(spike, _details("spike_days", F.col("spike_days"))).otherwise(empty_details())))
 
 
-def recommend(trends: dict[str, DataFrame], forecasts: DataFrame, th: Thresholds = Thresholds(),
+def recommend(trends: dict[str, DataFrame], forecasts: DataFrame | None = None, th: Thresholds = Thresholds(),
               rule_model: str = LINEAR, normalise_by: str = "own_peak") -> DataFrame:
-    """Storage, compute and network recommendations in one table (no narrative yet)."""
-    current = latest_value(trends["storage"], STORAGE.id_col, STORAGE.target)
-    storage = rule_storage(current, horizon_peaks(forecasts, rule_model), th)
+    """Storage, compute and network recommendations in one table (no narrative yet).
+
+    With ``forecasts`` (e.g. the written forecast table) the storage rule looks peaks up by
+    resource (J1). Without, the peaks come straight from the fit of the storage series
+    (:func:`forecast_peaks`), so each raw table feeds the plan once.
+    """
+    if forecasts is not None:
+        current = latest_value(trends["storage"], STORAGE.id_col, STORAGE.target)
+        storage = rule_storage(current, horizon_peaks(forecasts, rule_model), th)
+    else:
+        s = prepare_series(trends["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
+        storage = rule_storage(forecast_peaks(s, rule_model, STORAGE_RULE_HORIZONS).drop("resource_type"), None, th)
     compute = rule_compute(trends["compute"], th)
     network = rule_network(trends["network"], th, normalise_by)
     return storage.unionByName(compute).unionByName(network).select(*RECOMMENDATION_COLUMNS)

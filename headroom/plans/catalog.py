@@ -51,10 +51,7 @@ def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = trend_tables(spark, sf_dir)
-    s = series.prepare_all(t)
-    f = forecast.forecast_linear(s.where(F.col("resource_type") == "storage"))
-    return rules.recommend(t, f)
+    return rules.recommend(trend_tables(spark, sf_dir))
 
 
 def _flat_recs(recs: DataFrame, *extra: str) -> DataFrame:
@@ -154,8 +151,7 @@ def q_horizon_peaks(spark, sf_dir):
 def q_recommend_storage(spark, sf_dir):
     t = trend_tables(spark, sf_dir)
     s = series.prepare_series(t["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
-    cur = rules.latest_value(t["storage"], STORAGE.id_col, STORAGE.target)
-    return _flat_recs(rules.rule_storage(cur, rules.horizon_peaks(forecast.forecast_linear(s))))
+    return _flat_recs(rules.rule_storage(forecast.forecast_peaks(s).drop("resource_type")))
 
 
 def q_recommend_compute(spark, sf_dir):
