@@ -179,3 +179,26 @@ def forecast_peaks(series: DataFrame, model: str = LINEAR, horizons_weeks: Seque
     peaks = {f"peak_{h}": F.when(F.col("_ok"), F.array_max(F.transform(F.sequence(F.lit(1), F.lit(int(h) * 7)), yhat)))
              for h in horizons_weeks}
     return fit.select(*KEY, F.col("last_y").alias("current_value"), *[c.alias(n) for n, c in peaks.items()])
+
+
+def select_model(series: DataFrame, holdout_days: int = 28, models: Sequence[str] = (LINEAR, SEASONAL),
+                 params: ForecastParams = ForecastParams()) -> DataFrame:
+    """Extension: hold-out error of each model per resource and the model to use.
+
+    The last ``holdout_days`` calendar days of each series are held out, every model is fit on
+    the rest and forecast over them; ``mae`` is the mean absolute error on the held-out days
+    that have a value. One row per (resource, model): mae, n_holdout, selected (lowest mae,
+    ties to the model name). A resource whose training part is not eligible has no rows.
+    """
+    w = Window.partitionBy(*KEY)
+    s = series.withColumn("_cut", F.date_sub(F.max("ds").over(w), holdout_days))
+    train = s.where(F.col("ds") <= F.col("_cut")).drop("_cut")
+    hold = s.where((F.col("ds") > F.col("_cut")) & F.col("y").isNotNull()).select(*KEY, "ds", F.col("y").alias("_y"))
+    weeks = -(-holdout_days // 7)
+    f = forecast_all(train, [weeks], models, params)
+    err = (f.join(hold, on=[*KEY, "ds"]).groupBy(*KEY, "model")
+           .agg(F.avg(F.abs(F.col("yhat") - F.col("_y"))).alias("mae"), F.count(F.lit(1)).alias("n_holdout")))
+    # Models within 1e-9 of each other tie (float noise between fits); ties go to the model name.
+    rounded = F.rint(F.col("mae") * F.lit(1e9)) / F.lit(1e9)
+    best = F.min(F.struct(rounded, F.col("model"))).over(Window.partitionBy(*KEY))
+    return err.withColumn("selected", best["model"] == F.col("model"))

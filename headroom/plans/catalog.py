@@ -139,6 +139,11 @@ def q_forecast_status(spark, sf_dir):
     return forecast.forecast_status(s)
 
 
+def q_select_model(spark, sf_dir):
+    m = forecast.select_model(series_table(spark, sf_dir))
+    return m.select("resource_type", "resource_id", "model", r4("mae").alias("mae"), "n_holdout", "selected")
+
+
 def q_horizon_peaks(spark, sf_dir):
     t = trend_tables(spark, sf_dir)
     s = series.prepare_series(t["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
@@ -247,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "linear_forecast": q_linear_forecast,
     "seasonal_forecast": q_seasonal_forecast,
     "forecast_status": q_forecast_status,
+    "select_model": q_select_model,
     "horizon_peaks": q_horizon_peaks,
     "recommend_storage": q_recommend_storage,
     "recommend_compute": q_recommend_compute,

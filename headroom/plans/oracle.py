@@ -448,6 +448,20 @@ def build() -> dict[str, str]:
     q["forecast_status"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src=holed), seasonal_ctes(holed)) +
                             " SELECT resource_type, resource_id, 'linear_regression' AS model, status, n, n_y "
                             "FROM linear_fit UNION ALL SELECT resource_type, resource_id, 'seasonal', status, n, n_y FROM sfit")
+    train = ("(SELECT resource_type, resource_id, ds, y, t FROM (SELECT *, max(ds) OVER (PARTITION BY resource_type, "
+             "resource_id) - INTERVAL 28 DAY AS _cut FROM series) WHERE ds <= _cut)")
+    hold = ("(SELECT resource_type, resource_id, ds, y FROM (SELECT *, max(ds) OVER (PARTITION BY resource_type, "
+            "resource_id) - INTERVAL 28 DAY AS _cut FROM series) WHERE ds > _cut AND y IS NOT NULL)")
+    q["select_model"] = (
+        with_ctes(*series_ctes, LINEAR_FIT.format(src=train), LINEAR_FORECAST, seasonal_ctes(train), SEASONAL_FORECAST,
+                  f"""
+fc AS (SELECT resource_type, resource_id, model, ds, yhat FROM linear_forecast WHERE horizon_weeks = 4
+       UNION ALL SELECT resource_type, resource_id, model, ds, yhat FROM seasonal_forecast WHERE horizon_weeks = 4),
+err AS (SELECT f.resource_type, f.resource_id, f.model, avg(abs(f.yhat - h.y)) AS mae, count(*) AS n_holdout
+        FROM fc f JOIN {hold} h ON f.resource_type = h.resource_type AND f.resource_id = h.resource_id
+        AND f.ds = h.ds GROUP BY 1, 2, 3)""") +
+        f" SELECT resource_type, resource_id, model, {r4('mae')} AS mae, n_holdout, "
+        "model = first(model ORDER BY round_even(mae * 1e9, 0) / 1e9, model) OVER (PARTITION BY resource_type, resource_id) AS selected FROM err")
     st = upto_trends("storage") + [STORAGE_SERIES, LINEAR_FIT.format(src="storage_series"), LINEAR_FORECAST, PEAKS]
     q["horizon_peaks"] = (with_ctes(*st) + f" SELECT resource_id, {r4('current_value')} AS current_value, "
                           f"{r4('peak_4')} AS peak_4, {r4('peak_12')} AS peak_12 FROM joined")

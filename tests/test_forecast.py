@@ -144,3 +144,33 @@ def test_two_resources_both_present(spark):
 def test_params_min_points(spark):
     s = series_df(spark, "r1", [d(i) for i in range(20)], [float(i % 7) for i in range(20)])
     assert set(_pd(forecast_seasonal(s, [4], ForecastParams(seasonal_min_points=30)))["model_used"]) == {"linear_regression"}
+
+
+def test_forecast_peaks_equal_exploded_peaks(spark):
+    from headroom.operators.forecast import forecast_peaks
+    from headroom.operators.rules import horizon_peaks
+    i = np.arange(120)
+    y = list(60 + 0.1 * i + 4 * np.sin(2 * np.pi * i / 7))
+    s = series_df(spark, "r1", [d(k) for k in range(120)], y).unionByName(
+        series_df(spark, "r2", [d(0)], [5.0]))
+    for model, fc in (("linear_regression", forecast_linear(s)), ("seasonal", forecast_seasonal(s))):
+        direct = {r.resource_id: (r.current_value, r.peak_4, r.peak_12) for r in forecast_peaks(s, model).collect()}
+        exploded = {r.resource_id: (r.peak_4, r.peak_12) for r in horizon_peaks(fc, model).collect()}
+        assert direct["r1"][1:] == exploded["r1"]
+        assert direct["r1"][0] == y[-1]
+        assert direct["r2"] == (5.0, None, None) and "r2" not in exploded
+
+
+def test_select_model_prefers_seasonal_on_weekly_pattern(spark):
+    from headroom.operators.forecast import select_model
+    i = np.arange(120)
+    seasonal = list(50 + 10 * np.sin(2 * np.pi * i / 7))
+    line = list(10 + 0.5 * i)
+    s = series_df(spark, "weekly", [d(k) for k in range(120)], seasonal).unionByName(
+        series_df(spark, "line", [d(k) for k in range(120)], line))
+    rows = {(r.resource_id, r.model): r for r in select_model(s).collect()}
+    assert rows[("weekly", "seasonal")].selected and not rows[("weekly", "linear_regression")].selected
+    assert rows[("weekly", "seasonal")].mae < 0.25 * rows[("weekly", "linear_regression")].mae
+    assert rows[("weekly", "seasonal")].n_holdout == 28
+    # an exact line: both models are exact, the tie goes to the model name
+    assert rows[("line", "linear_regression")].selected and rows[("line", "linear_regression")].mae < 1e-9

@@ -62,3 +62,32 @@ def test_land_recommendations_json_details(spark):
     path, rows = land_recommendations(recs, os.path.join(base, "recs"))
     back = spark.read.option("header", True).option("escape", '"').csv(path).first()
     assert rows == 1 and back.details == '{"threshold":90.0}'
+
+
+def test_notebook_chain_csv_to_series(spark):
+    """S2 read_all -> S3 write_interim -> S4 clean_all -> S6 write_trends -> S7 load_series."""
+    from headroom.sources.files import clean_all, load_series, write_interim, write_trends
+    base = _tmp()
+    raw = os.path.join(base, "raw")
+    os.makedirs(raw)
+    hdr = {"compute_metrics": "timestamp,cluster_id,cpu_utilization_pct,memory_utilization_pct,cluster_utilization_pct",
+           "storage_metrics": "timestamp,storage_id,disk_used_gb,disk_total_gb,disk_utilization_pct,io_utilization_pct",
+           "network_metrics": "timestamp,link_id,bandwidth_mbps,throughput_mbps,latency_ms"}
+    rows = {"compute_metrics": ["2025-01-0{d} 0{h}:00:00,c1,{v},40,{v}"],
+            "storage_metrics": ["2025-01-0{d} 00:00:00,s1,{v}0,1000,1,120"],
+            "network_metrics": ["2025-01-0{d} 0{h}:00:00,n1,1000,{v}0,20"]}
+    for name, h in hdr.items():
+        lines = [h] + [rows[name][0].format(d=dd, h=hh, v=10 + dd * 5 + hh) for dd in (1, 2, 3) for hh in (0, 1)]
+        lines.append(lines[1])  # an exact duplicate of the first row
+        _write(os.path.join(raw, f"{name}.csv"), "\n".join(lines) + "\n")
+    ingested = read_all(spark, raw)
+    logs = write_interim(ingested, os.path.join(base, "interim"))
+    assert {k: v[1] for k, v in logs.items()} == {"compute": 7, "storage": 7, "network": 7}
+    cleaned = clean_all(spark, os.path.join(base, "interim"), os.path.join(base, "processed"))
+    assert cleaned["compute"].count() == 6 and cleaned["storage"].count() == 3  # storage is daily: 1 row per day
+    assert {r.io_utilization_pct for r in cleaned["storage"].collect()} == {100.0}
+    trends = write_trends(spark, os.path.join(base, "processed"))
+    assert trends["network"].count() == 3
+    s = load_series(spark, os.path.join(base, "processed"))
+    got = {(r.resource_type, r.resource_id): r["count"] for r in s.groupBy("resource_type", "resource_id").count().collect()}
+    assert got == {("compute", "c1"): 3, ("storage", "s1"): 3, ("network", "n1"): 3}
