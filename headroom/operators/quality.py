@@ -90,3 +90,28 @@ def validate_network(df: DataFrame) -> DataFrame:
 
 
 VALIDATORS = {"compute": validate_compute, "storage": validate_storage, "network": validate_network}
+
+
+def observe_quality(df: DataFrame, kind: str | MetricKind, name: str | None = None):
+    """Attach the rule counts to ``df`` as an ``Observation`` filled by whatever job consumes it.
+
+    Returns (observed_df, observation). Checking then costs no extra pass over a large
+    table: write the data, then call :func:`raise_on_violations`.
+    """
+    from pyspark.sql import Observation
+
+    k = KINDS[kind] if isinstance(kind, str) else kind
+    require_columns(df, k.columns, _LABELS[k.name])
+    obs = Observation(name or f"quality_{k.name}")
+    rules = RULES[k.name]
+    observed = df.observe(obs, *[F.count_if(F.coalesce(r.violation(), F.lit(False))).alias(r.name) for r in rules])
+    return observed, obs
+
+
+def raise_on_violations(obs, kind: str | MetricKind) -> None:
+    """Raise :class:`SchemaValidationError` for the first rule an observed job found broken."""
+    k = KINDS[kind] if isinstance(kind, str) else kind
+    counts = obs.get
+    for r in RULES[k.name]:
+        if counts.get(r.name):
+            raise SchemaValidationError(r.message)

@@ -11,6 +11,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from headroom.config import LINEAR, Thresholds
 from headroom.operators import export, forecast, narrative, rules, series
@@ -21,25 +22,42 @@ from headroom.sources import adapters
 from headroom.sources.files import land_recommendations, write_table
 
 
-def _persist(spark: SparkSession, df: DataFrame, path: str, log: dict) -> DataFrame:
+def _done(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a completely written table (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS").schema  # resolving the path lists it; no job runs
+        return True
+    except AnalysisException:
+        return False
+
+
+def _persist(spark: SparkSession, df: DataFrame, path: str, log: dict, resume: bool = False) -> DataFrame:
+    """Write a stage boundary and re-read it. With ``resume`` a completed table is reused, so a
+    re-run after a failure starts from the last finished stage."""
+    name = path.rsplit("/", 1)[-1]
+    if resume and _done(spark, path):
+        log[name] = -1
+        return spark.read.parquet(path)
     p, rows = write_table(df, path)
-    log[path.rsplit("/", 1)[-1]] = rows
+    log[name] = rows
     return spark.read.parquet(p)
 
 
-def run_clean_and_trend(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, log: dict):
+def run_clean_and_trend(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, log: dict,
+                        resume: bool = False):
     """Cleaned and trend tables for the three kinds, each written and re-read."""
-    cleaned = {k: _persist(spark, CLEANERS[k](df), f"{out_dir}/processed/{k}_cleaned", log) for k, df in raw.items()}
-    return {k: _persist(spark, TREND_BUILDERS[k](df), f"{out_dir}/processed/{k}_trends", log)
+    cleaned = {k: _persist(spark, CLEANERS[k](df), f"{out_dir}/processed/{k}_cleaned", log, resume)
+               for k, df in raw.items()}
+    return {k: _persist(spark, TREND_BUILDERS[k](df), f"{out_dir}/processed/{k}_trends", log, resume)
             for k, df in cleaned.items()}
 
 
 def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir: str, log: dict,
-                 horizons_weeks: Sequence[int] | None = None) -> DataFrame:
+                 horizons_weeks: Sequence[int] | None = None, resume: bool = False) -> DataFrame:
     """One long series table -> both models for every resource -> written forecasts."""
-    s = _persist(spark, series.prepare_all(trends), f"{out_dir}/processed/series", log)
-    _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log)
-    return _persist(spark, forecast.forecast_all(s, horizons_weeks), f"{out_dir}/processed/forecasts", log)
+    s = _persist(spark, series.prepare_all(trends), f"{out_dir}/processed/series", log, resume)
+    _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log, resume)
+    return _persist(spark, forecast.forecast_all(s, horizons_weeks), f"{out_dir}/processed/forecasts", log, resume)
 
 
 def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: str, log: dict,
@@ -62,11 +80,12 @@ def run_export(trends, recs: DataFrame, out_dir: str, log: dict) -> None:
 
 def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th: Thresholds = Thresholds(),
             horizons_weeks: Sequence[int] | None = None, rule_model: str = LINEAR,
-            provider: str = "template_fallback", responses: DataFrame | None = None) -> dict[str, int]:
-    """E5: the whole job; returns rows written per table."""
+            provider: str = "template_fallback", responses: DataFrame | None = None,
+            resume: bool = False) -> dict[str, int]:
+    """E5: the whole job; returns rows written per table (-1 for a table reused on resume)."""
     log: dict[str, int] = {}
-    trends = run_clean_and_trend(spark, raw, out_dir, log)
-    forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks)
+    trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
+    forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks, resume)
     recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses)
     run_export(trends, recs, out_dir, log)
     return log

@@ -81,6 +81,19 @@ def stream_daily(df: DataFrame, kind: MetricKind) -> DataFrame:
     return out.select(kind.id_col, epoch_day_to_date(F.col("w.start")).alias("date"), *kind.daily_cols)
 
 
+def metric_daily_stream(spark: SparkSession, directory: str, kind: str, fmt: str = "parquet",
+                        delay: str = "1 day", glob: str | None = None,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw metric files (with a ``seq`` column) as a stream -> T2 dedupe -> row-wise cleaning -> T3."""
+    from pyspark.sql import types as T
+
+    k = KINDS[kind]
+    schema = T.StructType(k.schema.fields + [T.StructField(SEQ, T.LongType(), True)])
+    src = normalise_missing(read_stream(spark, directory, schema, fmt, glob, max_files_per_trigger))
+    deduped = stream_dedupe(with_event_time(src, delay), k, delay)
+    return stream_daily(row_clean(deduped, k), k)
+
+
 def compute_daily_stream(spark: SparkSession, sf_dir: str, delay: str = "1 day") -> DataFrame:
     """Hourly compute metrics derived from the events table as a stream -> closed daily means."""
     events_schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema

@@ -17,7 +17,8 @@ def test_job_end_to_end_small(spark):
     network = network_df(spark, [(hour(h), f"link-{k}", 1000.0, float(200.0 + 100 * np.sin(h / 24)), 20.0)
                                  for k in range(2) for h in range(n_days * 24)])
     out = tempfile.mkdtemp(prefix="headroom-job-")
-    log = run_job(spark, {"compute": compute, "storage": storage, "network": network}, out)
+    raw = {"compute": compute, "storage": storage, "network": network}
+    log = run_job(spark, raw, out)
     assert all(log[k] > 0 for k in ("compute_cleaned", "storage_trends", "forecasts", "recommendations",
                                     "utilization_overview", "risk_summary"))
     for p in ("export/utilization_overview", "export/recommendations", "export/risk_summary",
@@ -29,3 +30,7 @@ def test_job_end_to_end_small(spark):
     # storage-1 grows 4 GB/day from 800 of 1000: past 90 % within 4 weeks -> critical
     s1 = recs.where("resource_id = 'storage-1'").collect()
     assert [(r.risk_level, r.forecast_horizon_weeks) for r in s1] == [("critical", 4)]
+
+    # a re-run with resume reuses every finished stage table
+    again = run_job(spark, raw, out, resume=True)
+    assert again["compute_cleaned"] == -1 and again["forecasts"] == -1 and again["recommendations"] == -1

@@ -50,3 +50,13 @@ def test_violation_counts(spark):
                             (hour(2), "c1", 50.0, 1.0, 1.0), (hour(3), "c1", None, 1.0, 1.0)])
     row = violation_counts(df, "compute").collect()
     assert [(r.table_name, r.rule, r.violations) for r in row] == [("compute", "cpu_out_of_bounds", 2)]
+
+
+def test_observed_checks_run_in_the_consuming_job(spark):
+    from headroom.operators.quality import observe_quality, raise_on_violations
+    df = network_df(spark, [(hour(0), "n1", 1000.0, 500.0, -5.0), (hour(1), "n1", 1000.0, 500.0, 5.0)])
+    observed, obs = observe_quality(df, "network")
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"negative_latency": 1}
+    with pytest.raises(SchemaValidationError, match="latency_ms cannot be negative"):
+        raise_on_violations(obs, "network")

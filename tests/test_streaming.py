@@ -38,3 +38,27 @@ def test_land_stream_row_wise_cleaning(spark):
     q.awaitTermination()
     rows = spark.read.parquet(os.path.join(base, "out")).orderBy("timestamp").collect()
     assert [r.throughput_mbps for r in rows] == [500.0, 0.0]
+
+
+def test_stream_dedupe_keeps_smallest_seq_across_micro_batches(spark):
+    import datetime as dt
+
+    from headroom.schemas import COMPUTE_SCHEMA
+    from headroom.streaming.landing import metric_daily_stream
+    from pyspark.sql import types as T
+
+    base = tempfile.mkdtemp(prefix="headroom-dedupe-")
+    src = os.path.join(base, "landing")
+    schema = T.StructType(COMPUTE_SCHEMA.fields + [T.StructField("seq", T.LongType())])
+    t0 = dt.datetime(2025, 1, 1, 5)
+    # first file: seq 10 with cpu 90; second file (later micro-batch): same key, seq 1, cpu 10
+    spark.createDataFrame([(t0, "c1", 90.0, 1.0, 90.0, 10)], schema).write.parquet(os.path.join(src, "a"))
+    spark.createDataFrame([(t0, "c1", 10.0, 1.0, 10.0, 1),
+                           (dt.datetime(2025, 1, 5), "c1", 50.0, 1.0, 50.0, 2)], schema) \
+        .write.parquet(os.path.join(src, "b"))
+    stream = metric_daily_stream(spark, src + "/*", "compute", max_files_per_trigger=1)
+    q = (stream.writeStream.format("memory").queryName("dedupe_test").outputMode("append")
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("select * from dedupe_test").collect()
+    assert [(r.date.isoformat(), r.cpu_utilization_pct) for r in rows] == [("2025-01-01", 10.0)]
