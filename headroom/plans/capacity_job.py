@@ -62,10 +62,10 @@ def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir:
 
 def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: str, log: dict,
                   th: Thresholds = Thresholds(), rule_model: str = LINEAR, provider: str = "template_fallback",
-                  responses: DataFrame | None = None) -> DataFrame:
+                  responses: DataFrame | None = None, resume: bool = False) -> DataFrame:
     """Rules + narratives, persisted (parquet for the job, CSV with JSON details for BI)."""
     recs = narrative.narrate(rules.recommend(trends, forecasts, th, rule_model), responses, provider)
-    recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log)
+    recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log, resume)
     _, log["recommendations_csv"] = land_recommendations(recs, f"{out_dir}/processed/recommendations_csv")
     return recs
 
@@ -86,7 +86,7 @@ def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th:
     log: dict[str, int] = {}
     trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
     forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks, resume)
-    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses)
+    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses, resume)
     run_export(trends, recs, out_dir, log)
     return log
 
