@@ -1,0 +1,74 @@
+"""Random dirty inputs: Spark operators vs the same rules written with pandas."""
+
+import datetime as dt
+import math
+import warnings
+
+import numpy as np
+import pandas as pd
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from headroom.operators.cleaning import clean_compute
+from headroom.operators.trends import process_compute_trends
+from headroom.sources.files import normalise_missing
+from tests.frames import compute_df
+
+COLS = ["cpu_utilization_pct", "memory_utilization_pct", "cluster_utilization_pct"]
+value = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([0.0, 5.0, 50.0, 100.0, -3.0, 130.0]),
+                  st.floats(-20, 140, allow_nan=False).map(lambda x: round(x, 2)))
+row = st.tuples(st.integers(0, 71), st.sampled_from(["a", "b", None]), value, value, value)
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _frame(spark, rows):
+    t0 = dt.datetime(2025, 3, 1)
+    return normalise_missing(compute_df(spark, [(t0 + dt.timedelta(hours=h), c, x, y, z) for h, c, x, y, z in rows]))
+
+
+def _pandas_clean(rows):
+    t0 = dt.datetime(2025, 3, 1)
+    df = pd.DataFrame([(t0 + dt.timedelta(hours=h), c, x, y, z) for h, c, x, y, z in rows],
+                      columns=["timestamp", "cluster_id"] + COLS)
+    df[COLS] = df[COLS].astype(float)
+    df = df.drop_duplicates(subset=["timestamp", "cluster_id"])
+    df = df.dropna(subset=COLS[:2])
+    for c in COLS:
+        df[c] = df[c].clip(lower=0, upper=100)
+    return df
+
+
+def _rows(pdf, cols):
+    out = []
+    for r in pdf[cols].itertuples(index=False):
+        out.append(tuple("nan" if isinstance(v, float) and math.isnan(v) else
+                         (round(v, 9) if isinstance(v, float) else v) for v in r))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(st.lists(row, min_size=0, max_size=40))
+def test_clean_compute_matches_pandas(spark, rows):
+    got = clean_compute(_frame(spark, rows)).toPandas()
+    want = _pandas_clean(rows)
+    got[COLS] = got[COLS].astype(float)
+    assert _rows(got, ["timestamp", "cluster_id"] + COLS) == _rows(want, ["timestamp", "cluster_id"] + COLS)
+
+
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=60))
+def test_compute_trends_match_pandas(spark, rows):
+    got = process_compute_trends(clean_compute(_frame(spark, rows))).toPandas()
+    df = _pandas_clean(rows)
+    df["date"] = df["timestamp"].dt.date
+    daily = df.groupby(["cluster_id", "date"], as_index=False)[COLS].mean().sort_values(["cluster_id", "date"])
+    v = "cluster_utilization_pct"
+    g = daily.groupby("cluster_id")[v]
+    daily[f"{v}_ma7"] = g.transform(lambda s: s.rolling(7, min_periods=1).mean())
+    daily[f"{v}_ma30"] = g.transform(lambda s: s.rolling(30, min_periods=1).mean())
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        daily[f"{v}_growth_rate"] = g.transform(lambda s: (s.ffill() / s.ffill().shift(1) - 1).fillna(0))
+    cols = ["cluster_id", "date"] + COLS + [f"{v}_ma7", f"{v}_ma30", f"{v}_growth_rate"]
+    got[COLS + cols[5:]] = got[COLS + cols[5:]].astype(float)
+    assert _rows(got, cols) == _rows(daily, cols)
