@@ -34,3 +34,27 @@ def test_job_end_to_end_small(spark):
     # a re-run with resume reuses every finished stage table
     again = run_job(spark, raw, out, resume=True)
     assert again["compute_cleaned"] == -1 and again["forecasts"] == -1 and again["recommendations"] == -1
+
+
+def test_job_from_raw_csv_dir(spark):
+    from headroom.plans.capacity_job import run_from_raw_dir
+
+    base = tempfile.mkdtemp(prefix="headroom-rawjob-")
+    raw = os.path.join(base, "raw")
+    os.makedirs(raw)
+    lines = {"compute_metrics": ["timestamp,cluster_id,cpu_utilization_pct,memory_utilization_pct,cluster_utilization_pct"],
+             "storage_metrics": ["timestamp,storage_id,disk_used_gb,disk_total_gb,disk_utilization_pct,io_utilization_pct"],
+             "network_metrics": ["timestamp,link_id,bandwidth_mbps,throughput_mbps,latency_ms"]}
+    for i in range(40):
+        ts = f"2025-01-{1 + i % 31:02d} 00:00:00" if i < 31 else f"2025-02-{i - 30:02d} 00:00:00"
+        lines["compute_metrics"].append(f"{ts},c1,{20 + i % 3},30,{20 + i % 3}")
+        lines["storage_metrics"].append(f"{ts},s1,{600 + 5 * i},1000,0,40")
+        lines["network_metrics"].append(f"{ts},n1,1000,{300 + (i % 7) * 10},25")
+    for name, ls in lines.items():
+        with open(os.path.join(raw, f"{name}.csv"), "w") as f:
+            f.write("\n".join(ls) + "\n")
+    out = os.path.join(base, "out")
+    log = run_from_raw_dir(spark, raw, out)
+    assert log["compute_ingested"] == 40 and log["recommendations"] > 0
+    recs = {r.resource_id: r for r in spark.read.parquet(os.path.join(out, "processed/recommendations")).collect()}
+    assert recs["c1"].recommendation_type == "downsize_underutilized_compute"
