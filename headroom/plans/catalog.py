@@ -37,13 +37,16 @@ def ts_text(c) -> Column:
 
 # ---- shared building blocks ----------------------------------------------------------------
 
-def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = adapters.raw_all(spark, sf_dir)
-    return {name: cleaning.CLEANERS[name](df) for name, df in raw.items()}
+RAW = {"compute": adapters.raw_compute, "storage": adapters.raw_storage, "network": adapters.raw_network}
+ALL_KINDS = ("compute", "storage", "network")
 
 
-def trend_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: trends.TREND_BUILDERS[name](df) for name, df in cleaned(spark, sf_dir).items()}
+def cleaned(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str, DataFrame]:
+    return {name: cleaning.CLEANERS[name](RAW[name](spark, sf_dir)) for name in kinds}
+
+
+def trend_tables(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str, DataFrame]:
+    return {name: trends.TREND_BUILDERS[name](df) for name, df in cleaned(spark, sf_dir, kinds).items()}
 
 
 def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +80,7 @@ def q_dedupe_first(spark, sf_dir):
 
 def _clean_query(kind):
     def q(spark, sf_dir):
-        df = cleaned(spark, sf_dir)[kind.name]
+        df = cleaned(spark, sf_dir, [kind.name])[kind.name]
         values = [c for c in kind.columns[2:]]
         return df.select(ts_text("timestamp").alias("timestamp"), kind.id_col, *[r6(c).alias(c) for c in values])
     return q
@@ -85,8 +88,7 @@ def _clean_query(kind):
 
 def _daily_query(kind):
     def q(spark, sf_dir):
-        raw = {"compute": adapters.raw_compute, "storage": adapters.raw_storage,
-               "network": adapters.raw_network}[kind.name](spark, sf_dir)
+        raw = RAW[kind.name](spark, sf_dir)
         d = trends.aggregate_daily(cleaning.CLEANERS[kind.name](raw), kind.id_col, kind.daily_cols)
         return d.select(kind.id_col, "date", *[r6(c).alias(c) for c in kind.daily_cols])
     return q
@@ -94,7 +96,7 @@ def _daily_query(kind):
 
 def _trends_query(kind):
     def q(spark, sf_dir):
-        t = trend_tables(spark, sf_dir)[kind.name]
+        t = trend_tables(spark, sf_dir, [kind.name])[kind.name]
         cols = list(kind.daily_cols) + [f"{kind.target}_ma7", f"{kind.target}_ma30", f"{kind.target}_growth_rate"]
         return t.select(kind.id_col, "date", *[r6(c).alias(c) for c in cols])
     return q
@@ -127,7 +129,7 @@ def q_linear_forecast(spark, sf_dir):
 
 
 def q_seasonal_forecast(spark, sf_dir):
-    s = series_table(spark, sf_dir).where(F.col("resource_type").isin("storage", "compute"))
+    s = series.prepare_all(trend_tables(spark, sf_dir, ["compute", "storage"]))
     return _forecast_cols(forecast.forecast_seasonal(s))
 
 
@@ -145,7 +147,7 @@ def q_select_model(spark, sf_dir):
 
 
 def q_horizon_peaks(spark, sf_dir):
-    t = trend_tables(spark, sf_dir)
+    t = trend_tables(spark, sf_dir, ["storage"])
     s = series.prepare_series(t["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
     cur = rules.latest_value(t["storage"], STORAGE.id_col, STORAGE.target)
     j = rules.attach_forecast(cur, rules.horizon_peaks(forecast.forecast_linear(s)))
@@ -154,21 +156,21 @@ def q_horizon_peaks(spark, sf_dir):
 
 
 def q_recommend_storage(spark, sf_dir):
-    t = trend_tables(spark, sf_dir)
+    t = trend_tables(spark, sf_dir, ["storage"])
     s = series.prepare_series(t["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
     return _flat_recs(rules.rule_storage(forecast.forecast_peaks(s).drop("resource_type")))
 
 
 def q_recommend_compute(spark, sf_dir):
-    return _flat_recs(rules.rule_compute(trend_tables(spark, sf_dir)["compute"]))
+    return _flat_recs(rules.rule_compute(trend_tables(spark, sf_dir, ["compute"])["compute"]))
 
 
 def q_recommend_network(spark, sf_dir):
-    return _flat_recs(rules.rule_network(trend_tables(spark, sf_dir)["network"]))
+    return _flat_recs(rules.rule_network(trend_tables(spark, sf_dir, ["network"])["network"]))
 
 
 def q_recommend_network_bandwidth(spark, sf_dir):
-    t = trend_tables(spark, sf_dir)["network"].withColumn("bandwidth_mbps", F.lit(1_000_000.0))
+    t = trend_tables(spark, sf_dir, ["network"])["network"].withColumn("bandwidth_mbps", F.lit(1_000_000.0))
     return _flat_recs(rules.rule_network(t, normalise_by="bandwidth"))
 
 
@@ -219,7 +221,7 @@ def q_risk_counts(spark, sf_dir):
 
 
 def q_latency_warning(spark, sf_dir):
-    l = rules.latency_warning(trend_tables(spark, sf_dir)["network"])
+    l = rules.latency_warning(trend_tables(spark, sf_dir, ["network"])["network"])
     return l.select("resource_id", "latency_warning_days", r6("max_daily_latency_ms").alias("max_daily_latency_ms"))
 
 

@@ -96,7 +96,8 @@ def metric_daily_stream(spark: SparkSession, directory: str, kind: str, fmt: str
 
 def compute_daily_stream(spark: SparkSession, sf_dir: str, delay: str = "1 day") -> DataFrame:
     """Hourly compute metrics derived from the events table as a stream -> closed daily means."""
-    events_schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    from headroom.sources.adapters import SOURCE_SCHEMAS
+    events_schema = SOURCE_SCHEMAS["events"]
     src = read_stream(spark, sf_dir, events_schema, "parquet", glob="events.parquet")
     raw = with_event_time(compute_from_events(src), delay)
     deduped = stream_dedupe(raw, COMPUTE, delay)
