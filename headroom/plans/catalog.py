@@ -231,6 +231,13 @@ def q_stream_daily_closed(spark, sf_dir):
     return d.select("cluster_id", "date", *[r6(c).alias(c) for c in COMPUTE.daily_cols])
 
 
+def q_stream_landing(spark, sf_dir):
+    from headroom.streaming.landing import stream_landing
+    d = stream_landing(spark, sf_dir)
+    return d.select(ts_text("timestamp").alias("timestamp"), "cluster_id", "seq",
+                    *[r6(c).alias(c) for c in COMPUTE.daily_cols])
+
+
 def q_end_to_end_roundtrip(spark, sf_dir):
     from headroom.plans.capacity_job import run_on_tables
     return run_on_tables(spark, sf_dir)
@@ -269,5 +276,6 @@ QUERIES: dict[str, Query] = {
     "risk_counts": q_risk_counts,
     "latency_warning": q_latency_warning,
     "stream_daily_closed": q_stream_daily_closed,
+    "stream_landing": q_stream_landing,
     "end_to_end_roundtrip": q_end_to_end_roundtrip,
 }

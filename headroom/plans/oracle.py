@@ -498,6 +498,10 @@ err AS (SELECT f.resource_type, f.resource_id, f.model, avg(abs(f.yhat - h.y)) A
                             f"latency_warning_days, {r6('max(latency_ms)')} AS max_daily_latency_ms FROM trends_network "
                             "WHERE link_id IS NOT NULL GROUP BY link_id")
     q["stream_daily_closed"] = _closed_days()
+    q["stream_landing"] = (with_ctes(RAW_COMPUTE) + f" SELECT {ts_text('timestamp')} AS \"timestamp\", cluster_id, seq, "
+                           + ", ".join(f"{r6(clip(c, '0.0', '100.0'))} AS {c}" for c in KIND["compute"][1])
+                           + " FROM raw_compute WHERE cpu_utilization_pct IS NOT NULL AND "
+                             "memory_utilization_pct IS NOT NULL")
     # end_to_end_roundtrip: rows-only (it writes and re-reads the whole job's outputs).
     return {name: sql for name, sql in q.items() if name in QUERIES}
 

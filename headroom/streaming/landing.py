@@ -55,10 +55,16 @@ def row_clean(df: DataFrame, kind: MetricKind) -> DataFrame:
 
 
 def land_stream(spark: SparkSession, landing_dir: str, kind: str, out_dir: str, checkpoint: str,
-                fmt: str = "csv") -> StreamingQuery:
-    """Landed raw files -> NaN->NULL -> row-wise checks -> parquet append (availableNow)."""
+                fmt: str = "csv", with_seq: bool = False) -> StreamingQuery:
+    """Landed raw files -> NaN->NULL -> row-wise checks -> parquet append (availableNow).
+
+    ``with_seq``: the files also carry the ``seq`` (input order) column, kept for dedupe.
+    """
+    from pyspark.sql import types as T
+
     k = KINDS[kind]
-    df = normalise_missing(read_stream(spark, landing_dir, k.schema, fmt))
+    schema = T.StructType(k.schema.fields + [T.StructField(SEQ, T.LongType(), True)]) if with_seq else k.schema
+    df = normalise_missing(read_stream(spark, landing_dir, schema, fmt))
     return (row_clean(df, k).writeStream.format("parquet").option("path", out_dir)
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
 
@@ -115,3 +121,22 @@ def stream_daily_closed(spark: SparkSession, sf_dir: str, delay: str = "1 day")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(f"{base}/out")
+
+
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the compute rows derived from the events table as files in the shared folder, pick
+    them up with :func:`land_stream` and return what the stream appended."""
+    base = fresh_path(spark, "stream-landing")
+    compute_from_events(spark.read.schema(_events_schema()).parquet(f"{sf_dir.rstrip('/')}/events.parquet")) \
+        .write.parquet(f"{base}/landing")
+    q = land_stream(spark, f"{base}/landing", "compute", f"{base}/interim", f"{base}/checkpoint", "parquet",
+                    with_seq=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/interim")
+
+
+def _events_schema():
+    from headroom.sources.adapters import SOURCE_SCHEMAS
+    return SOURCE_SCHEMAS["events"]
