@@ -57,8 +57,8 @@ raw_compute AS (
   FROM (SELECT *, {_CPU} AS cpu FROM events)
 )"""
 
-_BASE = by_group("k", [f"{b}::DOUBLE" for b in ("0.55", "0.70", "0.30", "0.59", "0.65")])
-_SLOPE = by_group("k", [f"{s}::DOUBLE" for s in ("0.40", "0.15", "0.05", "0.12", "0.16")])
+_BASE = by_group("k", [f"{b}::DOUBLE" for b in ("0.46", "0.11", "0.30", "0.215", "0.49")])
+_SLOPE = by_group("k", [f"{s}::DOUBLE" for s in ("0.50", "0.75", "0.05", "0.50", "0.30")])
 RAW_STORAGE = f"""
 raw_storage AS (
   SELECT l_shipdate AS "timestamp",
@@ -66,10 +66,10 @@ raw_storage AS (
          used AS disk_used_gb, 1000.0::DOUBLE AS disk_total_gb, used / 1000.0::DOUBLE * 100.0::DOUBLE AS disk_utilization_pct,
          l_discount * 1000.0::DOUBLE + l_tax * 500.0::DOUBLE AS io_utilization_pct,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
-  FROM (SELECT *, 1000.0::DOUBLE * ({_BASE} + {_SLOPE} * d / 500) + l_quantity AS used
+  FROM (SELECT *, 1000.0::DOUBLE * ({_BASE} + {_SLOPE} * d / 2500) + l_quantity AS used
         FROM (SELECT *, l_suppkey % 5 AS k,
-                     datediff('day', DATE '2000-06-01', CAST(l_shipdate AS DATE)) AS d
-              FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-06-01'))
+                     datediff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS d
+              FROM lineitem))
 )"""
 
 RAW_NETWORK = """

@@ -14,11 +14,13 @@ from headroom.functions.timeutil import floor_hour_ntz
 
 N_GROUPS = 5
 
-# Storage derivation: one base level and growth per group (fraction of capacity), daily
-# index from this date, capacity in GB.
-STORAGE_START = "2000-06-01"
-STORAGE_BASE = (0.55, 0.70, 0.30, 0.59, 0.65)
-STORAGE_SLOPE = (0.40, 0.15, 0.05, 0.12, 0.16)
+# Storage derivation over the whole lineitem table: a base level and a growth per group
+# (fractions of capacity, the growth spread over STORAGE_SPAN_DAYS days from STORAGE_START);
+# the groups end near different thresholds so every storage rule outcome occurs.
+STORAGE_START = "1995-01-01"
+STORAGE_SPAN_DAYS = 2500
+STORAGE_BASE = (0.46, 0.11, 0.30, 0.215, 0.49)
+STORAGE_SLOPE = (0.50, 0.75, 0.05, 0.50, 0.30)
 STORAGE_TOTAL_GB = 1000.0
 NETWORK_BANDWIDTH_MBPS = 500000.0
 
@@ -64,11 +66,11 @@ def compute_from_events(events: DataFrame) -> DataFrame:
 
 
 def storage_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Daily disk usage: storage = l_suppkey % 5, used = capacity * (base + slope * day / 500) + quantity."""
-    li = lineitem.where(F.col("l_shipdate") >= F.lit(STORAGE_START).cast("timestamp_ntz"))
+    """Daily disk usage: storage = l_suppkey % 5, used = capacity * (base + slope * day / span) + quantity."""
+    li = lineitem
     k = F.col("l_suppkey") % N_GROUPS
     d = F.datediff(F.to_date("l_shipdate"), F.lit(STORAGE_START).cast("date"))
-    level = _by_group(k, [F.lit(b) for b in STORAGE_BASE]) + _by_group(k, [F.lit(s) for s in STORAGE_SLOPE]) * d / 500
+    level = _by_group(k, [F.lit(b) for b in STORAGE_BASE]) + _by_group(k, [F.lit(s) for s in STORAGE_SLOPE]) * d / STORAGE_SPAN_DAYS
     used = F.lit(STORAGE_TOTAL_GB) * level + F.col("l_quantity")
     total = F.lit(STORAGE_TOTAL_GB)
     return li.select(
