@@ -110,13 +110,32 @@ def compute_daily_stream(spark: SparkSession, sf_dir: str, delay: str = "1 day")
     return stream_daily(row_clean(deduped, COMPUTE), COMPUTE)
 
 
-def stream_daily_closed(spark: SparkSession, sf_dir: str, delay: str = "1 day") -> DataFrame:
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a stateful streaming query with an explicit number of state partitions.
+
+    A streaming query fixes its shuffle/state partition count at its first start (it is kept in
+    the checkpoint) and AQE does not resize it, so it is set here from the cluster's parallelism
+    instead of inheriting whatever the batch jobs use; the session value is restored afterwards.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
+def stream_daily_closed(spark: SparkSession, sf_dir: str, delay: str = "1 day",
+                        state_partitions: int | None = None) -> DataFrame:
     """Run :func:`compute_daily_stream` to completion (availableNow) into the shared folder and
     return what it emitted: the closed days."""
     base = fresh_path(spark, "stream-daily")
-    q = (compute_daily_stream(spark, sf_dir, delay).writeStream.format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
+    writer = (compute_daily_stream(spark, sf_dir, delay).writeStream.format("parquet")
+              .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+              .outputMode("append").trigger(availableNow=True))
+    q = start_with_state_partitions(spark, writer, state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
