@@ -7,6 +7,7 @@ and the large raw input is scanned once.
 
 from __future__ import annotations
 
+import logging
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from headroom.session import fresh_path
 from headroom.sources import adapters
 from headroom.sources.files import land_recommendations, read_all, write_interim, write_table
 
+logger = logging.getLogger(__name__)
+
 
 def _done(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a completely written table (its ``_SUCCESS`` marker exists)."""
@@ -56,6 +59,9 @@ def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir:
                  horizons_weeks: Sequence[int] | None = None, resume: bool = False) -> DataFrame:
     """One long series table -> both models for every resource -> written forecasts."""
     s = _persist(spark, series.prepare_all(trends), f"{out_dir}/processed/series", log, resume)
+    for r in series.resource_counts(s).collect():  # one row per resource type
+        log[f"series_{r.resource_type}"] = r.n_resources
+    logger.info("[FORECASTED] %s", {k: v for k, v in log.items() if k.startswith("series_")})
     _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log, resume)
     return _persist(spark, forecast.forecast_all(s, horizons_weeks), f"{out_dir}/processed/forecasts", log, resume)
 
@@ -67,6 +73,9 @@ def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: st
     recs = narrative.narrate(rules.recommend(trends, forecasts, th, rule_model), responses, provider)
     recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log, resume)
     _, log["recommendations_csv"] = land_recommendations(recs, f"{out_dir}/processed/recommendations_csv")
+    counts = rules.risk_counts(recs).first()  # one row
+    log["critical"], log["warning"] = counts.critical_count, counts.warning_count
+    logger.info("[SUMMARY] %d critical, %d warning recommendation(s)", counts.critical_count, counts.warning_count)
     return recs
 
 

@@ -7,6 +7,7 @@ and report the row count through an ``Observation`` filled by the same job.
 
 from __future__ import annotations
 
+import logging
 from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +21,8 @@ from headroom.operators.trends import TREND_BUILDERS
 from headroom.operators.series import prepare_all
 from headroom.schemas import KINDS
 
+logger = logging.getLogger(__name__)
+
 RAW_FILES = {"compute": "compute_metrics", "storage": "storage_metrics", "network": "network_metrics"}
 
 
@@ -79,7 +82,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.option("header", True).option("escape", "\"").csv(path)
     else:
         w.format(fmt).save(path)
-    return path, int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    logger.info("[SAVED] %s rows -> %s", f"{rows:,}", path)
+    return path, rows
 
 
 def write_interim(datasets: Mapping[str, DataFrame], interim_dir: str) -> dict[str, tuple[str, int]]:

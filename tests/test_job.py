@@ -21,6 +21,8 @@ def test_job_end_to_end_small(spark):
     log = run_job(spark, raw, out)
     assert all(log[k] > 0 for k in ("compute_cleaned", "storage_trends", "forecasts", "recommendations",
                                     "utilization_overview", "risk_summary"))
+    assert (log["series_compute"], log["series_storage"], log["series_network"]) == (2, 2, 2)
+    assert log["critical"] >= 1
     for p in ("export/utilization_overview", "export/recommendations", "export/risk_summary",
               "processed/recommendations_csv"):
         assert os.path.isdir(os.path.join(out, p))
