@@ -17,7 +17,7 @@ from headroom.config import (
     STORAGE_RULE_HORIZONS, WARNING, Thresholds,
 )
 from headroom.functions.numeric import pandas_div
-from headroom.operators.forecast import forecast_peaks
+from headroom.operators.forecast import PROPHET, forecast_peaks, forecast_prophet
 from headroom.operators.series import prepare_series
 from headroom.schemas import COMPUTE, NETWORK, STORAGE, RECOMMENDATION_COLUMNS
 
@@ -142,6 +142,10 @@ def recommend(trends: dict[str, DataFrame], forecasts: DataFrame | None = None,
     if forecasts is not None:
         current = latest_value(trends["storage"], STORAGE.id_col, STORAGE.target)
         storage = rule_storage(current, horizon_peaks(forecasts, rule_model), th)
+    elif rule_model == PROPHET:
+        s = prepare_series(trends["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
+        current = latest_value(trends["storage"], STORAGE.id_col, STORAGE.target)
+        storage = rule_storage(current, horizon_peaks(forecast_prophet(s, STORAGE_RULE_HORIZONS), PROPHET), th)
     else:
         s = prepare_series(trends["storage"], STORAGE.id_col, "date", STORAGE.target, "storage")
         storage = rule_storage(forecast_peaks(s, rule_model, STORAGE_RULE_HORIZONS).drop("resource_type"), None, th)

@@ -133,6 +133,10 @@ def q_seasonal_forecast(spark, sf_dir):
     return _forecast_cols(forecast.forecast_seasonal(s))
 
 
+def q_prophet_forecast(spark, sf_dir):
+    return _forecast_cols(forecast.forecast_prophet(series_table(spark, sf_dir)))
+
+
 def q_forecast_status(spark, sf_dir):
     s = series_table(spark, sf_dir)
     # Variant with injected missing values: cluster-03 loses y on the 15th of each month.
@@ -260,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "linear_fit": q_linear_fit,
     "linear_forecast": q_linear_forecast,
     "seasonal_forecast": q_seasonal_forecast,
+    "prophet_forecast": q_prophet_forecast,
     "forecast_status": q_forecast_status,
     "select_model": q_select_model,
     "horizon_peaks": q_horizon_peaks,

@@ -440,6 +440,9 @@ def build() -> dict[str, str]:
                        f" {r4('sigma')} AS sigma, max_t, max_ds, status FROM linear_fit")
     q["linear_forecast"] = with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST) + " " + \
         forecast_select("linear_forecast")
+    # The prophet slot without Prophet installed is the linear forecast (the source's fallback).
+    q["prophet_forecast"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST) + " " +
+                             forecast_select("(SELECT * REPLACE ('prophet' AS model) FROM linear_forecast)"))
     q["seasonal_forecast"] = (with_ctes(*series_ctes, seasonal_ctes(
         "(SELECT * FROM series WHERE resource_type IN ('storage', 'compute'))"), SEASONAL_FORECAST) + " " +
         forecast_select("seasonal_forecast"))

@@ -1,10 +1,14 @@
 import datetime as dt
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+ROOT = str(Path(__file__).resolve().parents[1])
+sys.path.insert(0, ROOT)
+# Python workers (grouped-map tests) import the package and the test helpers by name.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH", "")) if p)
 
 from headroom.session import local_session  # noqa: E402
 

@@ -174,3 +174,41 @@ def test_select_model_prefers_seasonal_on_weekly_pattern(spark):
     assert rows[("weekly", "seasonal")].n_holdout == 28
     # an exact line: both models are exact, the tie goes to the model name
     assert rows[("line", "linear_regression")].selected and rows[("line", "linear_regression")].mae < 1e-9
+
+
+def test_prophet_slot_without_prophet_is_the_linear_forecast(spark):
+    from headroom.operators.forecast import forecast_prophet, prophet_available
+    if prophet_available():
+        return
+    y = list(np.linspace(50, 80, 60))
+    s = series_df(spark, "r1", [d(i) for i in range(60)], y)
+    p = _pd(forecast_prophet(s))
+    lin = _pd(forecast_linear(s))
+    assert set(p["model"]) == {"prophet"} and set(p["model_used"]) == {"linear_regression"}
+    np.testing.assert_allclose(p["yhat"], lin["yhat"], rtol=1e-12)
+
+
+def _fake_fitter(ds, y, days):
+    """A stand-in for the Prophet call: last value carried forward with a fixed band."""
+    import pandas as pd
+    dates = pd.Timestamp(max(ds)) + pd.to_timedelta(np.arange(1, days + 1), unit="D")
+    yhat = np.full(days, y[-1])
+    return dates, yhat, yhat - 1.0, yhat + 1.0, "prophet"
+
+
+def _failing_fitter(ds, y, days):
+    raise RuntimeError("solver failed")
+
+
+def test_prophet_slot_grouped_map_plumbing(spark):
+    from headroom.operators.forecast import forecast_prophet
+    y = list(np.linspace(50, 80, 60))
+    s = series_df(spark, "r1", [d(i) for i in range(60)], y).unionByName(series_df(spark, "r2", [d(0)], [1.0]))
+    p = _pd(forecast_prophet(s, [4, 12], fitter=_fake_fitter))
+    assert set(p["resource_id"]) == {"r1"} and len(p) == 28 + 84
+    assert (p["yhat"] == 80.0).all() and p["ds"].iloc[0] == d(60)
+    # a failing fit falls back to the linear model for that resource
+    f = _pd(forecast_prophet(s, [4], fitter=_failing_fitter))
+    lin = _pd(forecast_linear(s, [4]))
+    assert set(f["model_used"]) == {"linear_regression"}
+    np.testing.assert_allclose(f["yhat"], lin["yhat"], rtol=1e-9)

@@ -148,3 +148,17 @@ def test_seasonal_spike_scenario(spark):
         "enable_temporary_autoscaling", "warning", {"spike_days": 5.0})
     assert r.forecasted_value == 100.0
     assert abs(r.current_value - (55 * (500 / 1840 * 100) + 500) / 60) < 1e-9
+
+
+def test_recommend_with_prophet_slot_equals_linear_without_prophet(spark):
+    from headroom.operators.forecast import prophet_available
+    if prophet_available():
+        return
+    raw = storage_df(spark, [(day(i), "s", 500.0 + 5 * i, 1000.0, None, 10.0) for i in range(60)])
+    trends = {"storage": process_storage_trends(clean_storage(raw)),
+              "compute": process_compute_trends(clean_compute(compute_df(spark, [(hour(0), "c", 50.0, 1.0, 50.0)]))),
+              "network": process_network_trends(clean_network(network_df(spark, [(hour(0), "n", 1.0, 1.0, 1.0)])))}
+    key = lambda r: (r.resource_id, r.risk_level, r.forecast_horizon_weeks, round(r.forecasted_value, 9))
+    a = sorted(map(key, rules.recommend(trends, rule_model="prophet").collect()))
+    b = sorted(map(key, rules.recommend(trends).collect()))
+    assert a == b and ("s", "critical", 4) in [x[:3] for x in a]
