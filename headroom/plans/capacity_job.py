@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from headroom.config import LINEAR, Thresholds
 from headroom.operators import export, forecast, narrative, rules, series
 from headroom.operators.cleaning import CLEANERS
+from headroom.operators.quality import observe_quality, raise_on_violations
 from headroom.operators.trends import TREND_BUILDERS
 from headroom.session import fresh_path
 from headroom.sources import adapters
@@ -117,7 +118,15 @@ def run_from_raw_dir(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str =
     if resume and all(_done(spark, f"{interim_dir}/{k}_ingested") for k in ("compute", "storage", "network")):
         interim = {k: spark.read.parquet(f"{interim_dir}/{k}_ingested") for k in ("compute", "storage", "network")}
     else:
-        written = write_interim(read_all(spark, raw_dir, fmt, on_violation), interim_dir)
+        # The quality rules ride on the interim write (one pass over the raw files); with
+        # "fail" the job stops right after it, before any cleaning.
+        raw = read_all(spark, raw_dir, fmt, on_violation="report")
+        observed = {k: observe_quality(df, k) for k, df in raw.items()}
+        written = write_interim({k: df for k, (df, _) in observed.items()}, interim_dir)
+        for k, (_, obs) in observed.items():
+            log.update({f"{k}_{rule}": n for rule, n in obs.get.items()})
+            if on_violation == "fail":
+                raise_on_violations(obs, k)
         log.update({f"{k}_ingested": rows for k, (_, rows) in written.items()})
         interim = {k: spark.read.parquet(p) for k, (p, _) in written.items()}
     log.update(run_job(spark, interim, out_dir, resume=resume, **job_args))

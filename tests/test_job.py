@@ -60,3 +60,27 @@ def test_job_from_raw_csv_dir(spark):
     assert log["compute_ingested"] == 40 and log["recommendations"] > 0
     recs = {r.resource_id: r for r in spark.read.parquet(os.path.join(out, "processed/recommendations")).collect()}
     assert recs["c1"].recommendation_type == "downsize_underutilized_compute"
+
+
+def test_job_from_raw_dir_fails_on_broken_rule_after_one_pass(spark):
+    import pytest
+
+    from headroom.operators.quality import SchemaValidationError
+    from headroom.plans.capacity_job import run_from_raw_dir
+
+    base = tempfile.mkdtemp(prefix="headroom-rawfail-")
+    raw = os.path.join(base, "raw")
+    os.makedirs(raw)
+    files = {"compute_metrics": "timestamp,cluster_id,cpu_utilization_pct,memory_utilization_pct,cluster_utilization_pct\n"
+                                "2025-01-01 00:00:00,c1,150,30,20\n",
+             "storage_metrics": "timestamp,storage_id,disk_used_gb,disk_total_gb,disk_utilization_pct,io_utilization_pct\n"
+                                "2025-01-01 00:00:00,s1,10,100,10,5\n",
+             "network_metrics": "timestamp,link_id,bandwidth_mbps,throughput_mbps,latency_ms\n"
+                                "2025-01-01 00:00:00,n1,1000,10,5\n"}
+    for name, text in files.items():
+        with open(os.path.join(raw, f"{name}.csv"), "w") as f:
+            f.write(text)
+    with pytest.raises(SchemaValidationError, match="cpu_utilization_pct out of bounds"):
+        run_from_raw_dir(spark, raw, os.path.join(base, "out"))
+    log = run_from_raw_dir(spark, raw, os.path.join(base, "out2"), on_violation="report")
+    assert log["compute_cpu_out_of_bounds"] == 1 and log["compute_ingested"] == 1
