@@ -17,6 +17,10 @@ from headroom.schemas import COMPUTE, NETWORK, STORAGE, MetricKind
 
 SEQ = "seq"
 
+# Aggregation buffers of these types are fixed-width, which keeps min_by in a hash aggregate.
+_NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_FIXED_WIDTH = _NUMERIC + (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_col: str = SEQ) -> DataFrame:
     """Keep the row with the smallest ``order_col`` per key (NULL keys form one group).
@@ -30,10 +34,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_col: str = SEQ) -> Da
     keys = list(keys)
     carried = [c for c in df.columns if c not in keys and c != order_col]
     seq = F.col(order_col)
-    fixed = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType,
-             T.DateType, T.TimestampType, T.TimestampNTZType)
     types = {f.name: f.dataType for f in df.schema.fields}
-    if isinstance(types[order_col], fixed[:6]) and all(isinstance(types[c], fixed) for c in carried):
+    if isinstance(types[order_col], _NUMERIC) and all(isinstance(types[c], _FIXED_WIDTH) for c in carried):
         aggs = [F.min_by(c, seq).alias(c) for c in carried] + [F.min(seq).alias(order_col)]
         return df.groupBy(*keys).agg(*aggs).select(*df.columns)
     first = F.min_by(F.struct(*carried, order_col), seq).alias("_first")
