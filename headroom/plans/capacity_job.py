@@ -105,7 +105,7 @@ def run_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the job on the metric tables derived from ``sf_dir``; return the recommendations as
     read back from the written export."""
     out = fresh_path(spark, "capacity-job")
-    run_job(spark, adapters.raw_all(spark, sf_dir), out)
+    run_job(spark, adapters.raw_all(spark, sf_dir, dedupe_before_lookup=True), out)
     recs = spark.read.parquet(f"{out}/processed/recommendations")
     return recs.withColumn("details", F.to_json("details"))
 

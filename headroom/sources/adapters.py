@@ -80,17 +80,25 @@ def storage_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("seq"))
 
 
-def network_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def network_from_orders(orders: DataFrame, customer: DataFrame, dedupe_before_lookup: bool = False) -> DataFrame:
     """Daily link load: link = order priority, throughput = order total, latency = customer balance.
 
     A left lookup join on the unique customer key, so every order keeps exactly one row.
+    Because the lookup neither adds nor drops orders, first-wins de-duplication commutes with
+    it: ``dedupe_before_lookup`` reduces the orders to one row per (day, link) first, so the
+    join sees a table of days x links instead of every order (same cleaned result).
     """
-    c = customer.select(F.col("c_custkey"), F.col("c_acctbal"))
-    j = orders.join(c, orders["o_custkey"] == c["c_custkey"], "left")
-    return j.select(
+    o = orders.select(
         F.col("o_orderdate").alias("timestamp"), F.col("o_orderpriority").alias("link_id"),
         F.lit(NETWORK_BANDWIDTH_MBPS).alias("bandwidth_mbps"), F.col("o_totalprice").alias("throughput_mbps"),
-        F.col("c_acctbal").alias("latency_ms"), F.col("o_orderkey").alias("seq"))
+        F.col("o_custkey").alias("_custkey"), F.col("o_orderkey").alias("seq"))
+    if dedupe_before_lookup:
+        from headroom.operators.cleaning import dedupe_first
+        o = dedupe_first(o, ("timestamp", "link_id"))
+    c = customer.select(F.col("c_custkey"), F.col("c_acctbal"))
+    j = o.join(c, o["_custkey"] == c["c_custkey"], "left")
+    return j.select("timestamp", "link_id", "bandwidth_mbps", "throughput_mbps",
+                    F.col("c_acctbal").alias("latency_ms"), "seq")
 
 
 def raw_compute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,10 +109,11 @@ def raw_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage_from_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
-def raw_network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return network_from_orders(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer"))
+def raw_network(spark: SparkSession, sf_dir: str, dedupe_before_lookup: bool = False) -> DataFrame:
+    return network_from_orders(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer"),
+                               dedupe_before_lookup)
 
 
-def raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_all(spark: SparkSession, sf_dir: str, dedupe_before_lookup: bool = False) -> dict[str, DataFrame]:
     return {"compute": raw_compute(spark, sf_dir), "storage": raw_storage(spark, sf_dir),
-            "network": raw_network(spark, sf_dir)}
+            "network": raw_network(spark, sf_dir, dedupe_before_lookup)}

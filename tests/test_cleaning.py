@@ -94,3 +94,26 @@ def test_disk_pct_rounding_matches_numpy(spark):
     got = [r.disk_utilization_pct for r in clean_storage(df).orderBy("timestamp").collect()]
     want = list(np.round(np.array(used) / 1000.0 * 100, 2))
     assert got == want
+
+
+def test_sort_series_orders_by_id_then_time_with_missing_last(spark):
+    from headroom.operators.cleaning import sort_series
+    df = compute_df(spark, [(hour(3), "b", 1.0, 1.0, 1.0), (hour(1), None, 1.0, 1.0, 1.0), (hour(2), "a", 1.0, 1.0, 1.0),
+                            (None, "a", 1.0, 1.0, 1.0), (hour(0), "b", 1.0, 1.0, 1.0)])
+    rows = [(r.cluster_id, r.timestamp) for r in sort_series(df, "cluster_id", "timestamp").collect()]
+    assert rows == [("a", hour(2)), ("a", None), ("b", hour(0)), ("b", hour(3)), (None, hour(1))]
+
+
+def test_network_dedupe_before_lookup_gives_the_same_cleaned_rows(spark):
+    from headroom.sources.adapters import network_from_orders
+    orders = spark.createDataFrame(
+        [(1, 10, "O", 100.0, day(0), "1-URGENT"), (2, 11, "O", 200.0, day(0), "1-URGENT"),
+         (3, 99, "O", 300.0, day(0), "2-HIGH"), (4, 10, "O", 400.0, day(1), "1-URGENT")],
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string")
+    customer = spark.createDataFrame([(10, "a", 1, 5.0, "x"), (11, "b", 1, -3.0, "x")],
+                                     "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    full = clean_network(network_from_orders(orders, customer))
+    early = clean_network(network_from_orders(orders, customer, dedupe_before_lookup=True))
+    assert sorted(full.collect()) == sorted(early.collect())
+    assert {(r.link_id, r.seq) for r in full.collect()} == {("1-URGENT", 1), ("1-URGENT", 4)}  # order 3 has no customer
