@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from headroom.config import LINEAR, Thresholds
+from headroom.config import LINEAR, SEASONAL, Thresholds
+from headroom.operators.forecast import PROPHET
 from headroom.operators import export, forecast, narrative, rules, series
 from headroom.operators.cleaning import CLEANERS
 from headroom.operators.quality import observe_quality, raise_on_violations
@@ -56,15 +57,20 @@ def run_clean_and_trend(spark: SparkSession, raw: Mapping[str, DataFrame], out_d
             for k, df in cleaned.items()}
 
 
+JOB_MODELS = (LINEAR, PROPHET, SEASONAL)
+
+
 def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir: str, log: dict,
-                 horizons_weeks: Sequence[int] | None = None, resume: bool = False) -> DataFrame:
-    """One long series table -> both models for every resource -> written forecasts."""
+                 horizons_weeks: Sequence[int] | None = None, resume: bool = False,
+                 models: Sequence[str] = JOB_MODELS) -> DataFrame:
+    """One long series table -> every model slot for every resource -> written forecasts."""
     s = _persist(spark, series.prepare_all(trends), f"{out_dir}/processed/series", log, resume)
     for r in series.resource_counts(s).collect():  # one row per resource type
         log[f"series_{r.resource_type}"] = r.n_resources
     logger.info("[FORECASTED] %s", {k: v for k, v in log.items() if k.startswith("series_")})
     _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log, resume)
-    return _persist(spark, forecast.forecast_all(s, horizons_weeks), f"{out_dir}/processed/forecasts", log, resume)
+    return _persist(spark, forecast.forecast_all(s, horizons_weeks, models), f"{out_dir}/processed/forecasts", log,
+                    resume)
 
 
 def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: str, log: dict,

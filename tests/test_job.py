@@ -26,6 +26,8 @@ def test_job_end_to_end_small(spark):
     for p in ("export/utilization_overview", "export/recommendations", "export/risk_summary",
               "processed/recommendations_csv"):
         assert os.path.isdir(os.path.join(out, p))
+    fc = spark.read.parquet(os.path.join(out, "processed/forecasts"))
+    assert {r.model for r in fc.select("model").distinct().collect()} == {"linear_regression", "prophet", "seasonal"}
     recs = spark.read.parquet(os.path.join(out, "processed/recommendations"))
     assert recs.where("ai_narrative is null").count() == 0
     assert {r.resource_type for r in recs.select("resource_type").distinct().collect()} == {"compute", "storage", "network"}
