@@ -117,3 +117,27 @@ def test_network_dedupe_before_lookup_gives_the_same_cleaned_rows(spark):
     early = clean_network(network_from_orders(orders, customer, dedupe_before_lookup=True))
     assert sorted(full.collect()) == sorted(early.collect())
     assert {(r.link_id, r.seq) for r in full.collect()} == {("1-URGENT", 1), ("1-URGENT", 4)}  # order 3 has no customer
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One (timestamp, id) group holds a third of all rows, spread over every input partition:
+    partial aggregation collapses it per task; the survivor is still the smallest seq."""
+    from pyspark.sql import functions as F
+
+    from headroom.operators.trends import aggregate_daily
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(dt.datetime(2025, 1, 1, 5)))
+         .otherwise(F.make_timestamp_ntz(F.lit(2025), F.lit(1), (F.col("id") % 28 + 1).cast("int"),
+                                         (F.col("id") % 24).cast("int"), F.lit(0), F.lit(0))).alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 7).cast("string")))
+         .alias("cluster_id"),
+        (F.col("id") % 101).cast("double").alias("cpu_utilization_pct"),
+        F.lit(1.0).alias("memory_utilization_pct"), F.lit(2.0).alias("cluster_utilization_pct"),
+        (F.lit(n) - F.col("id")).alias("seq")).repartition(16)
+    out = clean_compute(base)
+    hot = out.where("cluster_id = 'hot'").collect()
+    # hot rows are ids 0, 3, ..., 29997; the smallest seq = n - 29997 = 3 belongs to id 29997
+    assert len(hot) == 1 and hot[0].seq == 3 and hot[0].cpu_utilization_pct == float(29997 % 101)
+    daily = aggregate_daily(out, "cluster_id", ["cpu_utilization_pct"]).where("cluster_id = 'hot'").collect()
+    assert len(daily) == 1
