@@ -52,12 +52,19 @@ def trend_tables(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str,
     return {name: trends.TREND_BUILDERS[name](df) for name, df in cleaned(spark, sf_dir, kinds).items()}
 
 
+def daily_tables(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str, DataFrame]:
+    """Daily means only: what the series, rules and overview read from the trend tables."""
+    from headroom.schemas import KINDS
+    return {name: trends.aggregate_daily(df, KINDS[name].id_col, KINDS[name].daily_cols)
+            for name, df in cleaned(spark, sf_dir, kinds).items()}
+
+
 def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.prepare_all(trend_tables(spark, sf_dir))
+    return series.prepare_all(daily_tables(spark, sf_dir))
 
 
 def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.recommend(trend_tables(spark, sf_dir))
+    return rules.recommend(daily_tables(spark, sf_dir))
 
 
 def _flat_recs(recs: DataFrame, *extra: str) -> DataFrame:
@@ -132,7 +139,7 @@ def q_linear_forecast(spark, sf_dir):
 
 
 def q_seasonal_forecast(spark, sf_dir):
-    s = series.prepare_all(trend_tables(spark, sf_dir, ["compute", "storage"]))
+    s = series.prepare_all(daily_tables(spark, sf_dir, ["compute", "storage"]))
     return _forecast_cols(forecast.forecast_seasonal(s))
 
 
@@ -215,7 +222,7 @@ def q_narratives_from_responses(spark, sf_dir):
 
 
 def q_utilization_overview(spark, sf_dir):
-    o = export.utilization_overview(trend_tables(spark, sf_dir))
+    o = export.utilization_overview(daily_tables(spark, sf_dir))
     return o.select("resource_id", "resource_type", "date", r6("utilization_pct").alias("utilization_pct"))
 
 
