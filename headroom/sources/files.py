@@ -71,8 +71,9 @@ def read_all(spark: SparkSession, raw_dir: str, fmt: str = "csv", on_violation:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> tuple[str, int]:
-    """Write ``df`` and return (path, rows) from an Observation of the same job."""
+                partition_by: list[str] | None = None, label: str | None = None) -> tuple[str, int]:
+    """Write ``df`` and return (path, rows) from an Observation of the same job; logs
+    ``[SAVED] <label>: <rows> rows -> <path>``."""
     obs = Observation(f"rows_{abs(hash(path))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode)
@@ -83,7 +84,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     else:
         w.format(fmt).save(path)
     rows = int(obs.get["rows"])
-    logger.info("[SAVED] %s rows -> %s", f"{rows:,}", path)
+    logger.info("[SAVED] %s: %s rows -> %s", label or path.rstrip("/").rsplit("/", 1)[-1], f"{rows:,}", path)
     return path, rows
 
 

@@ -91,3 +91,13 @@ def test_notebook_chain_csv_to_series(spark):
     s = load_series(spark, os.path.join(base, "processed"))
     got = {(r.resource_type, r.resource_id): r["count"] for r in s.groupBy("resource_type", "resource_id").count().collect()}
     assert got == {("compute", "c1"): 3, ("storage", "s1"): 3, ("network", "n1"): 3}
+
+
+def test_write_table_logs_label_rows_and_path(spark, caplog):
+    import logging
+    base = _tmp()
+    out = os.path.join(base, "deep", "nested", "t")
+    with caplog.at_level(logging.INFO, logger="headroom.sources.files"):
+        path, rows = write_table(spark.createDataFrame([(1,), (2,), (3,)], "a int"), out, "csv", label="Test data")
+    assert os.path.exists(out) and path == out and rows == 3
+    assert "[SAVED]" in caplog.text and "Test data" in caplog.text and "3 rows" in caplog.text and out in caplog.text
