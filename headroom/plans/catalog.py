@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headroom.config import CRITICAL, LINEAR, WARNING, Thresholds
+from headroom.config import CRITICAL, WARNING
 from headroom.functions.numeric import round_to
 from headroom.operators import cleaning, export, forecast, narrative, rules, series, trends
 from headroom.schemas import COMPUTE, NETWORK, STORAGE

@@ -1,8 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from headroom.config import Thresholds
 from headroom.operators import rules
 from headroom.operators.cleaning import clean_compute, clean_network, clean_storage
 from headroom.operators.forecast import forecast_linear

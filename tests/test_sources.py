@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from headroom.operators.quality import SchemaValidationError
 from headroom.sources.files import read_all, read_metrics, write_table, land_recommendations
