@@ -55,18 +55,22 @@ def row_clean(df: DataFrame, kind: MetricKind) -> DataFrame:
 
 
 def land_stream(spark: SparkSession, landing_dir: str, kind: str, out_dir: str, checkpoint: str,
-                fmt: str = "csv", with_seq: bool = False) -> StreamingQuery:
-    """Landed raw files -> NaN->NULL -> row-wise checks -> parquet append (availableNow).
+                fmt: str = "csv", with_seq: bool = False, processing_time: str | None = None) -> StreamingQuery:
+    """Landed raw files -> NaN->NULL -> row-wise checks -> parquet append.
 
     ``with_seq``: the files also carry the ``seq`` (input order) column, kept for dedupe.
+    ``processing_time`` (e.g. ``"1 hour"``) keeps the stream running on that cadence; by
+    default it processes what has landed and stops (``availableNow``).
     """
     from pyspark.sql import types as T
 
     k = KINDS[kind]
     schema = T.StructType(k.schema.fields + [T.StructField(SEQ, T.LongType(), True)]) if with_seq else k.schema
     df = normalise_missing(read_stream(spark, landing_dir, schema, fmt))
-    return (row_clean(df, k).writeStream.format("parquet").option("path", out_dir)
-            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    writer = (row_clean(df, k).writeStream.format("parquet").option("path", out_dir)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
 def with_event_time(df: DataFrame, delay: str) -> DataFrame:
