@@ -155,10 +155,17 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
 
 
 def forecast_status(series: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
-    """F9 companion: (resource_type, resource_id, model, status, n, n_y) for both models."""
-    lin = fit_linear(series).select(*KEY, F.lit(LINEAR).alias("model"), "status", "n", "n_y")
-    sea = fit_seasonal(series, params).select(*KEY, F.lit(SEASONAL).alias("model"), "status", "n", "n_y")
-    return lin.unionByName(sea)
+    """F9 companion: (resource_type, resource_id, model, status, n, n_y) for both models.
+
+    One pass: the linear status depends only on the point counts, which the seasonal fit
+    already aggregates.
+    """
+    fit = fit_seasonal(series, params)
+    both = F.array(
+        F.struct(F.lit(LINEAR).alias("model"), linear_status(F.col("n"), F.col("n_y")).alias("status")),
+        F.struct(F.lit(SEASONAL).alias("model"), F.col("status").alias("status")))
+    return (fit.select(*KEY, "n", "n_y", F.explode(both).alias("_s"))
+            .select(*KEY, "_s.model", "_s.status", "n", "n_y"))
 
 
 def forecast_peaks(series: DataFrame, model: str = LINEAR, horizons_weeks: Sequence[int] = (4, 12),
