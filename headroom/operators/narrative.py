@@ -17,6 +17,12 @@ from headroom.functions.numeric import round_half_even
 
 NARRATIVE_KEY = ("resource_type", "resource_id", "forecast_horizon_weeks")
 
+# --- fixed values: template sentences (printf style; %% is a literal percent sign) ---------
+NO_ACTION_SENTENCE = "%s is currently operating within normal thresholds (%s%%). No action is required at this time."
+ACTION_SENTENCE = "%s is projected to reach %s%s based on current trends (risk level: %s). Recommended action: %s."
+HORIZON_PHRASE = " within %s weeks"
+# --- end of fixed values ------------------------------------------------------------------
+
 # Whitespace stripped around service text.
 _WS = " \t\n\r\x0b\x0c"
 
@@ -46,13 +52,10 @@ def narrative_template(resource_id="resource_id", rec_type="recommendation_type"
     """Deterministic sentence; only the no_action sentence carries a % sign."""
     rid, rt, rk, cur, fc, h = (F.col(x) if isinstance(x, str) else x
                                for x in (resource_id, rec_type, risk, current, forecast, horizon))
-    horizon_text = F.when(h.isNotNull() & (h != 0), F.concat(F.lit(" within "), h.cast("string"), F.lit(" weeks"))) \
+    horizon_text = F.when(h.isNotNull() & (h != 0), F.format_string(HORIZON_PHRASE, h.cast("string"))) \
         .otherwise(F.lit(""))
-    no_action = F.concat(rid, F.lit(" is currently operating within normal thresholds ("), fmt_one_decimal(cur),
-                         F.lit("%). No action is required at this time."))
-    action = F.concat(rid, F.lit(" is projected to reach "), fmt_one_decimal(fc), horizon_text,
-                      F.lit(" based on current trends (risk level: "), rk, F.lit("). Recommended action: "),
-                      action_text(rt), F.lit("."))
+    no_action = F.format_string(NO_ACTION_SENTENCE, rid, fmt_one_decimal(cur))
+    action = F.format_string(ACTION_SENTENCE, rid, fmt_one_decimal(fc), horizon_text, rk, action_text(rt))
     return F.when(rt == NO_ACTION, no_action).otherwise(action)
 
 

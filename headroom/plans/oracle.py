@@ -7,7 +7,7 @@ Tables ``events lineitem orders customer`` are views over the benchmark parquet
 from __future__ import annotations
 
 from headroom.plans.catalog import QUERIES
-from headroom.operators.narrative import PROMPT_TEMPLATE
+from headroom.operators.narrative import ACTION_SENTENCE, HORIZON_PHRASE, NO_ACTION_SENTENCE, PROMPT_TEMPLATE
 
 
 def r(x: str, d: int) -> str:
@@ -360,13 +360,12 @@ def _fmt1(x: str) -> str:
 
 
 NARRATIVE = (
-    "CASE WHEN recommendation_type = 'no_action' THEN resource_id || ' is currently operating within normal "
-    f"thresholds (' || {_fmt1('current_value')} || '%). No action is required at this time.' "
-    f"ELSE resource_id || ' is projected to reach ' || {_fmt1('forecasted_value')} || "
+    f"CASE WHEN recommendation_type = 'no_action' THEN printf('{NO_ACTION_SENTENCE}', resource_id, "
+    f"{_fmt1('current_value')}) "
+    f"ELSE printf('{ACTION_SENTENCE}', resource_id, {_fmt1('forecasted_value')}, "
     "CASE WHEN forecast_horizon_weeks IS NOT NULL AND forecast_horizon_weeks <> 0 "
-    "THEN ' within ' || CAST(forecast_horizon_weeks AS VARCHAR) || ' weeks' ELSE '' END || "
-    "' based on current trends (risk level: ' || risk_level || '). Recommended action: ' || "
-    "replace(recommendation_type, '_', ' ') || '.' END"
+    f"THEN printf('{HORIZON_PHRASE}', CAST(forecast_horizon_weeks AS VARCHAR)) ELSE '' END, risk_level, "
+    "replace(recommendation_type, '_', ' ')) END"
 )
 
 ALL_RECS_CTES = (upto_trends(*ALL) + [SERIES, LINEAR_FIT.format(src="(SELECT * FROM series WHERE resource_type = 'storage')"),
