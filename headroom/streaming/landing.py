@@ -77,8 +77,15 @@ def with_event_time(df: DataFrame, delay: str) -> DataFrame:
     return df.withColumn(EVENT_TIME, ntz_as_utc_instant("timestamp")).withWatermark(EVENT_TIME, delay)
 
 
-def stream_dedupe(df: DataFrame, kind: MetricKind, delay: str = "1 day", order_col: str = SEQ) -> DataFrame:
-    """One row per (timestamp, id), the smallest ``order_col`` wins; ``df`` must carry event time."""
+def stream_dedupe(df: DataFrame, kind: MetricKind, delay: str = "1 day", order_col: str | None = SEQ) -> DataFrame:
+    """One row per (timestamp, id), the smallest ``order_col`` wins; ``df`` must carry event time.
+
+    Without an order column (``order_col=None``) the first row to *arrive* wins
+    (``dropDuplicatesWithinWatermark``); that equals the batch result only when arrival order
+    is input order.
+    """
+    if order_col is None:
+        return df.dropDuplicatesWithinWatermark(["timestamp", kind.id_col])
     carried = [c for c in df.columns if c not in (EVENT_TIME, "timestamp", kind.id_col, order_col)]
     aggs = [F.min_by(c, F.col(order_col)).alias(c) for c in carried]
     return df.groupBy(EVENT_TIME, "timestamp", kind.id_col).agg(*aggs)

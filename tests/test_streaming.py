@@ -62,3 +62,24 @@ def test_stream_dedupe_keeps_smallest_seq_across_micro_batches(spark):
     q.awaitTermination()
     rows = spark.sql("select * from dedupe_test").collect()
     assert [(r.date.isoformat(), r.cpu_utilization_pct) for r in rows] == [("2025-01-01", 10.0)]
+
+
+def test_stream_dedupe_without_order_keeps_one_row_per_key(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from headroom.schemas import COMPUTE_SCHEMA
+    from headroom.streaming.landing import read_stream, stream_dedupe, with_event_time
+
+    base = tempfile.mkdtemp(prefix="headroom-dedupe-any-")
+    src = os.path.join(base, "landing")
+    t0 = dt.datetime(2025, 1, 1, 5)
+    spark.createDataFrame([(t0, "c1", 90.0, 1.0, 90.0), (t0, "c1", 10.0, 1.0, 10.0), (t0, "c2", 5.0, 1.0, 5.0)],
+                          COMPUTE_SCHEMA).coalesce(1).write.parquet(src)
+    s = stream_dedupe(with_event_time(read_stream(spark, src, COMPUTE_SCHEMA), "1 day"), COMPUTE, order_col=None)
+    q = (s.writeStream.format("memory").queryName("dedupe_any").outputMode("append")
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("select cluster_id from dedupe_any").collect()
+    assert sorted(r.cluster_id for r in rows) == ["c1", "c2"]
