@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from headroom.config import CRITICAL, WARNING
 from headroom.functions.numeric import round_to
 from headroom.operators import cleaning, export, forecast, narrative, rules, series, trends
-from headroom.schemas import COMPUTE, NETWORK, STORAGE
+from headroom.schemas import COMPUTE, KINDS, NETWORK, STORAGE
 from headroom.sources import adapters
 from headroom.sources.files import dq_report
 
@@ -54,7 +54,6 @@ def trend_tables(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str,
 
 def daily_tables(spark: SparkSession, sf_dir: str, kinds=ALL_KINDS) -> dict[str, DataFrame]:
     """Daily means only: what the series, rules and overview read from the trend tables."""
-    from headroom.schemas import KINDS
     return {name: trends.aggregate_daily(df, KINDS[name].id_col, KINDS[name].daily_cols)
             for name, df in cleaned(spark, sf_dir, kinds).items()}
 
@@ -69,8 +68,8 @@ def _recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flat_recs(recs: DataFrame, *extra: str) -> DataFrame:
     keys = F.map_keys("details")
-    return recs.select(*extra,
-        "resource_id", "resource_type", "recommendation_type", "risk_level",
+    return recs.select(
+        *extra, "resource_id", "resource_type", "recommendation_type", "risk_level",
         r4("current_value").alias("current_value"), r4("forecasted_value").alias("forecasted_value"),
         F.col("forecast_horizon_weeks").cast("long").alias("forecast_horizon_weeks"),
         F.get(keys, 0).alias("detail_key"), F.get(F.map_values("details"), 0).alias("detail_value"))
