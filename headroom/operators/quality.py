@@ -104,7 +104,10 @@ def observe_quality(df: DataFrame, kind: str | MetricKind, name: str | None = No
     require_columns(df, k.columns, _LABELS[k.name])
     obs = Observation(name or f"quality_{k.name}")
     rules = RULES[k.name]
-    observed = df.observe(obs, *[F.count_if(F.coalesce(r.violation(), F.lit(False))).alias(r.name) for r in rules])
+    # Rows without a timestamp are reported too (they cannot be de-duplicated or dated), but
+    # only the rules above can fail a load.
+    observed = df.observe(obs, *[F.count_if(F.coalesce(r.violation(), F.lit(False))).alias(r.name) for r in rules],
+                          F.count_if(F.col("timestamp").isNull()).alias("missing_timestamp"))
     return observed, obs
 
 

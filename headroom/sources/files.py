@@ -51,8 +51,9 @@ def read_metrics(spark: SparkSession, path: str, kind: str, fmt: str = "csv",
     k = KINDS[kind]
     reader = spark.read.schema(k.schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
-        df = reader.csv(path)
+        # Spark's default timestamp parsing accepts "2025-01-01 00:00:00", "2025-01-01T00:00:00.000"
+        # (Spark's own CSV output) and date-only values.
+        df = reader.option("header", True).csv(path)
     else:
         df = reader.format(fmt).load(path)
     df = with_input_order(normalise_missing(df))

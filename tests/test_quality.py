@@ -57,6 +57,6 @@ def test_observed_checks_run_in_the_consuming_job(spark):
     df = network_df(spark, [(hour(0), "n1", 1000.0, 500.0, -5.0), (hour(1), "n1", 1000.0, 500.0, 5.0)])
     observed, obs = observe_quality(df, "network")
     observed.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"negative_latency": 1}
+    assert obs.get == {"negative_latency": 1, "missing_timestamp": 0}
     with pytest.raises(SchemaValidationError, match="latency_ms cannot be negative"):
         raise_on_violations(obs, "network")

@@ -100,3 +100,23 @@ def test_write_table_logs_label_rows_and_path(spark, caplog):
         path, rows = write_table(spark.createDataFrame([(1,), (2,), (3,)], "a int"), out, "csv", label="Test data")
     assert os.path.exists(out) and path == out and rows == 3
     assert "[SAVED]" in caplog.text and "Test data" in caplog.text and "3 rows" in caplog.text and out in caplog.text
+
+
+def test_read_metrics_accepts_pandas_and_spark_timestamp_text(spark):
+    base = _tmp()
+    p = os.path.join(base, "compute_metrics.csv")
+    _write(p, "timestamp,cluster_id,cpu_utilization_pct,memory_utilization_pct,cluster_utilization_pct\n"
+              "2025-01-01 00:00:00,c1,1,1,1\n2025-01-01T01:00:00.000,c1,2,2,2\n2025-01-02,c1,3,3,3\n")
+    rows = read_metrics(spark, p, "compute").orderBy("timestamp").collect()
+    assert [str(r.timestamp) for r in rows] == ["2025-01-01 00:00:00", "2025-01-01 01:00:00", "2025-01-02 00:00:00"]
+
+
+def test_spark_written_csv_round_trips_through_the_cleaners(spark):
+    from headroom.operators.cleaning import clean_compute
+    from tests.conftest import hour
+    from tests.frames import compute_df
+    base = _tmp()
+    src = compute_df(spark, [(hour(i), "c1", float(i), 1.0, 1.0) for i in range(30)]).drop("seq")
+    write_table(src, os.path.join(base, "compute_metrics.csv"), "csv")
+    back = read_metrics(spark, os.path.join(base, "compute_metrics.csv"), "compute")
+    assert clean_compute(back).count() == 30
