@@ -120,3 +120,15 @@ def test_spark_written_csv_round_trips_through_the_cleaners(spark):
     write_table(src, os.path.join(base, "compute_metrics.csv"), "csv")
     back = read_metrics(spark, os.path.join(base, "compute_metrics.csv"), "compute")
     assert clean_compute(back).count() == 30
+
+
+def test_file_input_first_wins_in_file_order(spark):
+    from headroom.operators.cleaning import clean_compute
+    base = _tmp()
+    p = os.path.join(base, "compute_metrics.csv")
+    lines = ["timestamp,cluster_id,cpu_utilization_pct,memory_utilization_pct,cluster_utilization_pct"]
+    lines += [f"2025-01-01 00:00:00,c1,{v},1,1" for v in (70, 10, 40)]  # same key three times
+    lines += [f"2025-01-01 0{h}:00:00,c2,{h},1,1" for h in range(1, 9)]
+    _write(p, "\n".join(lines) + "\n")
+    out = {(r.cluster_id, str(r.timestamp)): r.cpu_utilization_pct for r in clean_compute(read_metrics(spark, p, "compute")).collect()}
+    assert out[("c1", "2025-01-01 00:00:00")] == 70.0 and len(out) == 9
