@@ -63,7 +63,7 @@ def test_land_recommendations_json_details(spark):
     assert rows == 1 and back.details == '{"threshold":90.0}'
 
 
-def test_notebook_chain_csv_to_series(spark):
+def test_file_stage_chain_csv_to_series(spark):
     """S2 read_all -> S3 write_interim -> S4 clean_all -> S6 write_trends -> S7 load_series."""
     from headroom.sources.files import clean_all, load_series, write_interim, write_trends
     base = _tmp()
