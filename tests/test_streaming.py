@@ -83,3 +83,22 @@ def test_stream_dedupe_without_order_keeps_one_row_per_key(spark):
     q.awaitTermination()
     rows = spark.sql("select cluster_id from dedupe_any").collect()
     assert sorted(r.cluster_id for r in rows) == ["c1", "c2"]
+
+
+def test_state_partitions_follow_cluster_parallelism_not_batch_setting(spark):
+    from headroom.session import fresh_path
+    from headroom.streaming.landing import compute_daily_stream, start_with_state_partitions
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        base = fresh_path(spark, "state-parts")
+        writer = (compute_daily_stream(spark, SF).writeStream.format("noop").outputMode("append")
+                  .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True))
+        q = start_with_state_partitions(spark, writer, 3)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "37"  # session value restored
+        q.awaitTermination()
+        parts = {op["numShufflePartitions"] for p in q.recentProgress for op in p["stateOperators"]}
+        assert parts == {3}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
