@@ -127,7 +127,10 @@ def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -
                         .when(seasonal_ok, F.lit("ok"))
                         .when(linear_ok, F.lit("fallback_linear"))
                         .otherwise(F.lit("missing_y")))
-            .drop("_sigma_e", "_sigma_lin"))
+            # the plain linear model from the same pass (its OLS is the trend above)
+            .withColumn("linear_status", linear_status(F.col("n"), F.col("n_y")))
+            .withColumnRenamed("_sigma_lin", "sigma_linear")
+            .drop("_sigma_e"))
 
 
 def forecast_seasonal(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
@@ -140,17 +143,30 @@ def forecast_seasonal(series: DataFrame, horizons_weeks: Sequence[int] | None =
 
 def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
                  models: Sequence[str] = (LINEAR, SEASONAL), params: ForecastParams = ForecastParams()) -> DataFrame:
-    """every model for every resource; ineligible resources simply have no rows."""
+    """every model slot for every resource; ineligible resources simply have no rows.
+
+    All slots come from one pass over the series: the seasonal fit's windows already carry the
+    linear OLS statistics, so the linear (and, without Prophet, the prophet) rows are the same
+    fit rows projected with the linear prediction and interval.
+    """
+    horizons = ForecastParams(tuple(horizons_weeks or ())).resolved_horizons()
     frames = []
+    fit = fit_seasonal(series, params)
+    linear_fit = (fit.where(F.col("linear_status") == "ok").withColumn("sigma", F.col("sigma_linear"))
+                  .withColumn("model_used", F.lit(LINEAR)))
     if LINEAR in models:
-        frames.append(forecast_linear(series, horizons_weeks))
-    if SEASONAL in models:
-        frames.append(forecast_seasonal(series, horizons_weeks, params))
+        frames.append(_future(linear_fit.withColumn("model", F.lit(LINEAR)), horizons, linear_yhat))
     if PROPHET in models:
-        frames.append(forecast_prophet(series, horizons_weeks))
-    out = frames[0]
+        if prophet_available():
+            frames.append(forecast_prophet(series, horizons))
+        else:
+            frames.append(_future(linear_fit.withColumn("model", F.lit(PROPHET)), horizons, linear_yhat))
+    if SEASONAL in models:
+        seasonal_fit = fit.where(F.col("model_used").isNotNull()).withColumn("model", F.lit(SEASONAL))
+        frames.append(_future(seasonal_fit, horizons, seasonal_yhat))
+    out = frames[0].select(*FORECAST_COLUMNS)
     for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(f.select(*FORECAST_COLUMNS))
     return out
 
 

@@ -212,3 +212,20 @@ def test_prophet_slot_grouped_map_plumbing(spark):
     lin = _pd(forecast_linear(s, [4]))
     assert set(f["model_used"]) == {"linear_regression"}
     np.testing.assert_allclose(f["yhat"], lin["yhat"], rtol=1e-9)
+
+
+def test_forecast_all_single_pass_matches_each_model(spark):
+    from headroom.operators.forecast import forecast_all
+    i = np.arange(80)
+    y = list(40 + 0.3 * i + 2 * np.sin(2 * np.pi * i / 7))
+    s = series_df(spark, "r1", [d(k) for k in range(80)], y).unionByName(
+        series_df(spark, "r2", [d(k) for k in range(10)], [float(k) for k in range(10)]))
+    allf = forecast_all(s, [4, 12], models=("linear_regression", "prophet", "seasonal"))
+    for model, single in (("linear_regression", forecast_linear(s)), ("seasonal", forecast_seasonal(s))):
+        a = _pd(allf.where(F.col("model") == model))
+        b = _pd(single)
+        assert len(a) == len(b) and list(a["model_used"]) == list(b["model_used"])
+        np.testing.assert_allclose(a["yhat"], b["yhat"], rtol=1e-10)
+        np.testing.assert_allclose(a["yhat_upper"], b["yhat_upper"], rtol=1e-9)
+    p = _pd(allf.where(F.col("model") == "prophet"))
+    np.testing.assert_allclose(p["yhat"], _pd(forecast_linear(s))["yhat"], rtol=1e-10)
