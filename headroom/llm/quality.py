@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from headroom.llm.text import SPACED, small_sample, sums, table, utf8, with_result, words
 
-LABELLERS = ("shouting", "symbols", "repeats", "variety", "exclamation", "length", "word_length", "lines", "digits", "alphabetic")
+LABELLERS = ("shouting", "symbols", "symbol_words", "repeats", "variety", "exclamation", "length", "word_length", "lines", "digits", "alphabetic")
 #: Texts on which the linear scorer is trained.
 TRAINING_ROWS = 8_000
 BUCKETS = 1 << 14
@@ -44,6 +44,7 @@ class Features(NamedTuple):
 
     upper: np.ndarray
     odd: np.ndarray
+    odd_words: np.ndarray
     repeated: np.ndarray
     distinct: np.ndarray
     bang: np.ndarray
@@ -66,10 +67,12 @@ def features(column: pa.Array) -> Features:
     inner = np.arange(len(w.hash)) + 1 < w.last
     same = np.zeros(len(w.hash), bool)
     same[:-1] = (w.hash[1:] == w.hash[:-1]) & inner[:-1]
+    odd_sum = np.concatenate(([0], np.cumsum(_ODD[raw])))
     letter_sum = np.concatenate(([0], np.cumsum(_LETTER[raw])))
     mostly = (letter_sum[w.end] - letter_sum[w.start]) * 2 > (w.end - w.start)
     return Features(
-        share(per(_UPPER), ascii_letters), share(per(_ODD), per(SPACED)), share(sums(same, w.first), n_words),
+        share(per(_UPPER), ascii_letters), share(per(_ODD), per(SPACED)),
+        share(sums(odd_sum[w.end] > odd_sum[w.start], w.first), n_words), share(sums(same, w.first), n_words),
         share(_distinct(w), n_words), share(per(_BANG), n_words), n_words,
         share(sums((w.end - w.start), w.first), n_words), share(n_lines - _distinct(lines), n_lines),
         share(per(_DIGIT), per(SPACED)), share(sums(mostly, w.first), n_words))
@@ -90,14 +93,15 @@ def votes(f: Features) -> np.ndarray:
     return np.stack([
         vote(f.upper < 0.2, f.upper > 0.5),
         vote(f.odd < 0.02, f.odd > 0.08),
+        vote(f.odd_words < 0.1, enough & (f.odd_words > 0.3)),
         vote(enough & (f.repeated < 0.05), enough & (f.repeated > 0.2)),
         vote(enough & (f.distinct > 0.25), enough & (f.distinct < 0.12)),
         vote(f.bang < 0.05, f.bang > 0.3),
         vote(enough, f.n_words < 3),
         vote((f.word_bytes > 3.5) & (f.word_bytes < 11), (f.word_bytes < 2) | (f.word_bytes > 18)),
         vote(f.same_lines < 0.1, f.same_lines > 0.4),
-        vote(f.digits < 0.1, f.digits > 0.3),
-        vote(f.alphabetic > 0.85, f.alphabetic < 0.6)], axis=1)
+        vote(f.digits < 0.1, enough & (f.digits > 0.3)),
+        vote(f.alphabetic > 0.85, enough & (f.alphabetic < 0.6))], axis=1)
 
 
 def _patterns(column: pa.Array) -> list[np.ndarray]:
@@ -137,7 +141,7 @@ def _hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(np.arange(len(code)) + 2 <= np.repeat(bounds[1:], np.diff(bounds))[:len(code)])
     pair = (code[at] + np.uint32(1)) * np.uint32(0x9E3779B1) >> np.uint32(18)
     f = features(column)
-    bins = [np.floor(np.minimum(x, 1) * 10) for x in (f.upper, f.odd * 4, f.repeated, f.distinct, f.bang, f.same_lines, f.digits, f.alphabetic)]
+    bins = [np.floor(np.minimum(x, 1) * 10) for x in (f.upper, f.odd * 4, f.odd_words, f.repeated, f.distinct, f.bang, f.same_lines, f.digits, f.alphabetic)]
     bins += [np.minimum(15, np.log2(f.n_words + 1) // 1), np.minimum(20, f.word_bytes // 1)]
     dense = np.stack([((b.astype(np.uint32) + np.uint32(32 * i + 1)) * np.uint32(0x85EBCA6B) >> np.uint32(18)) for i, b in enumerate(bins)], axis=1)
     return pair, np.searchsorted(at, bounds), dense
