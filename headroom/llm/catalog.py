@@ -2,9 +2,11 @@
 
 from headroom.llm.decontam import op10_decontamination
 from headroom.llm.langid import op1_language_id
+from headroom.llm.mixing import op7_mixing
 from headroom.llm.quality import op8_quality
+from headroom.llm.setjoin import op6_jaccard_join
 from headroom.llm.sql import ORACLE_SQL
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op8_quality, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op6_jaccard_join, op7_mixing, op8_quality, op10_decontamination)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

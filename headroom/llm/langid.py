@@ -116,7 +116,7 @@ def _margins(column: pa.Array, gram_weight: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """The model of the rows whose language isn't null."""
-    rows = gram_counts(docs, text, lang).toPandas()
+    rows = gram_counts(docs, text, lang).toArrow().to_pandas()
     texts = rows[rows.bucket == _TEXTS].set_index("lang").n
     languages = sorted(texts.index, key=lambda x: (-texts[x], x))
     code = codewords(len(languages))
