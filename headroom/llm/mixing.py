@@ -35,7 +35,7 @@ FLATTEN = 0.5
 #: Share of all tokens that the sample should hold.
 BUDGET = 0.5
 SWEEPS = 30
-TOLERANCE = 1e-6
+TOLERANCE = 5e-4
 SEED = "mix"
 DIMENSIONS = ("source", "lang", "topic")
 UNKNOWN = "unknown"
@@ -111,16 +111,15 @@ def rake(cells: DataFrame, targets: DataFrame) -> DataFrame:
     targets = written(targets, "mix-targets")
     state = written(cells.withColumn("weight", F.lit(1.0) / F.lit(max(1, cells.agg(F.sum("tokens")).first()[0] or 1))), "mix-cells")
     for _ in range(SWEEPS):
-        off = None
+        off = []
         for dim in DIMENSIONS:
             now = state.groupBy(F.col(dim).cast("string").alias("value")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
             factor = (now.join(targets.filter(F.col("dim") == dim), "value")
                       .select("value", (F.col("target") / F.col("now")).alias("factor"), F.abs(F.col("target") - F.col("now")).alias("gap")))
-            if dim == DIMENSIONS[0]:
-                off = factor.agg(F.max("gap").alias("gap"))
+            off.append(factor.select("gap"))
             state = (state.join(factor.select("value", "factor"), F.col(dim).cast("string") == F.col("value"), "left")
                      .withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0))).select(*cells.columns, "weight"))
-        gap = off.first()["gap"]
+        gap = off[0].union(off[1]).union(off[2]).agg(F.max("gap").alias("gap")).first()["gap"]
         state = written(state.coalesce(8), "mix-cells")
         if gap is None or gap < TOLERANCE:
             break
