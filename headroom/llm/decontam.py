@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headroom.llm.text import ALNUM, Words, grams, lists, slices, table, text_key, words, written
+from headroom.llm.text import ALNUM, Words, bitmap, grams, in_bitmap, lists, slices, table, text_key, words, written
 
 WINDOW = 10
 KGRAM = 5
@@ -91,14 +91,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id",
     ``spans`` are the merged ``[start, stop)`` word ranges covered by benchmark windows.
     """
     items = written(benchmark_windows(benchmark, item, item_text, window, kgram), "benchmark-windows")
-    cells = (items.select((F.col("print").bitwiseAND(BITMAP_BITS - 1)).alias("bit")).distinct()
-             .groupBy(F.shiftright("bit", 6).alias("cell"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).collect())
-    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
-    for row in cells:
-        bitmap[row.cell] = row["mask"]
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(items, "print", BITMAP_BITS))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -108,8 +102,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id",
                 runs = []
                 for size in sizes:
                     start, prints, own = _windows(w, size, kgram)
-                    low = prints & np.uint64(BITMAP_BITS - 1)
-                    seen = np.flatnonzero((bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1))
+                    seen = np.flatnonzero(in_bitmap(prints, bits))
                     runs += _runs(w, start[seen], prints[seen], own[seen], size)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), part.column("text_key"), pa.array(np.diff(w.first).astype(np.int64)), _found(runs, part.num_rows)],

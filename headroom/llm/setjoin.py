@@ -7,7 +7,7 @@ none of them loses a link:
 
 * Index skipping: an index list is cut into blocks by set size and position; blocks whose sizes or
   remaining lengths cannot reach the similarity are never joined.
-* Answer skipping: each list first compares its members with one leader only. What a leader's
+* Answer skipping: each list first compares its members with a few leaders only. What a leader's
   answer holds belongs to its component at once; members of one component are never compared again.
 * Incremental answers: for the rest, each comparison starts from the leader's answer. A member's
   stored difference from its leader bounds the similarity to any other set (the triangle inequality
@@ -31,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headroom.llm.text import SPACED, grams, mix, slices, table, text_key, words, written
+from headroom.llm.text import SPACED, grams, likely, mix, slices, table, text_key, words, written
 
 #: Of the shingles seen most, so many are told apart by their count; the rest are ordered by hash alone.
 RANKED = 1 << 20
-#: Rounds in which each list compares its components' leaders before the blocks are joined.
-LEADER_ROUNDS = 3
+#: Rounds in which each list's members are compared with a few leaders before the blocks are joined, and how many.
+LEADER_ROUNDS = 2
+LEADERS = 8
 #: Size of the bitmap of wanted texts.
 BITMAP_BITS = 1 << 24
 #: Members of one component and size band in a block.
@@ -159,20 +160,9 @@ def _index(docs: DataFrame, common: np.ndarray, k: int, percent: int) -> DataFra
 
 
 def _texts(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``set, text``: one text for each of ``sets``. A bitmap keeps most other texts out of the shuffle."""
+    """``set, text``: one text for each of ``sets``."""
     wanted = written(rows.join(sets, "set").groupBy("set").agg(F.min("key").alias("key")), "wanted-texts")
-    cells = (wanted.select(F.col("key").bitwiseAND(BITMAP_BITS - 1).alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).toArrow())
-    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
-    bitmap[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = batch.column("key").to_numpy().view(np.uint64) & np.uint64(BITMAP_BITS - 1)
-            yield batch.filter(pa.array(((shared.value[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)))
-
-    found = docs.select("key", "text").mapInArrow(scan, "key bigint, text string").join(wanted, "key")
+    found = likely(docs.select("key", "text"), "key", wanted, "key", BITMAP_BITS).join(wanted, "key")
     return found.groupBy("set").agg(F.any_value("text").alias("text"))
 
 
@@ -224,6 +214,16 @@ def components(edges: DataFrame) -> DataFrame:
             return pairs.select(F.col("a").alias("set"), F.col("b").alias("root")).union(roots.select("set", F.col("set").alias("root")))
 
 
+def _short_lists(index: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the open pairs inside lists of at most BLOCK members: a join with the same tests as blocks have."""
+    a, b = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "root", "n", "pos", "leader", "apart")]) for x in "ab")
+    most = F.least(F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b"), F.least("n_a", "n_b"))
+    fits = (most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent) & ~(
+        (F.col("leader_a") == F.col("leader_b")) & (F.abs(F.col("apart_a") - F.col("apart_b")) > 1 - percent / 100 + 1e-9))
+    on = (a.shingle == b.shingle) & (F.col("set_a") < F.col("set_b")) & (F.col("root_a") != F.col("root_b")) & fits
+    return a.join(b, on).select(F.col("set_a").alias("a"), F.col("set_b").alias("b"))
+
+
 def _blocks(index: DataFrame, percent: int) -> DataFrame:
     """Pairs of blocks of one list whose sizes can reach the similarity.
 
@@ -289,22 +289,27 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     rows = seen.filter("n is not null").select("doc", "key", "set", "n")
     index = written(_index(own, _common(seen.filter("times is not null")), k, percent), "prefix-index")
     several = index.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select("shingle")
-    index = written(index.join(several, "shingle").distinct(), "prefix-lists")
+    several = written(several, "shared-shingles")
+    index = written(likely(index, "shingle", several, "shingle", BITMAP_BITS).join(several, "shingle").distinct(), "prefix-lists")
     texts = written(_texts(own, rows.filter("n > 0"), index.select("set").distinct()), "listed-texts")
     tried, roots, state = None, None, index.withColumn("root", F.col("set"))
     for turn in range(LEADER_ROUNDS + 1):
         mixed = state.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
         state = state.join(mixed, "shingle")
         if turn < LEADER_ROUNDS:
-            first = F.min(F.struct(F.xxhash64(F.lit(turn), "set").alias("o"), F.col("set").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n")))
-            first = state.groupBy("shingle").agg(first.alias("x")).select("shingle", "x.*")
-            pairs = (state.join(first, "shingle").filter("root <> lead_root")
+            first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(i), "set").alias("o"), F.col("set").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n")))
+                     for i in range(LEADERS)]
+            first = state.groupBy("shingle").agg(F.array(*first).alias("x")).select("shingle", F.inline(F.array_distinct("x")))
+            pairs = (state.join(first.drop("o").distinct(), "shingle").filter("root <> lead_root")
                      .filter((F.col("n") * 100 >= F.col("lead_n") * percent) & (F.col("lead_n") * 100 >= F.col("n") * percent))
                      .select(F.col("set").alias("a"), F.col("lead").alias("b")).distinct())
         else:
             state = (state.join(_answers(tried), "set", "left")
                      .withColumn("leader", F.coalesce("leader", "set")).withColumn("apart", F.coalesce("apart", F.lit(0.0))))
-            pairs = _open_pairs(_blocks(state, percent), percent).distinct()
+            state = written(state, "open-lists")
+            long = state.groupBy("shingle").count().filter(F.col("count") > BLOCK).select("shingle")
+            pairs = (_short_lists(state.join(long, "shingle", "left_anti"), percent)
+                     .union(_open_pairs(_blocks(state.join(long, "shingle"), percent), percent)).distinct())
         found = written(_overlap(_untried(pairs, tried), texts, k, percent), "answers")
         tried = found if tried is None else tried.union(found)
         links = found.filter("linked").select("a", "b")

@@ -188,3 +188,29 @@ def small_sample(docs: DataFrame, rows: int, total: int, seed: str, *columns: st
         return docs
     share = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(1 << 40))
     return docs.filter(share < int((1 << 40) * rows / total))
+
+
+def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of fixed size (a power of two) with the low bits of every value of ``column`` set."""
+    cells = (keys.select(F.col(column).bitwiseAND(bits - 1).alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).toArrow())
+    out = np.zeros(bits // 64, np.int64)
+    out[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(values: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which values may be among a bitmap's keys (none of its keys is missed)."""
+    low = values.view(np.uint64) & np.uint64(len(cells) * 64 - 1)
+    return ((cells[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def likely(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """The rows of ``df`` whose long ``column`` may be in ``keys``; spares most others a shuffle."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap(keys, key, bits))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(batch.column(column).to_numpy(), shared.value)))
+
+    return df.mapInArrow(scan, df.schema)
