@@ -224,12 +224,14 @@ def main_text(pages: DataFrame, *, url: str = "url", html: str = "html") -> tupl
     known = host_paths(pages, url, html).select(F.col("host").alias(key), F.col("paths").alias(paths))
     own = pages.withColumn(f"{name}_own", host(url)).join(known, F.col(f"{name}_own") == F.col(key), "left").select(*pages.columns, paths)
 
+    columns = pages.columns
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, html):
                 text = [extract(h or "", p or []) for h, p in zip(part.column(html).to_pylist(), part.column(paths).to_pylist(), strict=True)]
                 found = pa.StructArray.from_arrays([pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["text", "n_chars"])
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in pages.columns], found], names=[*pages.columns, name])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], found], names=[*columns, name])
 
     fields = [*pages.schema.fields, T.StructField(name, T.StructType.fromDDL("text string, n_chars bigint"))]
     return own.mapInArrow(scan, T.StructType(fields)), name
