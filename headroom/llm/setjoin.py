@@ -35,9 +35,8 @@ from headroom.llm.text import SPACED, grams, likely, mix, slices, table, text_ke
 
 #: Of the shingles seen most, so many are told apart by their count; the rest are ordered by hash alone.
 RANKED = 1 << 20
-#: Rounds in which each list's members are compared with a few leaders before the blocks are joined, and how many.
-LEADER_ROUNDS = 2
-LEADERS = 8
+#: Leaders with which each list's members are compared, round by round, before the blocks are joined.
+LEADERS = (1, 4, 8)
 #: Size of the bitmap of wanted texts.
 BITMAP_BITS = 1 << 24
 #: Members of one component and size band in a block.
@@ -293,12 +292,12 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     index = written(likely(index, "shingle", several, "shingle", BITMAP_BITS).join(several, "shingle").distinct(), "prefix-lists")
     texts = written(_texts(own, rows.filter("n > 0"), index.select("set").distinct()), "listed-texts")
     tried, roots, state = None, None, index.withColumn("root", F.col("set"))
-    for turn in range(LEADER_ROUNDS + 1):
+    for turn in range(len(LEADERS) + 1):
         mixed = state.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
         state = state.join(mixed, "shingle")
-        if turn < LEADER_ROUNDS:
+        if turn < len(LEADERS):
             first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(i), "set").alias("o"), F.col("set").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n")))
-                     for i in range(LEADERS)]
+                     for i in range(LEADERS[turn])]
             first = state.groupBy("shingle").agg(F.array(*first).alias("x")).select("shingle", F.inline(F.array_distinct("x")))
             pairs = (state.join(first.drop("o").distinct(), "shingle").filter("root <> lead_root")
                      .filter((F.col("n") * 100 >= F.col("lead_n") * percent) & (F.col("lead_n") * 100 >= F.col("n") * percent))
