@@ -137,7 +137,8 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
             continue
         top = stack[-1]
         step, never = _named(tag, token[4], top)
-        new = Element(tag, f"{top.path}>{step}" if top.path else step, never or top.never, tag == "a" or top.link, top.depth + 1, top)
+        path = top.path if tag in ("html", "body") else f"{top.path}>{step}" if top.path else step
+        new = Element(tag, path, never or top.never, tag == "a" or top.link, top.depth + 1, top)
         stack.append(new)
         if tag not in _INLINE:
             elements.append(new)

@@ -177,6 +177,9 @@ class WarcReader(DataSourceReader):
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types[i]) for i in range(len(names))], names=names)
 
+        if partition is None:  # an archive without records
+            yield batch()
+            return
         passes = lambda headers: all(headers.get(k) in values for k, values in self.tests)
         with _files(self.path)[0].open_input_file(partition.path) as file:
             window, at = _Window(file), partition.start

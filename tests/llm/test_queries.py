@@ -1,0 +1,46 @@
+"""The registered queries on the smallest driver tables, and the pipeline's stages."""
+
+import zlib
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from headroom.llm.catalog import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_its_sql(spark, con, name):
+    want = con.sql(ORACLE_SQL[name])
+    got = QUERIES[name](spark, SF).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_one_row_per_document_and_held_out_marks(spark, con):
+    ids = [r[0] for r in con.sql("select doc_id from documents").fetchall()]
+    for name, mod, rest in (("op1_language_id", 4, 2), ("op3_toxicity", 5, 0)):
+        got = QUERIES[name](spark, SF).collect()
+        assert sorted(r.doc_id for r in got) == sorted(ids)
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % mod == rest) for r in got)
+
+
+def test_pipeline_stages_filter_their_input(spark):
+    from headroom.llm.text import table, written
+    docs = table(spark, SF, "documents")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = {r.doc_id for r in docs.select("doc_id").collect()}
+        docs = written(stage(spark, docs, SF), f"test-{k}")
+        assert {r.doc_id for r in docs.select("doc_id").collect()} <= before, name
+        assert docs.columns[:len(columns)] == columns
+    assert "loss_weight" in docs.columns and 0 < docs.count()
