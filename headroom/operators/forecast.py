@@ -70,8 +70,8 @@ def seasonal_yhat(step: Column) -> Column:
 def _future(fit: DataFrame, horizons_weeks: Sequence[int], yhat_of) -> DataFrame:
     """Explode each eligible fit to the longest horizon and tag the horizons each step belongs to."""
     horizons = sorted({int(h) for h in horizons_weeks if int(h) > 0})
-    if not horizons:
-        return fit.where(F.lit(False))
+    if not horizons:  # no rows, with the columns of a forecast
+        fit, horizons = fit.where(F.lit(False)), [1]
     max_days = max(horizons) * 7
     hs = F.array(*[F.lit(h) for h in horizons])
     steps = (fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(max_days))))
@@ -136,7 +136,7 @@ def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -
 def forecast_seasonal(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
                       params: ForecastParams = ForecastParams()) -> DataFrame:
     """Seasonal forecasts (linear stand-in where the seasonal model is not eligible)."""
-    horizons = ForecastParams(tuple(horizons_weeks or ())).resolved_horizons()
+    horizons = params.resolved_horizons() if horizons_weeks is None else ForecastParams(tuple(horizons_weeks)).resolved_horizons()
     fit = fit_seasonal(series, params).where(F.col("model_used").isNotNull()).withColumn("model", F.lit(SEASONAL))
     return _future(fit, horizons, seasonal_yhat).select(*FORECAST_COLUMNS)
 
@@ -149,7 +149,7 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
     linear OLS statistics, so the linear (and, without Prophet, the prophet) rows are the same
     fit rows projected with the linear prediction and interval.
     """
-    horizons = ForecastParams(tuple(horizons_weeks or ())).resolved_horizons()
+    horizons = params.resolved_horizons() if horizons_weeks is None else ForecastParams(tuple(horizons_weeks)).resolved_horizons()
     frames = []
     fit = fit_seasonal(series, params)
     linear_fit = (fit.where(F.col("linear_status") == "ok").withColumn("sigma", F.col("sigma_linear"))

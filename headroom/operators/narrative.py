@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headroom.config import NO_ACTION
-from headroom.functions.text import fmt_one_decimal, shortest_text
-from headroom.functions.numeric import round_half_even
+from headroom.functions.text import fmt_one_decimal, rounded_two_decimals, shortest_text
 
 NARRATIVE_KEY = ("resource_type", "resource_id", "forecast_horizon_weeks")
 
@@ -68,8 +67,8 @@ def build_prompt(recs: DataFrame) -> DataFrame:
     """Add a ``prompt`` column (values rounded to 2 decimals, details as JSON)."""
     return recs.withColumn("prompt", F.format_string(
         PROMPT_TEMPLATE, F.col("resource_id"), F.col("resource_type"), F.col("recommendation_type"),
-        F.col("risk_level"), shortest_text(round_half_even("current_value", 2)),
-        shortest_text(round_half_even("forecasted_value", 2)), F.col("forecast_horizon_weeks").cast("string"),
+        F.col("risk_level"), shortest_text(rounded_two_decimals("current_value")),
+        shortest_text(rounded_two_decimals("forecasted_value")), F.col("forecast_horizon_weeks").cast("string"),
         details_json()))
 
 
@@ -94,15 +93,16 @@ def narrate(recs: DataFrame, responses: DataFrame | None = None, provider: str =
     """``ai_narrative`` = service text when present and non-empty, else the template.
 
     ``responses`` has the recommendation key (resource_type, resource_id,
-    forecast_horizon_weeks) and a raw ``response`` string.
+    forecast_horizon_weeks) and a raw ``response`` string. Of several responses for one key
+    the smallest text that yields a narrative counts, so no recommendation is repeated.
     """
     template = narrative_template()
     if responses is None or provider not in ("gemini", "ollama"):
         return recs.withColumn("ai_narrative", template)
-    r = responses.select(*NARRATIVE_KEY, F.col("response").alias("_response"))
+    text = F.nullif(parse_response(F.col("response"), provider), F.lit(""))
+    r = responses.groupBy(*NARRATIVE_KEY).agg(F.min(text).alias("_text"))
     joined = recs.join(r, on=list(NARRATIVE_KEY), how="left")
-    text = parse_response(F.col("_response"), provider)
-    return joined.withColumn("ai_narrative", F.coalesce(F.nullif(text, F.lit("")), template)).drop("_response")
+    return joined.withColumn("ai_narrative", F.coalesce("_text", template)).drop("_text")
 
 
 def narratives_table(recs: DataFrame) -> DataFrame:

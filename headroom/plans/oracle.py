@@ -356,7 +356,7 @@ def flat_select(name: str, extra: str = "") -> str:
 
 
 def _fmt1(x: str) -> str:
-    return f"printf('%.1f', round_even(({x}) * 10.0, 0) / 10.0)"
+    return f"coalesce(printf('%.1f', {x}), 'nan')"
 
 
 NARRATIVE = (
@@ -392,8 +392,8 @@ def _prompt_sql() -> str:
     details = ("CASE WHEN detail_key IS NULL THEN '{}' ELSE '{\"' || detail_key || '\":' || "
                "CAST(detail_value AS VARCHAR) || '}' END")
     return (f"printf('{tpl}', resource_id, resource_type, recommendation_type, risk_level, "
-            f"CAST(round_even(current_value * 100.0, 0) / 100.0 AS VARCHAR), "
-            f"CAST(round_even(forecasted_value * 100.0, 0) / 100.0 AS VARCHAR), "
+            f"CAST(CAST(printf('%.2f', current_value) AS DOUBLE) AS VARCHAR), "
+            f"CAST(CAST(printf('%.2f', forecasted_value) AS DOUBLE) AS VARCHAR), "
             f"CAST(forecast_horizon_weeks AS VARCHAR), {details})")
 
 

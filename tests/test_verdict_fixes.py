@@ -1,0 +1,33 @@
+"""Rounding as Python's round, one narrative per recommendation, empty horizons."""
+
+from headroom.config import ForecastParams
+from headroom.functions.text import fmt_one_decimal, rounded_two_decimals
+from headroom.operators import forecast, narrative
+from tests.conftest import d
+
+
+def test_rounding_equals_python(spark):
+    rows = [(i / 100,) for i in range(0, 10_001, 7)] + [(0.15,), (0.35,), (0.45,), (1e9 + 0.25,)]
+    got = spark.createDataFrame(rows, "x double").select("x", fmt_one_decimal("x").alias("a"), rounded_two_decimals("x").alias("b")).collect()
+    assert all(r.a == f"{round(r.x, 1):.1f}" and r.b == round(r.x, 2) for r in got)
+    assert spark.createDataFrame([(None,)], "x double").select(fmt_one_decimal("x")).first()[0] == "nan"
+
+
+def test_repeated_responses_do_not_repeat_recommendations(spark):
+    recs = spark.createDataFrame(
+        [("c1", "compute", "downsize", "low", 10.0, 12.0, 4, {"a": 1.0})],
+        "resource_id string, resource_type string, recommendation_type string, risk_level string, current_value double, "
+        "forecasted_value double, forecast_horizon_weeks int, details map<string,double>")
+    responses = spark.createDataFrame(
+        [("compute", "c1", 4, '{"response": "b"}'), ("compute", "c1", 4, '{"response": "a"}'), ("compute", "c1", 4, '{"response": " "}')],
+        "resource_type string, resource_id string, forecast_horizon_weeks int, response string")
+    assert [r.ai_narrative for r in narrative.narrate(recs, responses, "ollama").collect()] == ["a"]
+
+
+def test_horizons(spark):
+    series = spark.createDataFrame([("compute", "c1", d(i), float(i), i) for i in range(20)],
+                                   "resource_type string, resource_id string, ds date, y double, t int")
+    for f in (forecast.forecast_linear, forecast.forecast_seasonal, forecast.forecast_all):
+        assert f(series, [0]).count() == 0
+    got = forecast.forecast_seasonal(series, params=ForecastParams(horizons_weeks=(2,)))
+    assert {r.horizon_weeks for r in got.collect()} == {2}
