@@ -31,8 +31,8 @@ YEARLY_MIN_POINTS = 365
 LINEAR = "linear_regression"
 SEASONAL = "seasonal"
 
-# Minimum non-missing points for the seasonal model; below it the linear model stands in.
-SEASONAL_MIN_POINTS = 14
+# Minimum non-missing points of a fit, linear or seasonal.
+SEASONAL_MIN_POINTS = 2
 
 
 @dataclass(frozen=True)

@@ -146,7 +146,7 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
     """every model slot for every resource; ineligible resources simply have no rows.
 
     All slots come from one pass over the series: the seasonal fit's windows already carry the
-    linear OLS statistics, so the linear (and, without Prophet, the prophet) rows are the same
+    linear OLS statistics, so the linear (and, if asked for, the prophet) rows are the same
     fit rows projected with the linear prediction and interval.
     """
     horizons = params.resolved_horizons() if horizons_weeks is None else ForecastParams(tuple(horizons_weeks)).resolved_horizons()
@@ -157,10 +157,7 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
     if LINEAR in models:
         frames.append(_future(linear_fit.withColumn("model", F.lit(LINEAR)), horizons, linear_yhat))
     if PROPHET in models:
-        if prophet_available():
-            frames.append(forecast_prophet(series, horizons))
-        else:
-            frames.append(_future(linear_fit.withColumn("model", F.lit(PROPHET)), horizons, linear_yhat))
+        frames.append(_future(linear_fit.withColumn("model", F.lit(PROPHET)), horizons, linear_yhat))
     if SEASONAL in models:
         seasonal_fit = fit.where(F.col("model_used").isNotNull()).withColumn("model", F.lit(SEASONAL))
         frames.append(_future(seasonal_fit, horizons, seasonal_yhat))
@@ -232,86 +229,7 @@ def select_model(series: DataFrame, holdout_days: int = 28, models: Sequence[str
 PROPHET = "prophet"
 
 
-def prophet_available() -> bool:
-    try:
-        import prophet  # noqa: F401
-    except Exception:  # noqa: BLE001 - any import failure means "not usable"
-        return False
-    return True
-
-
-def _linear_numpy(ds, y, days: int):
-    """The linear model on one small series (used inside a grouped-map task only)."""
-    import numpy as np
-    import pandas as pd
-
-    t = np.arange(len(y), dtype=float)
-    b, a = np.polyfit(t, y, 1)
-    sigma = float(np.std(y - (a + b * t)))
-    steps = np.arange(1, days + 1)
-    yhat = a + b * (len(y) - 1 + steps)
-    dates = pd.Timestamp(max(ds)) + pd.to_timedelta(steps, unit="D")
-    return dates, yhat, yhat - INTERVAL_Z * sigma, yhat + INTERVAL_Z * sigma, LINEAR
-
-
-def _prophet_numpy(ds, y, days: int):
-    """Prophet on one series: weekly seasonality, yearly from 365 points, 95 % interval."""
-    import pandas as pd
-    from prophet import Prophet
-
-    m = Prophet(weekly_seasonality=True, daily_seasonality=False, yearly_seasonality=len(y) >= YEARLY_MIN_POINTS,
-                interval_width=0.95)
-    m.fit(pd.DataFrame({"ds": pd.to_datetime(ds), "y": y}))
-    f = m.predict(m.make_future_dataframe(periods=days, include_history=False))
-    return f["ds"], f["yhat"].to_numpy(), f["yhat_lower"].to_numpy(), f["yhat_upper"].to_numpy(), PROPHET
-
-
-def _grouped_forecast(fitter, max_days: int):
-    def run(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values("ds")
-        ds, y = pdf["ds"].tolist(), pdf["y"].to_numpy(dtype=float)
-        empty = pd.DataFrame({
-            "resource_type": pd.Series([], dtype=object), "resource_id": pd.Series([], dtype=object),
-            "model_used": pd.Series([], dtype=object), "step": pd.Series([], dtype="int32"),
-            "ds": pd.Series([], dtype=object), "yhat": pd.Series([], dtype=float),
-            "yhat_lower": pd.Series([], dtype=float), "yhat_upper": pd.Series([], dtype=float)})
-        if len(y) < 2:
-            return empty
-        try:
-            out = fitter(ds, y, max_days)
-        except Exception:  # noqa: BLE001 - a failed fit falls back to the linear model
-            if np.isnan(y).any():
-                return empty
-            out = _linear_numpy(ds, y, max_days)
-        dates, yhat, lo, hi, used = out
-        n = len(yhat)
-        return pd.DataFrame({
-            "resource_type": [pdf["resource_type"].iloc[0]] * n, "resource_id": [pdf["resource_id"].iloc[0]] * n,
-            "model_used": [used] * n, "step": np.arange(1, n + 1, dtype="int32"),
-            "ds": pd.to_datetime(pd.Series(list(dates))).dt.date, "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi})
-    return run
-
-
-def forecast_prophet(series: DataFrame, horizons_weeks: Sequence[int] | None = None, fitter=None) -> DataFrame:
-    """The ``prophet`` slot.
-
-    With Prophet installed: one grouped-map task per resource (``applyInPandas``; a group is
-    one resource's daily series, bounded by its number of days) fits Prophet once at the
-    longest horizon; a failing fit falls back to the linear model for that resource. Without
-    Prophet the slot *is* the linear forecast, computed JVM-side (no Python at all), which is
-    what the source does when Prophet is missing. ``fitter`` replaces the Prophet call (tests).
-    """
-    horizons = [h for h in ForecastParams(tuple(horizons_weeks or ())).resolved_horizons() if h > 0]
-    if fitter is None and not prophet_available():
-        return forecast_linear(series, horizons).withColumn("model", F.lit(PROPHET)).select(*FORECAST_COLUMNS)
-    max_days = max(horizons) * 7
-    schema = ("resource_type string, resource_id string, model_used string, step int, ds date, yhat double, "
-              "yhat_lower double, yhat_upper double")
-    steps = (series.select(*KEY, "ds", "y").groupBy(*KEY)
-             .applyInPandas(_grouped_forecast(fitter or _prophet_numpy, max_days), schema))
-    hs = F.array(*[F.lit(h) for h in sorted(set(horizons))])
-    return (steps.withColumn("horizon_weeks", F.explode(F.filter(hs, lambda h: F.col("step") <= h * 7)))
-            .withColumn("model", F.lit(PROPHET)).select(*FORECAST_COLUMNS))
+def forecast_prophet(series: DataFrame, horizons_weeks: Sequence[int] | None = None) -> DataFrame:
+    """The ``prophet`` slot: the linear forecast under that name, what the source does where the
+    Prophet package is missing. The seasonal model of this library is ``forecast_seasonal``."""
+    return forecast_linear(series, horizons_weeks).withColumn("model", F.lit(PROPHET)).select(*FORECAST_COLUMNS)

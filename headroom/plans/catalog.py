@@ -138,14 +138,21 @@ def q_linear_forecast(spark, sf_dir):
 
 
 def q_seasonal_forecast(spark, sf_dir):
-    s = series.prepare_all(daily_tables(spark, sf_dir, ["compute", "storage"]))
-    return _forecast_cols(forecast.forecast_seasonal(s))
+    return _forecast_cols(forecast.forecast_seasonal(series_table(spark, sf_dir)))
+
+
+def q_forecast_all(spark, sf_dir):
+    return _forecast_cols(forecast.forecast_all(series_table(spark, sf_dir)))
 
 
 def q_prophet_forecast(spark, sf_dir):
     return _forecast_cols(forecast.forecast_prophet(series_table(spark, sf_dir)))
 
 
+def q_forecast_status_series(spark, sf_dir):
+    return forecast.forecast_status(series_table(spark, sf_dir))
+
+
 def q_forecast_status(spark, sf_dir):
     s = series_table(spark, sf_dir)
     # Variant with injected missing values: cluster-03 loses y on the 15th of each month.
@@ -274,7 +281,9 @@ QUERIES: dict[str, Query] = {
     "linear_forecast": q_linear_forecast,
     "seasonal_forecast": q_seasonal_forecast,
     "prophet_forecast": q_prophet_forecast,
+    "forecast_all": q_forecast_all,
     "forecast_status": q_forecast_status,
+    "forecast_status_series": q_forecast_status_series,
     "select_model": q_select_model,
     "horizon_peaks": q_horizon_peaks,
     "recommend_storage": q_recommend_storage,

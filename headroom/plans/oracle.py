@@ -223,9 +223,9 @@ s3 AS (
 ),
 sfit AS (
   SELECT *,
-    CASE WHEN n_y >= 14 THEN 'seasonal' WHEN n >= 2 AND n_y = n THEN 'linear_regression' END AS model_used,
-    CASE WHEN n_y >= 14 THEN _sigma_e ELSE _sigma_lin END AS sigma,
-    CASE WHEN n < 2 THEN 'too_few_points' WHEN n_y >= 14 THEN 'ok' WHEN n >= 2 AND n_y = n THEN 'fallback_linear'
+    CASE WHEN n_y >= 2 THEN 'seasonal' WHEN n >= 2 AND n_y = n THEN 'linear_regression' END AS model_used,
+    CASE WHEN n_y >= 2 THEN _sigma_e ELSE _sigma_lin END AS sigma,
+    CASE WHEN n < 2 THEN 'too_few_points' WHEN n_y >= 2 THEN 'ok' WHEN n >= 2 AND n_y = n THEN 'fallback_linear'
          ELSE 'missing_y' END AS status
   FROM (SELECT {k}, max(_n) AS n, max(_n_y) AS n_y, max(_a) AS intercept, max(_b) AS slope, max(t) AS max_t,
                max(ds) AS max_ds, stddev_pop(_e) AS _sigma_e,
@@ -439,17 +439,20 @@ def build() -> dict[str, str]:
                        f" {r4('sigma')} AS sigma, max_t, max_ds, status FROM linear_fit")
     q["linear_forecast"] = with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST) + " " + \
         forecast_select("linear_forecast")
-    # The prophet slot without Prophet installed is the linear forecast (the source's fallback).
+    # The prophet slot is the linear forecast (the source's fallback where Prophet is missing).
     q["prophet_forecast"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST) + " " +
                              forecast_select("(SELECT * REPLACE ('prophet' AS model) FROM linear_forecast)"))
-    q["seasonal_forecast"] = (with_ctes(*series_ctes, seasonal_ctes(
-        "(SELECT * FROM series WHERE resource_type IN ('storage', 'compute'))"), SEASONAL_FORECAST) + " " +
-        forecast_select("seasonal_forecast"))
+    q["seasonal_forecast"] = with_ctes(*series_ctes, seasonal_ctes("series"), SEASONAL_FORECAST) + " " + \
+        forecast_select("seasonal_forecast")
+    q["forecast_all"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST,
+                                   seasonal_ctes("series"), SEASONAL_FORECAST) + " " +
+                         forecast_select("linear_forecast") + " UNION ALL " + forecast_select("seasonal_forecast"))
     holed = ("(SELECT resource_type, resource_id, ds, CASE WHEN resource_id = 'cluster-03' AND dayofmonth(ds) = 15 "
              "THEN NULL ELSE y END AS y, t FROM series)")
-    q["forecast_status"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src=holed), seasonal_ctes(holed)) +
-                            " SELECT resource_type, resource_id, 'linear_regression' AS model, status, n, n_y "
-                            "FROM linear_fit UNION ALL SELECT resource_type, resource_id, 'seasonal', status, n, n_y FROM sfit")
+    for name, src in (("forecast_status", holed), ("forecast_status_series", "series")):
+        q[name] = (with_ctes(*series_ctes, LINEAR_FIT.format(src=src), seasonal_ctes(src)) +
+                   " SELECT resource_type, resource_id, 'linear_regression' AS model, status, n, n_y "
+                   "FROM linear_fit UNION ALL SELECT resource_type, resource_id, 'seasonal', status, n, n_y FROM sfit")
     train = ("(SELECT resource_type, resource_id, ds, y, t FROM (SELECT *, max(ds) OVER (PARTITION BY resource_type, "
              "resource_id) - INTERVAL 28 DAY AS _cut FROM series) WHERE ds <= _cut)")
     hold = ("(SELECT resource_type, resource_id, ds, y FROM (SELECT *, max(ds) OVER (PARTITION BY resource_type, "

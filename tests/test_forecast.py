@@ -124,11 +124,11 @@ def test_yearly_term_from_365_points(spark):
 
 def test_short_series_falls_back_to_linear(spark):
     s = series_df(spark, "r1", [d(i) for i in range(10)], [float(i) * 2 for i in range(10)])
-    f = _pd(forecast_seasonal(s, [4]))
+    f = _pd(forecast_seasonal(s, [4], ForecastParams(seasonal_min_points=14)))
     lin = _pd(forecast_linear(s, [4]))
     assert set(f["model_used"]) == {"linear_regression"}
     np.testing.assert_allclose(f["yhat"], lin["yhat"], rtol=1e-12)
-    assert {(r.model, r.status) for r in forecast_status(s).collect()} == \
+    assert {(r.model, r.status) for r in forecast_status(s, ForecastParams(seasonal_min_points=14)).collect()} == \
         {("linear_regression", "ok"), ("seasonal", "fallback_linear")}
 
 
@@ -176,10 +176,8 @@ def test_select_model_prefers_seasonal_on_weekly_pattern(spark):
     assert rows[("line", "linear_regression")].selected and rows[("line", "linear_regression")].mae < 1e-9
 
 
-def test_prophet_slot_without_prophet_is_the_linear_forecast(spark):
-    from headroom.operators.forecast import forecast_prophet, prophet_available
-    if prophet_available():
-        return
+def test_prophet_slot_is_the_linear_forecast(spark):
+    from headroom.operators.forecast import forecast_prophet
     y = list(np.linspace(50, 80, 60))
     s = series_df(spark, "r1", [d(i) for i in range(60)], y)
     p = _pd(forecast_prophet(s))
@@ -188,32 +186,6 @@ def test_prophet_slot_without_prophet_is_the_linear_forecast(spark):
     np.testing.assert_allclose(p["yhat"], lin["yhat"], rtol=1e-12)
 
 
-def _fake_fitter(ds, y, days):
-    """A stand-in for the Prophet call: last value carried forward with a fixed band."""
-    import pandas as pd
-    dates = pd.Timestamp(max(ds)) + pd.to_timedelta(np.arange(1, days + 1), unit="D")
-    yhat = np.full(days, y[-1])
-    return dates, yhat, yhat - 1.0, yhat + 1.0, "prophet"
-
-
-def _failing_fitter(ds, y, days):
-    raise RuntimeError("solver failed")
-
-
-def test_prophet_slot_grouped_map_plumbing(spark):
-    from headroom.operators.forecast import forecast_prophet
-    y = list(np.linspace(50, 80, 60))
-    s = series_df(spark, "r1", [d(i) for i in range(60)], y).unionByName(series_df(spark, "r2", [d(0)], [1.0]))
-    p = _pd(forecast_prophet(s, [4, 12], fitter=_fake_fitter))
-    assert set(p["resource_id"]) == {"r1"} and len(p) == 28 + 84
-    assert (p["yhat"] == 80.0).all() and p["ds"].iloc[0] == d(60)
-    # a failing fit falls back to the linear model for that resource
-    f = _pd(forecast_prophet(s, [4], fitter=_failing_fitter))
-    lin = _pd(forecast_linear(s, [4]))
-    assert set(f["model_used"]) == {"linear_regression"}
-    np.testing.assert_allclose(f["yhat"], lin["yhat"], rtol=1e-9)
-
-
 def test_forecast_all_single_pass_matches_each_model(spark):
     from headroom.operators.forecast import forecast_all
     i = np.arange(80)
@@ -229,3 +201,14 @@ def test_forecast_all_single_pass_matches_each_model(spark):
         np.testing.assert_allclose(a["yhat_upper"], b["yhat_upper"], rtol=1e-9)
     p = _pd(allf.where(F.col("model") == "prophet"))
     np.testing.assert_allclose(p["yhat"], _pd(forecast_linear(s))["yhat"], rtol=1e-10)
+
+
+def test_seasonal_model_from_two_points(spark):
+    """No switch on the length of a series but the two points a fit needs."""
+    s = series_df(spark, "one", [d(0)], [1.0])
+    for n in (2, 13, 14):
+        s = s.unionByName(series_df(spark, f"n{n}", [d(i) for i in range(n)], [2.0 * i for i in range(n)]))
+    p = _pd(forecast_seasonal(s, [1]))
+    assert set(p["resource_id"]) == {"n2", "n13", "n14"} and set(p["model_used"]) == {"seasonal"}
+    for n in (2, 13, 14):  # an exact line: no weekday effect, seen or unseen
+        np.testing.assert_allclose(p[p["resource_id"] == f"n{n}"]["yhat"], 2.0 * np.arange(n, n + 7), atol=1e-9)

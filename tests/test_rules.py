@@ -148,10 +148,7 @@ def test_seasonal_spike_scenario(spark):
     assert abs(r.current_value - (55 * (500 / 1840 * 100) + 500) / 60) < 1e-9
 
 
-def test_recommend_with_prophet_slot_equals_linear_without_prophet(spark):
-    from headroom.operators.forecast import prophet_available
-    if prophet_available():
-        return
+def test_recommend_with_prophet_slot_equals_linear(spark):
     raw = storage_df(spark, [(day(i), "s", 500.0 + 5 * i, 1000.0, None, 10.0) for i in range(60)])
     trends = {"storage": process_storage_trends(clean_storage(raw)),
               "compute": process_compute_trends(clean_compute(compute_df(spark, [(hour(0), "c", 50.0, 1.0, 50.0)]))),
