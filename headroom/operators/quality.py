@@ -31,6 +31,8 @@ class Rule:
 CPU_BOUNDS_MESSAGE = "cpu_utilization_pct out of bounds [0, 100]"
 USED_GT_TOTAL_MESSAGE = "disk_used_gb cannot exceed disk_total_gb"
 NEGATIVE_LATENCY_MESSAGE = "latency_ms cannot be negative"
+MISSING_COLUMNS_MESSAGE = "{} is missing required columns: {}"
+TABLE_LABELS = {"compute": "compute metrics", "storage": "storage metrics", "network": "network metrics"}
 # --- end of fixed values ------------------------------------------------------------------
 
 RULES: dict[str, tuple[Rule, ...]] = {
@@ -42,14 +44,11 @@ RULES: dict[str, tuple[Rule, ...]] = {
     "network": (Rule("negative_latency", lambda: F.col("latency_ms") < 0, NEGATIVE_LATENCY_MESSAGE),),
 }
 
-_LABELS = {"compute": "compute metrics", "storage": "storage metrics", "network": "network metrics"}
-
-
 def require_columns(df: DataFrame, expected: Iterable[str], name: str) -> None:
     """V1: fail when required columns are absent; extra columns and column order are fine."""
-    missing = set(expected) - set(df.columns)
-    if missing:
-        raise SchemaValidationError(f"{name} is missing required columns: {sorted(missing)}")
+    absent = sorted(c for c in expected if c not in df.columns)
+    if absent:
+        raise SchemaValidationError(MISSING_COLUMNS_MESSAGE.format(name, absent))
 
 
 def violation_counts(df: DataFrame, kind: str | MetricKind) -> DataFrame:
@@ -68,7 +67,7 @@ def check_metrics(df: DataFrame, kind: str | MetricKind) -> DataFrame:
     Runs one small job (a global ``count_if`` aggregate); the input stays lazy.
     """
     k = KINDS[kind] if isinstance(kind, str) else kind
-    require_columns(df, k.columns, _LABELS[k.name])
+    require_columns(df, k.columns, TABLE_LABELS[k.name])
     rules = RULES[k.name]
     row = df.agg(*[F.count_if(F.coalesce(r.violation(), F.lit(False))).alias(r.name) for r in rules]).first()
     for r in rules:
@@ -101,7 +100,7 @@ def observe_quality(df: DataFrame, kind: str | MetricKind, name: str | None = No
     from pyspark.sql import Observation
 
     k = KINDS[kind] if isinstance(kind, str) else kind
-    require_columns(df, k.columns, _LABELS[k.name])
+    require_columns(df, k.columns, TABLE_LABELS[k.name])
     obs = Observation(name or f"quality_{k.name}")
     rules = RULES[k.name]
     # Rows without a timestamp are reported too (they cannot be de-duplicated or dated), but
@@ -111,6 +110,13 @@ def observe_quality(df: DataFrame, kind: str | MetricKind, name: str | None = No
     return observed, obs
 
 
+def broken(obs, kind: str | MetricKind) -> bool:
+    """Whether an observed job found a rule broken."""
+    k = KINDS[kind] if isinstance(kind, str) else kind
+    counts = obs.get
+    return any(counts.get(r.name) for r in RULES[k.name])
+
+
 def raise_on_violations(obs, kind: str | MetricKind) -> None:
     """Raise :class:`SchemaValidationError` for the first rule an observed job found broken."""
     k = KINDS[kind] if isinstance(kind, str) else kind

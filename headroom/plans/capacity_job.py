@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from headroom.config import LINEAR, SEASONAL, Thresholds
-from headroom.operators.forecast import PROPHET
 from headroom.operators import export, forecast, narrative, rules, series
 from headroom.operators.cleaning import CLEANERS
-from headroom.operators.quality import observe_quality, raise_on_violations
+from headroom.operators.quality import broken, observe_quality, raise_on_violations
 from headroom.operators.trends import TREND_BUILDERS
 from headroom.session import fresh_path
 from headroom.sources import adapters
-from headroom.sources.files import land_recommendations, read_all, write_interim, write_table
+from headroom.sources.files import RAW_FILES, land_recommendations, read_all, write_interim, write_table
 
 logger = logging.getLogger(__name__)
 
@@ -36,14 +35,33 @@ def _done(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _persist(spark: SparkSession, df: DataFrame, path: str, log: dict, resume: bool = False) -> DataFrame:
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``text`` beside the table at ``path``: what it was made with."""
+    spark.createDataFrame([(text,)], "made_with string").coalesce(1).write.mode("overwrite").parquet(f"{path}_made_with")
+
+
+def _noted(spark: SparkSession, path: str) -> str | None:
+    """The note of a completely written table, else None."""
+    if not (_done(spark, path) and _done(spark, f"{path}_made_with")):
+        return None
+    return spark.read.parquet(f"{path}_made_with").first().made_with  # one row
+
+
+def _persist(spark: SparkSession, df: DataFrame, path: str, log: dict, resume: bool = False,
+             made_with: str | None = None) -> DataFrame:
     """Write a stage boundary and re-read it. With ``resume`` a completed table is reused, so a
-    re-run after a failure starts from the last finished stage."""
+    re-run after a failure starts from the last finished stage; where the table depends on
+    parameters (``made_with``), only if its note names the same ones. The note is blanked
+    before the table is rewritten, so a run that stops in between leaves nothing to reuse."""
     name = path.rsplit("/", 1)[-1]
-    if resume and _done(spark, path):
+    if resume and (_done(spark, path) if made_with is None else _noted(spark, path) == made_with):
         log[name] = -1
         return spark.read.parquet(path)
+    if made_with is not None:
+        _note(spark, path, "")
     p, rows = write_table(df, path)
+    if made_with is not None:
+        _note(spark, path, made_with)
     log[name] = rows
     return spark.read.parquet(p)
 
@@ -57,7 +75,11 @@ def run_clean_and_trend(spark: SparkSession, raw: Mapping[str, DataFrame], out_d
             for k, df in cleaned.items()}
 
 
-JOB_MODELS = (LINEAR, PROPHET, SEASONAL)
+JOB_MODELS = (LINEAR, SEASONAL)
+
+
+def _forecast_parameters(horizons_weeks: Sequence[int] | None, models: Sequence[str] = JOB_MODELS) -> str:
+    return f"horizons={None if horizons_weeks is None else list(horizons_weeks)} models={list(models)}"
 
 
 def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir: str, log: dict,
@@ -70,15 +92,19 @@ def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir:
     logger.info("[FORECASTED] %s", {k: v for k, v in log.items() if k.startswith("series_")})
     _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log, resume)
     return _persist(spark, forecast.forecast_all(s, horizons_weeks, models), f"{out_dir}/processed/forecasts", log,
-                    resume)
+                    resume, _forecast_parameters(horizons_weeks, models))
 
 
 def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: str, log: dict,
                   th: Thresholds = Thresholds(), rule_model: str = LINEAR, provider: str = "template_fallback",
-                  responses: DataFrame | None = None, resume: bool = False) -> DataFrame:
-    """Rules + narratives, persisted (parquet for the job, CSV with JSON details for BI)."""
+                  responses: DataFrame | None = None, resume: bool = False, made_with: str = "") -> DataFrame:
+    """Rules + narratives, persisted (parquet for the job, CSV with JSON details for BI).
+
+    ``made_with`` names what the forecasts were made with. Recommendations with ``responses``
+    are never reused on resume: nothing says that those are the same responses."""
     recs = narrative.narrate(rules.recommend(trends, forecasts, th, rule_model), responses, provider)
-    recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log, resume)
+    recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log, resume and responses is None,
+                    f"{made_with} {th} rule_model={rule_model} provider={provider} responses={responses is not None}")
     _, log["recommendations_csv"] = land_recommendations(recs, f"{out_dir}/processed/recommendations_csv")
     counts = rules.risk_counts(recs).first()  # one row
     log["critical"], log["warning"] = counts.critical_count, counts.warning_count
@@ -98,11 +124,15 @@ def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th:
             horizons_weeks: Sequence[int] | None = None, rule_model: str = LINEAR,
             provider: str = "template_fallback", responses: DataFrame | None = None,
             resume: bool = False) -> dict[str, int]:
-    """E5: the whole job; returns rows written per table (-1 for a table reused on resume)."""
+    """E5: the whole job; returns rows written per table (-1 for a table reused on resume).
+
+    ``resume`` expects the same raw tables as the earlier run; a stage made with other
+    horizons, thresholds or models is made again."""
     log: dict[str, int] = {}
     trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
     forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks, resume)
-    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses, resume)
+    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses, resume,
+                         _forecast_parameters(horizons_weeks))
     run_export(trends, recs, out_dir, log)
     return log
 
@@ -118,12 +148,21 @@ def run_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_from_raw_dir(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str = "csv",
                      on_violation: str = "fail", resume: bool = False, **job_args) -> dict[str, int]:
-    """E5 over landed files: S2 read (validated) -> S3 interim -> E1..E4 on the interim tables."""
+    """E5 over landed files: S2 read (validated) -> S3 interim -> E1..E4 on the interim tables.
+
+    The outcome of the quality rules is noted beside each interim table. ``resume`` reuses the
+    interim tables only if they come from the same files and, with ``on_violation="fail"``,
+    broke no rule; otherwise the files are read and checked again and every stage is made anew."""
     interim_dir = f"{out_dir}/interim"
+    paths = {k: f"{interim_dir}/{k}_ingested" for k in RAW_FILES}
     log: dict[str, int] = {}
-    if resume and all(_done(spark, f"{interim_dir}/{k}_ingested") for k in ("compute", "storage", "network")):
-        interim = {k: spark.read.parquet(f"{interim_dir}/{k}_ingested") for k in ("compute", "storage", "network")}
+    usable = {f"{fmt} {raw_dir} passed"} | ({f"{fmt} {raw_dir} violated"} if on_violation == "report" else set())
+    resume = resume and all(_noted(spark, p) in usable for p in paths.values())
+    if resume:
+        interim = {k: spark.read.parquet(p) for k, p in paths.items()}
     else:
+        for p in paths.values():
+            _note(spark, p, "")
         # The quality rules ride on the interim write (one pass over the raw files); with
         # "fail" the job stops right after it, before any cleaning.
         raw = read_all(spark, raw_dir, fmt, on_violation="report")
@@ -131,6 +170,8 @@ def run_from_raw_dir(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str =
         written = write_interim({k: df for k, (df, _) in observed.items()}, interim_dir)
         for k, (_, obs) in observed.items():
             log.update({f"{k}_{rule}": n for rule, n in obs.get.items()})
+            _note(spark, paths[k], f"{fmt} {raw_dir} {'violated' if broken(obs, k) else 'passed'}")
+        for k, (_, obs) in observed.items():
             if on_violation == "fail":
                 raise_on_violations(obs, k)
         log.update({f"{k}_ingested": rows for k, (_, rows) in written.items()})

@@ -1,7 +1,9 @@
 """File sources and sinks.
 
-Reads use explicit schemas (never inference); every double is NaN-normalised to NULL at the
-source so later operators see a single missing value. Writes go through ``DataFrame.write``
+Files are matched by column name: the header (or the file's own schema) says where each column
+is, a missing required column fails, extra columns are dropped. Types are explicit, never
+inferred; every double is NaN-normalised to NULL at the source so later operators see a
+single missing value. Writes go through ``DataFrame.write``
 and report the row count through an ``Observation`` filled by the same job.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from headroom.functions.numeric import nan_to_null
 from headroom.operators.cleaning import CLEANERS, SEQ
-from headroom.operators.quality import VALIDATORS, violation_counts
+from headroom.operators.quality import TABLE_LABELS, VALIDATORS, require_columns, violation_counts
 from headroom.operators.trends import TREND_BUILDERS
 from headroom.operators.series import prepare_all
 from headroom.schemas import KINDS
@@ -40,23 +42,42 @@ def with_input_order(df: DataFrame) -> DataFrame:
                                        F.monotonically_increasing_id().alias("row")))
 
 
+def file_schema(spark: SparkSession, path: str, fmt: str, wanted: T.StructType, label: str) -> T.StructType:
+    """The read schema of the files at ``path``: V1 on the columns they really have, then the wanted
+    type for each wanted column, wherever it stands.
+
+    For CSV only the first line is read. The columns keep their place in the file, and every
+    other column is text that no one selects; with ``enforceSchema=false`` a file of the folder
+    whose header differs fails when it is read.
+    """
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    found = reader.format(fmt).load(path)
+    require_columns(found, wanted.names, label)
+    if fmt != "csv":  # formats with names in the file are read by name
+        return wanted
+    types = {f.name: f for f in wanted.fields}
+    return T.StructType([types.get(c, T.StructField(c, T.StringType(), True)) for c in found.columns])
+
+
 def read_metrics(spark: SparkSession, path: str, kind: str, fmt: str = "csv",
                  validator: Callable[[DataFrame], DataFrame] | None = None,
                  on_violation: str = "fail") -> DataFrame:
-    """Read a raw metric table with its schema, NaN->NULL, input order, then validate.
+    """Read a raw metric table by column name, NaN->NULL, input order, then validate.
+
+    Column order in the file does not matter and extra columns are dropped; a file without a
+    required column raises :class:`SchemaValidationError`, whatever ``on_violation`` says.
 
     ``on_violation="fail"`` raises like the source on a broken rule; ``"report"`` leaves
     repair to the cleaners (use :func:`violation_counts` to see what would fail).
     """
     k = KINDS[kind]
-    reader = spark.read.schema(k.schema)
+    reader = spark.read.schema(file_schema(spark, path, fmt, k.schema, TABLE_LABELS[kind])).format(fmt)
     if fmt == "csv":
         # Spark's default timestamp parsing accepts "2025-01-01 00:00:00", "2025-01-01T00:00:00.000"
         # (Spark's own CSV output) and date-only values.
-        df = reader.option("header", True).csv(path)
-    else:
-        df = reader.format(fmt).load(path)
-    df = with_input_order(normalise_missing(df))
+        reader = reader.option("header", True).option("enforceSchema", False)
+    df = with_input_order(reader.load(path))
+    df = normalise_missing(df.select(*k.columns, SEQ))
     if on_violation == "fail":
         (validator or VALIDATORS[kind])(df)
     elif on_violation != "report":

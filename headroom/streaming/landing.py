@@ -15,16 +15,18 @@ cannot run on a stream; run them in batch over the emitted daily table.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headroom.functions.timeutil import epoch_day_to_date, ntz_as_utc_instant
 from headroom.operators.cleaning import SEQ, clip_columns, drop_missing
+from headroom.operators.quality import TABLE_LABELS
 from headroom.schemas import COMPUTE, KINDS, MetricKind
 from headroom.session import fresh_path
 from headroom.sources.adapters import compute_from_events
-from headroom.sources.files import normalise_missing
+from headroom.sources.files import file_schema, normalise_missing
 
 EVENT_TIME = "event_time"
 
@@ -34,7 +36,8 @@ def read_stream(spark: SparkSession, directory: str, schema, fmt: str = "parquet
     """Streaming file source over ``directory`` (optionally only files matching ``glob``)."""
     r = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        r = r.option("header", True)
+        # A file whose header differs from the schema fails instead of being read by position.
+        r = r.option("header", True).option("enforceSchema", False)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -66,7 +69,11 @@ def land_stream(spark: SparkSession, landing_dir: str, kind: str, out_dir: str,
 
     k = KINDS[kind]
     schema = T.StructType(k.schema.fields + [T.StructField(SEQ, T.LongType(), True)]) if with_seq else k.schema
-    df = normalise_missing(read_stream(spark, landing_dir, schema, fmt))
+    try:  # by name: the files that have landed say where each column is
+        found = file_schema(spark, landing_dir, fmt, schema, TABLE_LABELS[kind])
+    except AnalysisException:  # nothing has landed yet: files must come in the order of the schema
+        found = schema
+    df = normalise_missing(read_stream(spark, landing_dir, found, fmt).select(*schema.names))
     writer = (row_clean(df, k).writeStream.format("parquet").option("path", out_dir)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
