@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,13 +203,13 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         return flat
     sample = small_sample(own, TRAINING_ROWS, int(count.sum()), "quality", "text")
     seen, name = with_result(sample, "text", "index array<int>, value array<float>, pattern bigint", _sparse)
-    rows = seen.select(f"{name}.*").toPandas()
-    if not len(rows):
+    rows = seen.select(f"{name}.*").toArrow().combine_chunks()
+    if not rows.num_rows:
         return flat
-    target = good[np.searchsorted(pattern, rows["pattern"].to_numpy(np.int64))]
-    sizes = rows["index"].map(len).to_numpy()
-    weight, bias = fit_linear(np.concatenate(rows["index"].to_list()), np.concatenate(rows["value"].to_list()),
-                              np.repeat(np.arange(len(rows)), sizes), target)
+    target = good[np.searchsorted(pattern, rows["pattern"].to_numpy())]
+    index, value = (pc.list_flatten(rows[c]).to_numpy() for c in ("index", "value"))
+    row = np.repeat(np.arange(rows.num_rows, dtype=np.int32), pc.list_value_length(rows["index"]).to_numpy())
+    weight, bias = fit_linear(index, value, row, target)
     return flat._replace(weight=weight, bias=bias)
 
 
