@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headroom.llm.text import ALNUM, small_sample, sums, table, with_result, words, written
@@ -105,39 +105,49 @@ def _targets(cells: DataFrame, given: dict[str, dict[str, float]] | None) -> Dat
 def rake(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """``cells`` with ``weight``, the factor that brings their token shares to the targets.
 
-    One sweep adjusts each dimension once; sweeps end when no marginal is off by more than
-    TOLERANCE, or after SWEEPS (cells that no weights can reconcile).
+    One sweep adjusts each dimension once and writes the cells after each, so every step is one
+    small plan; sweeps end when no marginal is off by more than TOLERANCE, or after SWEEPS (cells
+    that no weights can reconcile). Values without a target keep their weight.
     """
     targets = written(targets, "mix-targets")
-    state = written(cells.withColumn("weight", F.lit(1.0) / F.lit(max(1, cells.agg(F.sum("tokens")).first()[0] or 1))), "mix-cells")
+    state = cells.withColumn("weight", F.lit(1.0) / F.lit(max(1, cells.agg(F.sum("tokens")).first()[0] or 1)))
+    for dim in DIMENSIONS:
+        own = targets.filter(F.col("dim") == dim).select(F.col("value").alias(f"of_{dim}"), F.col("target").alias(f"target_{dim}"))
+        state = state.join(own, F.col(dim).cast("string") == F.col(f"of_{dim}"), "left").drop(f"of_{dim}")
+    state = written(state, "mix-cells")
+    columns = state.columns
     for _ in range(SWEEPS):
-        off = []
+        worst = 0.0
         for dim in DIMENSIONS:
-            now = state.groupBy(F.col(dim).cast("string").alias("value")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
-            factor = (now.join(targets.filter(F.col("dim") == dim), "value")
-                      .select("value", (F.col("target") / F.col("now")).alias("factor"), F.abs(F.col("target") - F.col("now")).alias("gap")))
-            off.append(factor.select("gap"))
-            state = (state.join(factor.select("value", "factor"), F.col(dim).cast("string") == F.col("value"), "left")
-                     .withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0))).select(*cells.columns, "weight"))
-        gap = off[0].union(off[1]).union(off[2]).agg(F.max("gap").alias("gap")).first()["gap"]
-        state = written(state.coalesce(8), "mix-cells")
-        if gap is None or gap < TOLERANCE:
+            seen, target = Observation(), F.col(f"target_{dim}")
+            now = state.groupBy(dim).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+            factor = F.when((F.col("now") > 0) & target.isNotNull(), target / F.col("now")).otherwise(F.lit(1.0))
+            step = state.join(now, dim).withColumn("weight", F.col("weight") * factor)
+            step = step.observe(seen, F.max(F.abs(target - F.col("now"))).alias("gap"))
+            state = written(step.select(columns).coalesce(8), "mix-cells")
+            worst = max(worst, seen.get.get("gap") or 0.0)
+        if worst < TOLERANCE:
             break
-    return state
+    return state.select(*cells.columns, "weight")
 
 
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:
-    """``cells`` (tokens, weight) with ``scale``: expected kept tokens, the sum of tokens * min(1, scale * weight), meet the budget."""
-    total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
-    goal = budget * total
-    low, high = 0.0, 1.0
-    kept = lambda s: cells.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(s) * F.col("weight"))).alias("k")).first()["k"] or 0.0
-    while total and kept(high) < goal * (1 - 1e-9) and high < 1e18:
-        low, high = high, high * 4
-    while total and high - low > 1e-6 * high:
-        mid = (low + high) / 2
-        low, high = (mid, high) if kept(mid) < goal else (low, mid)
-    return cells.withColumn("scale", F.lit(high))
+    """``cells`` (tokens, weight) with ``scale``: expected kept tokens, the sum of tokens * min(1, scale * weight), meet the budget.
+
+    That sum is concave and made of straight pieces, so Newton's steps from below never pass the
+    goal and end in the piece that holds it.
+    """
+    every = cells.agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("weight")).alias("weighted")).first()
+    goal = budget * (every["tokens"] or 0)
+    scale = goal / every["weighted"] if every["weighted"] else 1.0
+    while goal:
+        part = F.col("weight") * F.lit(scale)
+        row = cells.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), part)).alias("kept"),
+                        F.sum(F.when(part < 1, F.col("tokens") * F.col("weight"))).alias("slope")).first()
+        if not row["slope"] or goal - row["kept"] <= 1e-9 * goal:
+            break
+        scale += (goal - row["kept"]) / row["slope"]
+    return cells.withColumn("scale", F.lit(scale))
 
 
 def mix(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
