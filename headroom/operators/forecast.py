@@ -33,7 +33,9 @@ FORECAST_COLUMNS = ("resource_type", "resource_id", "model", "model_used", "hori
 
 def _linear_sigma(syy: Column, sxy: Column, sxx: Column, n: Column) -> Column:
     # Residual sum of squares of the OLS line = Syy - Sxy^2 / Sxx; population std = sqrt(SSR / n).
-    return F.sqrt(F.greatest((syy - sxy * sxy / sxx) / n, F.lit(0.0)))
+    # A remainder within the rounding error of Syy (points on one line) is 0.
+    left = syy - sxy * sxy / sxx
+    return F.when(left <= syy * 1e-13, F.lit(0.0)).otherwise(F.sqrt(left / n))
 
 
 def linear_status(n: Column, n_y: Column) -> Column:

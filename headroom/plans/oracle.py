@@ -41,17 +41,22 @@ def pdiv(n: str, d: str) -> str:
             f"ELSE {n}::DOUBLE / {d} END)")
 
 
+def sigma(syy: str, sxy: str, sxx: str, n: str) -> str:
+    left = f"({syy} - {sxy} * {sxy} / {sxx})"
+    return f"CASE WHEN {left} <= 1e-13 * {syy} THEN 0.0::DOUBLE ELSE sqrt({left} / {n}) END"
+
+
 def by_group(k: str, values: list[str]) -> str:
     return "(CASE " + " ".join(f"WHEN {k} = {i} THEN {v}" for i, v in enumerate(values)) + " END)"
 
 
 # ---- raw tables --------------------------------------------------------------------------
-_CPU = by_group("user_id % 5", ["value * 0.2::DOUBLE", "value * 0.4::DOUBLE", "40.0::DOUBLE + value * 0.2::DOUBLE",
-                                "85.0::DOUBLE + value * 0.2::DOUBLE", "value * 3.0::DOUBLE - 20.0::DOUBLE"])
+_CPU = by_group("user_id % 5", ["value / 0.977::DOUBLE * 0.2::DOUBLE", "value / 0.977::DOUBLE * 0.4::DOUBLE", "40.0::DOUBLE + value / 0.977::DOUBLE * 0.2::DOUBLE",
+                                "85.0::DOUBLE + value / 0.977::DOUBLE * 0.2::DOUBLE", "value / 0.977::DOUBLE * 3.0::DOUBLE - 20.0::DOUBLE"])
 RAW_COMPUTE = f"""
 raw_compute AS (
   SELECT date_trunc('hour', ts) AS "timestamp",
-         'cluster-' || lpad(CAST(user_id % 5 + 1 AS VARCHAR), 2, '0') AS cluster_id,
+         'cluster-' || CAST(user_id AS VARCHAR) AS cluster_id,
          cpu AS cpu_utilization_pct, cpu * 0.9::DOUBLE AS memory_utilization_pct, cpu AS cluster_utilization_pct,
          event_id AS seq
   FROM (SELECT *, {_CPU} AS cpu FROM events)
@@ -62,7 +67,7 @@ _SLOPE = by_group("k", [f"{s}::DOUBLE" for s in ("0.50", "0.75", "0.05", "0.50",
 RAW_STORAGE = f"""
 raw_storage AS (
   SELECT l_shipdate AS "timestamp",
-         'storage-' || lpad(CAST(k + 1 AS VARCHAR), 2, '0') AS storage_id,
+         'storage-' || CAST(l_suppkey AS VARCHAR) AS storage_id,
          used AS disk_used_gb, 1000.0::DOUBLE AS disk_total_gb, used / 1000.0::DOUBLE * 100.0::DOUBLE AS disk_utilization_pct,
          l_discount * 1000.0::DOUBLE + l_tax * 500.0::DOUBLE AS io_utilization_pct,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
@@ -74,8 +79,8 @@ raw_storage AS (
 
 RAW_NETWORK = """
 raw_network AS (
-  SELECT o_orderdate AS "timestamp", o_orderpriority AS link_id, 500000.0::DOUBLE AS bandwidth_mbps,
-         o_totalprice AS throughput_mbps, c_acctbal AS latency_ms, o_orderkey AS seq
+  SELECT o_orderdate AS "timestamp", 'link-' || CAST(o_custkey // 10 AS VARCHAR) AS link_id, 500.0::DOUBLE AS bandwidth_mbps,
+         o_totalprice / 977.0::DOUBLE AS throughput_mbps, c_acctbal AS latency_ms, o_orderkey AS seq
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 )"""
 
@@ -182,7 +187,7 @@ series AS (
 
 LINEAR_FIT = """
 linear_fit AS (
-  SELECT *, sqrt(greatest((_syy - _sxy * _sxy / _sxx) / n, 0.0)) AS sigma,
+  SELECT *, """ + sigma('_syy', '_sxy', '_sxx', 'n') + """ AS sigma,
          CASE WHEN n < 2 THEN 'too_few_points' WHEN n_y < n THEN 'missing_y' ELSE 'ok' END AS status
   FROM (SELECT resource_type, resource_id, count(*) AS n, count(y) AS n_y,
                regr_intercept(y, t) AS intercept, regr_slope(y, t) AS slope,
@@ -229,7 +234,7 @@ sfit AS (
          ELSE 'missing_y' END AS status
   FROM (SELECT {k}, max(_n) AS n, max(_n_y) AS n_y, max(_a) AS intercept, max(_b) AS slope, max(t) AS max_t,
                max(ds) AS max_ds, stddev_pop(_e) AS _sigma_e,
-               sqrt(greatest((max(_syy) - max(_sxy) * max(_sxy) / max(_sxx)) / max(_n), 0.0)) AS _sigma_lin
+               {sigma('max(_syy)', 'max(_sxy)', 'max(_sxx)', 'max(_n)')} AS _sigma_lin
         FROM s3 GROUP BY {k})
 ),
 weekday_eff AS (SELECT DISTINCT {k}, _dow, _sw FROM s3),
@@ -447,7 +452,7 @@ def build() -> dict[str, str]:
     q["forecast_all"] = (with_ctes(*series_ctes, LINEAR_FIT.format(src="series"), LINEAR_FORECAST,
                                    seasonal_ctes("series"), SEASONAL_FORECAST) + " " +
                          forecast_select("linear_forecast") + " UNION ALL " + forecast_select("seasonal_forecast"))
-    holed = ("(SELECT resource_type, resource_id, ds, CASE WHEN resource_id = 'cluster-03' AND dayofmonth(ds) = 15 "
+    holed = ("(SELECT resource_type, resource_id, ds, CASE WHEN resource_id LIKE 'cluster-%3' AND dayofmonth(ds) = 15 "
              "THEN NULL ELSE y END AS y, t FROM series)")
     for name, src in (("forecast_status", holed), ("forecast_status_series", "series")):
         q[name] = (with_ctes(*series_ctes, LINEAR_FIT.format(src=src), seasonal_ctes(src)) +

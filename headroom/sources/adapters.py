@@ -12,17 +12,23 @@ from pyspark.sql import functions as F
 
 from headroom.functions.timeutil import floor_hour_ntz
 
-N_GROUPS = 5
+# The resources are the real users, suppliers and customers; SHAPES only varies the course of their values.
+SHAPES = 5
 
-# Storage derivation over the whole lineitem table: a base level and a growth per group
+# Storage derivation over the whole lineitem table: a base level and a growth per shape
 # (fractions of capacity, the growth spread over STORAGE_SPAN_DAYS days from STORAGE_START);
-# the groups end near different thresholds so every storage rule outcome occurs.
+# the shapes end near different thresholds so every storage rule outcome occurs.
 STORAGE_START = "1995-01-01"
 STORAGE_SPAN_DAYS = 2500
 STORAGE_BASE = (0.46, 0.11, 0.30, 0.215, 0.49)
 STORAGE_SLOPE = (0.50, 0.75, 0.05, 0.50, 0.30)
 STORAGE_TOTAL_GB = 1000.0
-NETWORK_BANDWIDTH_MBPS = 500000.0
+# A link carries the orders of CUSTOMERS_PER_LINK customers; order totals are scaled to the bandwidth.
+CUSTOMERS_PER_LINK = 10
+NETWORK_BANDWIDTH_MBPS = 500.0
+ORDER_TOTAL_PER_MBPS = 977.0
+# Not a round number, so means and fits seldom end in a rounding tie.
+EVENT_VALUE_PER_PCT = 0.977
 
 
 # Columns of the benchmark tables the adapters read (explicit schemas: no footer inference,
@@ -43,7 +49,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _by_group(k: Column, values) -> Column:
+def _by_shape(k: Column, values) -> Column:
     out = None
     for i, v in enumerate(values):
         out = (F.when(k == i, v) if out is None else out.when(k == i, v))
@@ -51,37 +57,37 @@ def _by_group(k: Column, values) -> Column:
 
 
 def _id(prefix: str, k: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad((k + 1).cast("string"), 2, "0"))
+    return F.concat(F.lit(prefix), k.cast("string"))
 
 
 def compute_from_events(events: DataFrame) -> DataFrame:
-    """Hourly cluster utilisation: cluster = user_id % 5, cpu a per-cluster function of value."""
-    k = F.col("user_id") % N_GROUPS
-    v = F.col("value")
-    cpu = _by_group(k, [v * 0.2, v * 0.4, F.lit(40.0) + v * 0.2, F.lit(85.0) + v * 0.2, v * 3.0 - F.lit(20.0)])
+    """Hourly cluster utilisation: cluster = user_id, cpu a function of value and the cluster's shape."""
+    k = F.col("user_id") % SHAPES
+    v = F.col("value") / EVENT_VALUE_PER_PCT
+    cpu = _by_shape(k, [v * 0.2, v * 0.4, F.lit(40.0) + v * 0.2, F.lit(85.0) + v * 0.2, v * 3.0 - F.lit(20.0)])
     return events.select(
-        floor_hour_ntz("ts").alias("timestamp"), _id("cluster-", k).alias("cluster_id"),
+        floor_hour_ntz("ts").alias("timestamp"), _id("cluster-", F.col("user_id")).alias("cluster_id"),
         cpu.alias("cpu_utilization_pct"), (cpu * 0.9).alias("memory_utilization_pct"),
         cpu.alias("cluster_utilization_pct"), F.col("event_id").alias("seq"))
 
 
 def storage_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Daily disk usage: storage = l_suppkey % 5, used = capacity * (base + slope * day / span) + quantity."""
+    """Daily disk usage: storage = l_suppkey, used = capacity * (base + slope * day / span) + quantity."""
     li = lineitem
-    k = F.col("l_suppkey") % N_GROUPS
+    k = F.col("l_suppkey") % SHAPES
     d = F.datediff(F.to_date("l_shipdate"), F.lit(STORAGE_START).cast("date"))
-    level = _by_group(k, [F.lit(b) for b in STORAGE_BASE]) + _by_group(k, [F.lit(s) for s in STORAGE_SLOPE]) * d / STORAGE_SPAN_DAYS
+    level = _by_shape(k, [F.lit(b) for b in STORAGE_BASE]) + _by_shape(k, [F.lit(s) for s in STORAGE_SLOPE]) * d / STORAGE_SPAN_DAYS
     used = F.lit(STORAGE_TOTAL_GB) * level + F.col("l_quantity")
     total = F.lit(STORAGE_TOTAL_GB)
     return li.select(
-        F.col("l_shipdate").alias("timestamp"), _id("storage-", k).alias("storage_id"),
+        F.col("l_shipdate").alias("timestamp"), _id("storage-", F.col("l_suppkey")).alias("storage_id"),
         used.alias("disk_used_gb"), total.alias("disk_total_gb"), (used / total * 100.0).alias("disk_utilization_pct"),
         (F.col("l_discount") * 1000.0 + F.col("l_tax") * 500.0).alias("io_utilization_pct"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("seq"))
 
 
 def network_from_orders(orders: DataFrame, customer: DataFrame, dedupe_before_lookup: bool = False) -> DataFrame:
-    """Daily link load: link = order priority, throughput = order total, latency = customer balance.
+    """Daily link load: link = ten customers, throughput = order total, latency = customer balance.
 
     A left lookup join on the unique customer key, so every order keeps exactly one row.
     Because the lookup neither adds nor drops orders, first-wins de-duplication commutes with
@@ -89,8 +95,8 @@ def network_from_orders(orders: DataFrame, customer: DataFrame, dedupe_before_lo
     join sees a table of days x links instead of every order (same cleaned result).
     """
     o = orders.select(
-        F.col("o_orderdate").alias("timestamp"), F.col("o_orderpriority").alias("link_id"),
-        F.lit(NETWORK_BANDWIDTH_MBPS).alias("bandwidth_mbps"), F.col("o_totalprice").alias("throughput_mbps"),
+        F.col("o_orderdate").alias("timestamp"), _id("link-", F.floor(F.col("o_custkey") / CUSTOMERS_PER_LINK)).alias("link_id"),
+        F.lit(NETWORK_BANDWIDTH_MBPS).alias("bandwidth_mbps"), (F.col("o_totalprice") / ORDER_TOTAL_PER_MBPS).alias("throughput_mbps"),
         F.col("o_custkey").alias("_custkey"), F.col("o_orderkey").alias("seq"))
     if dedupe_before_lookup:
         from headroom.operators.cleaning import dedupe_first
