@@ -195,8 +195,8 @@ class Model(NamedTuple):
 def train(docs: DataFrame, text: str = "text") -> Model:
     own = docs.select(F.col(text).alias("text"))
     seen, name = with_result(own, "text", "pattern bigint", _patterns)
-    counted = seen.groupBy(f"{name}.pattern").count().orderBy("pattern").toPandas()
-    pattern, count = counted["pattern"].to_numpy(np.int64), counted["count"].to_numpy(float)
+    counted = seen.groupBy(f"{name}.pattern").count().orderBy("pattern").toArrow()
+    pattern, count = counted["pattern"].to_numpy(), counted["count"].to_numpy().astype(float)
     good, accuracy, share = expectation_maximisation(pattern, count)
     flat = Model(np.zeros(2 * BUCKETS), float(np.log(share / (1 - share))), pattern, good, accuracy, share)
     if not len(count) or good.min() > 0.5 or good.max() < 0.5:
