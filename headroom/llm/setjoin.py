@@ -13,6 +13,10 @@ none of them loses a link:
   stored difference from its leader bounds the similarity to any other set (the triangle inequality
   of the Jaccard distance), so only the members that the bound leaves open are read.
 
+A pair's texts travel only if its sketches leave the similarity possible: a sketch has one bit for
+each of SKETCH_BITS cells, the parity of the shingles in it, and two sets differ in at least as many
+shingles as their sketches in bits. The others keep that bound as their answer.
+
 Rarity is the number of sets that hold a shingle, counted over all texts inside each task (a shingle
 alone in its task counts nothing there) and summed; it only orders the prefix, so any count is right.
 
@@ -39,6 +43,8 @@ RANKED = 1 << 20
 LEADERS = (1, 4, 8)
 #: Size of the bitmap of wanted texts.
 BITMAP_BITS = 1 << 24
+#: Cells of a set's sketch.
+SKETCH_BITS = 1 << 11
 #: Members of one component and size band in a block.
 BLOCK = 256
 #: Members of one list, component and size band from which they get blocks of their own.
@@ -165,6 +171,60 @@ def _texts(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
     return found.groupBy("set").agg(F.any_value("text").alias("text"))
 
 
+def _sketches(value: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The sketch of each set, SKETCH_BITS bits as bytes."""
+    cell = (value.view(np.uint64) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    rows, parts = len(first) - 1, []
+    for i in range(0, rows, 256):
+        j = min(rows, i + 256)
+        at = cell[first[i]:first[j]] + np.repeat(np.arange(j - i), np.diff(first[i:j + 1])) * SKETCH_BITS
+        parts.append(np.packbits((np.bincount(at, minlength=(j - i) * SKETCH_BITS) & 1).astype(np.uint8)))
+    data = np.concatenate(parts) if parts else np.empty(0, np.uint8)
+    offsets = np.arange(rows + 1, dtype=np.int32) * (SKETCH_BITS // 8)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _sketch_bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), SKETCH_BITS // 8)
+
+
+def _with_sketches(texts: DataFrame, k: int) -> DataFrame:
+    """``set, text, n, sketch`` of ``texts``."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                value, first = shingle_sets(part.column("text"), k)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("set"), part.column("text"), pa.array(np.diff(first).astype(np.int64)), _sketches(value, first)],
+                    names=["set", "text", "n", "sketch"])
+
+    return texts.mapInArrow(scan, "set bigint, text string, n bigint, sketch binary")
+
+
+def _bounds(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b, most, n_a, n_b`` of each pair of sets; by their sketches they share ``most`` shingles at most."""
+    a, b = (texts.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(f"n_{x}").to_numpy() for x in "ab")
+            differ = np.bitwise_count(_sketch_bytes(batch.column("sketch_a")) ^ _sketch_bytes(batch.column("sketch_b"))).sum(axis=1, dtype=np.int64)
+            most = np.minimum((n + m - differ) // 2, np.minimum(n, m))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(most), pa.array(n), pa.array(m)], names=["a", "b", "most", "n_a", "n_b"])
+
+    return pairs.join(a, "a").join(b, "b").mapInArrow(scan, "a bigint, b bigint, most bigint, n_a bigint, n_b bigint")
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a, b, common, n_a, n_b, linked, exact``; not exact: no link, and ``common`` is the sketches' bound."""
+    bounds = written(_bounds(pairs, texts), "bounds")
+    fits = F.col("most") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("most")) * percent
+    exact = _overlap(bounds.filter(fits).select("a", "b"), texts, k, percent).withColumn("exact", F.lit(True))
+    rest = bounds.filter(~fits).select("a", "b", F.col("most").alias("common"), "n_a", "n_b", F.lit(False).alias("linked"), F.lit(False).alias("exact"))
+    return exact.union(rest)
+
+
 def _overlap(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """``a, b, common, n_a, n_b, linked`` of each pair of sets, counted on whole texts."""
     both = (pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("text_a")), "a")
@@ -215,10 +275,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _short_lists(index: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the open pairs inside lists of at most BLOCK members: a join with the same tests as blocks have."""
-    a, b = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "root", "n", "pos", "leader", "apart")]) for x in "ab")
+    a, b = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "root", "n", "pos", "leader", "near", "far")]) for x in "ab")
     most = F.least(F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b"), F.least("n_a", "n_b"))
     fits = (most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent) & ~(
-        (F.col("leader_a") == F.col("leader_b")) & (F.abs(F.col("apart_a") - F.col("apart_b")) > 1 - percent / 100 + 1e-9))
+        (F.col("leader_a") == F.col("leader_b")) & (F.greatest(F.col("near_a") - F.col("far_b"), F.col("near_b") - F.col("far_a")) > 1 - percent / 100 + 1e-9))
     on = (a.shingle == b.shingle) & (F.col("set_a") < F.col("set_b")) & (F.col("root_a") != F.col("root_b")) & fits
     return a.join(b, on).select(F.col("set_a").alias("a"), F.col("set_b").alias("b"))
 
@@ -233,7 +293,7 @@ def _blocks(index: DataFrame, percent: int) -> DataFrame:
     own = own.join(by_root, ["shingle", "band", "root"]).withColumn("group", F.when(F.col("members") >= LARGE, F.col("root")))
     by_group = (by_root.groupBy("shingle", "band", F.when(F.col("members") >= LARGE, F.col("root")).alias("g"))
                 .agg(F.ceil(F.sum("members") / BLOCK).alias("parts")))
-    rows = F.collect_list(F.struct("set", "root", "n", "pos", "leader", "apart")).alias("rows")
+    rows = F.collect_list(F.struct("set", "root", "n", "pos", "leader", "near", "far")).alias("rows")
     block = (own.alias("o").join(by_group.alias("g"), (F.col("o.shingle") == F.col("g.shingle")) & (F.col("o.band") == F.col("g.band"))
                                  & F.col("o.group").eqNullSafe(F.col("g.g")))
              .select("o.*", F.pmod(F.xxhash64("set"), F.col("parts")).alias("part"))
@@ -253,10 +313,10 @@ def _open_pairs(blocks: DataFrame, percent: int) -> DataFrame:
             for i in range(batch.num_rows):
                 a, b = (batch.column(x)[i].values for x in ("rows_a", "rows_b"))
                 of = lambda name: (a.field(name).to_numpy(zero_copy_only=False)[:, None], b.field(name).to_numpy(zero_copy_only=False)[None, :])  # noqa: B023, E731
-                (n, m), (at, at2), (root, root2), (lead, lead2), (apart, apart2) = map(of, ("n", "pos", "root", "leader", "apart"))
+                (n, m), (at, at2), (root, root2), (lead, lead2), (near, near2), (far, far2) = map(of, ("n", "pos", "root", "leader", "near", "far"))
                 most = np.minimum(np.minimum(n - at, m - at2) + np.minimum(at, at2), np.minimum(n, m)).astype(np.int64)
                 fits = (100 * most >= percent * (n + m - most)) & (root != root2)
-                fits &= ~((lead == lead2) & (np.abs(apart - apart2) > 1 - percent / 100 + 1e-9))
+                fits &= ~((lead == lead2) & (np.maximum(near - far2, near2 - far) > 1 - percent / 100 + 1e-9))
                 x, y = np.nonzero(fits)
                 one, two = of("set")[0][x, 0], of("set")[1][0, y]
                 pair = np.unique(np.stack((np.minimum(one, two), np.maximum(one, two))), axis=1)
@@ -266,12 +326,13 @@ def _open_pairs(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def _answers(tried: DataFrame) -> DataFrame:
-    """``set, leader, apart``: each compared set's nearest leader and its Jaccard distance; a leader is its own."""
-    apart = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+    """``set, leader, near, far``: each compared set's nearest leader and the bounds of its Jaccard distance; a leader is its own."""
+    near = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+    far = F.when(F.col("exact"), near).otherwise(F.lit(1.0))
     leaders = tried.select(F.col("b").alias("set")).distinct()
-    near = tried.groupBy(F.col("a").alias("set")).agg(F.min(F.struct(apart.alias("apart"), F.col("b").alias("leader"))).alias("x"))
-    return (leaders.select("set", F.col("set").alias("leader"), F.lit(0.0).alias("apart"))
-            .union(near.join(leaders, "set", "left_anti").select("set", "x.leader", "x.apart")))
+    best = tried.groupBy(F.col("a").alias("set")).agg(F.min(F.struct(far.alias("far"), near.alias("near"), F.col("b").alias("leader"))).alias("x"))
+    return (leaders.select("set", F.col("set").alias("leader"), F.lit(0.0).alias("near"), F.lit(0.0).alias("far"))
+            .union(best.join(leaders, "set", "left_anti").select("set", "x.leader", "x.near", "x.far")))
 
 
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
@@ -290,7 +351,7 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     several = index.groupBy("shingle").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select("shingle")
     several = written(several, "shared-shingles")
     index = written(likely(index, "shingle", several, "shingle", BITMAP_BITS).join(several, "shingle").distinct(), "prefix-lists")
-    texts = written(_texts(own, rows.filter("n > 0"), index.select("set").distinct()), "listed-texts")
+    texts = written(_with_sketches(_texts(own, rows.filter("n > 0"), index.select("set").distinct()), k), "listed-texts")
     tried, roots, state = None, None, index.withColumn("root", F.col("set"))
     for turn in range(len(LEADERS) + 1):
         mixed = state.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
@@ -304,12 +365,13 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
                      .select(F.col("set").alias("a"), F.col("lead").alias("b")).distinct())
         else:
             state = (state.join(_answers(tried), "set", "left")
-                     .withColumn("leader", F.coalesce("leader", "set")).withColumn("apart", F.coalesce("apart", F.lit(0.0))))
+                     .withColumn("leader", F.coalesce("leader", "set"))
+                     .withColumn("near", F.coalesce("near", F.lit(0.0))).withColumn("far", F.coalesce("far", F.lit(0.0))))
             state = written(state, "open-lists")
             long = state.groupBy("shingle").count().filter(F.col("count") > BLOCK).select("shingle")
             pairs = (_short_lists(state.join(long, "shingle", "left_anti"), percent)
                      .union(_open_pairs(_blocks(state.join(long, "shingle"), percent), percent)).distinct())
-        found = written(_overlap(_untried(pairs, tried), texts, k, percent), "answers")
+        found = written(_compare(_untried(pairs, tried), texts, k, percent), "answers")
         tried = found if tried is None else tried.union(found)
         links = found.filter("linked").select("a", "b")
         if roots is not None:
