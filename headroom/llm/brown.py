@@ -2,8 +2,10 @@
 
 Words and their counts come from all training texts. Exchange clustering puts the most frequent
 words (CORE) into classes so that the mutual information of neighbouring classes is largest, from
-the counts of all their neighbourhoods. Every other word then makes one exchange step: it joins the
-class that best explains the classes seen before it in all training texts.
+the counts of all their neighbourhoods. Every other word then makes two exchange steps: it joins the
+class that best explains the classes seen before and after it in all training texts, first those of
+CORE words, then those of all words. The transitions between classes are then counted over all
+bigrams of the training texts, with the classes of the whole vocabulary.
 
 The model: P(word | before) = LAMBDA * P(class of word | class of before) * P(word | class of word)
 + (1 - LAMBDA) * base(word), where base is the add-one unigram estimate. Before a text stands its
@@ -15,7 +17,8 @@ join the whole vocabulary in Spark. As context, words beyond HEAD share one clas
 
 Defined cases: null and empty texts are one end token; with no training text every token is unseen
 and base and score are 0 for each; repeated rows each count and each get their row; a null doc_id
-is not held out. Only the named columns are read.
+is not held out; a word beside no word with a class joins the largest class. Only the named columns
+are read.
 """
 
 from __future__ import annotations
@@ -85,28 +88,46 @@ def most_frequent(counts: DataFrame, limit: int, *more: str) -> pa.Table:
     return found.select("word", "n", *more).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
 
 
-def neighbours(docs: DataFrame, core: dict[bytes, int]) -> np.ndarray:
-    """How often core word i is followed by core word j, over all texts (the end token stands before each)."""
-    size = len(core)
-    shared = docs.sparkSession.sparkContext.broadcast(core)
+def encode(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """``ids, rare`` per text: its tokens as 32-bit numbers (``len(ids)`` for a word without one), and those words in their order."""
+    shared = docs.sparkSession.sparkContext.broadcast(ids)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, total, codes, held = shared.value.get, np.zeros(size * size, np.int64), [], 0
-        end = find(END)
-        for own in _texts(batches):
-            ids = np.array([end, *[find(w, -1) for w in own]])
-            code = ids[:-1] * size + ids[1:]
-            codes.append(code[(ids[:-1] >= 0) & (ids[1:] >= 0)])
-            held += len(ids)
-            if held > 1_000_000:
-                total += np.bincount(np.concatenate(codes), minlength=size * size)
-                codes, held = [], 0
-        if codes:
-            total += np.bincount(np.concatenate(codes), minlength=size * size)
+        find, rest = shared.value.get, len(shared.value)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                codes, rare = [], []
+                for text in part.column("text").to_pylist():
+                    own = tokens(text)
+                    code = [find(w, rest) for w in own]
+                    codes.append(np.array(code, np.int32).tobytes())
+                    rare.append(b" ".join([w for w, c in zip(own, code, strict=True) if c == rest]))
+                yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), pa.array(rare, pa.binary())], names=["ids", "rare"])
+
+    return written(docs.mapInArrow(scan, "ids binary, rare binary"), "encoded-texts")
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], rest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Of some texts: each token's left neighbour, the tokens, and the words that stand for ``rest``, ``rest + 1``, ..."""
+    for batch in batches:
+        for part in slices(batch, "ids"):
+            now = np.frombuffer(b"".join(part.column("ids").to_pylist()), np.int32).astype(np.int64)
+            known: dict[bytes, int] = {}
+            now[now == rest] = [known.setdefault(w, rest + len(known)) for text in part.column("rare").to_pylist() for w in text.split()]
+            yield np.concatenate(([0], now[:-1])), now, list(known)
+
+
+def neighbours(encoded: DataFrame, rest: int, size: int) -> np.ndarray:
+    """How often core word i is followed by core word j, over all texts (the end token, word 0, stands before each)."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for before, now, _ in _pairs(batches, rest):
+            both = (before < size) & (now < size)
+            total += np.bincount(before[both] * size + now[both], minlength=size * size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["pair", "n"])
 
-    rows = docs.mapInArrow(scan, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    rows = encoded.mapInArrow(scan, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(size, size)
@@ -169,51 +190,148 @@ def exchange(pairs: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int
     return own
 
 
-def contexts(docs: DataFrame, core: dict[bytes, int]) -> DataFrame:
-    """``word, c0, c1, ...``: how often each word stands after each context class (the last: a word that isn't core)."""
-    width = CLASSES + 2
-    shared = docs.sparkSession.sparkContext.broadcast(core)
-    names = [f"c{i}" for i in range(width)]
+WIDTH = CLASSES + 2
+#: A word's counts: l0.. of the classes before it, r0.. of those after it (the last: a word without a class yet).
+SIDES = [f"l{i}" for i in range(WIDTH)] + [f"r{i}" for i in range(WIDTH)]
+_SIDES = "word binary, " + ", ".join(f"{c} bigint" for c in SIDES)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = shared.value.get
 
-        def counted(ids: dict[bytes, int], rows: list, before: list) -> pa.RecordBatch:
-            code = np.array(rows, np.int64) * width + np.array(before, np.int64)
-            n = np.bincount(code, minlength=len(ids) * width).reshape(len(ids), width)
-            return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()), *[pa.array(n[:, i].astype(np.int64)) for i in range(width)]], names=["word", *names])
+def _sides(words: list[bytes], n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *[pa.array(n[:, i].astype(np.int64)) for i in range(2 * WIDTH)]], names=["word", *SIDES])
 
-        ids: dict[bytes, int] = {}
-        rows, before = [], []
-        for own in _texts(batches):
-            rows += [ids.setdefault(w, len(ids)) for w in own]
-            before.append(CLASSES)
-            before += [context(w, CLASSES + 1) for w in own[:-1]]
-            if len(ids) > HELD // 2 or len(rows) > 1_500_000:
-                yield counted(ids, rows, before)
-                ids, rows, before = {}, [], []
-        yield counted(ids, rows, before)
 
-    seen = docs.mapInArrow(scan, "word binary, " + ", ".join(f"{c} bigint" for c in names))
-    return seen.groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
+def contexts(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, vocabulary: DataFrame | None) -> DataFrame:
+    """``word, l0, .., r0, ..``: how often each class stands before and after each word, over all texts.
 
+    ``classes`` are those of the numbered words; the classes of all others come from a join with
+    ``vocabulary`` (None: they have none yet). The last token's right neighbour isn't counted.
+    """
+    rest, whole = len(ids), vocabulary is not None
+    shared = encoded.sparkSession.sparkContext.broadcast((list(ids), classes))
 
-def assign(seen: DataFrame, core: dict[bytes, int], likely: np.ndarray) -> DataFrame:
-    """``word, n, class, c0, ...``: core words keep their class, others take the one likeliest after their contexts."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, own = shared.value
+        total = np.zeros((rest, 2 * WIDTH), np.int32)
+        for before, now, rare in _pairs(batches, rest):
+            of = np.append(own, np.full(len(rare), WIDTH - 1))
+            more = np.zeros((len(rare), 2 * WIDTH), np.int32)
+            for word, slot, near in ((now, of[before], before), (before, WIDTH + of[now], now)):
+                if whole:
+                    word, slot = word[near < rest], slot[near < rest]
+                head = word < rest
+                np.add.at(total, (word[head], slot[head]), np.int32(1))
+                np.add.at(more, (word[~head] - rest, slot[~head]), np.int32(1))
+            for i in range(0, len(rare), 10_000):
+                yield _sides(rare[i:i + 10_000], more[i:i + 10_000])
+            if total.max(initial=0) > 1 << 30:
+                yield _sides(names, total)
+                total[:] = 0
+        at = np.flatnonzero(total.any(axis=1))
+        for i in range(0, len(at), 10_000):
+            yield _sides([names[k] for k in at[i:i + 10_000]], total[at[i:i + 10_000]])
+
+    seen = encoded.mapInArrow(scan, _SIDES)
+    if whole:
+        def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """near (a word without a number), the word beside it, and whether near stands after it."""
+            names, _ = shared.value
+            for before, now, rare in _pairs(batches, rest):
+                every, size = names + rare, rest + len(rare)
+                left, right = before >= rest, now >= rest
+                code, n = np.unique(np.concatenate(((before[left] * size + now[left]) * 2, (now[right] * size + before[right]) * 2 + 1)), return_counts=True)
+                near, word = np.divmod(code // 2, size)
+                yield pa.RecordBatch.from_arrays([pa.array([rare[k - rest] for k in near.tolist()], pa.binary()), pa.array([every[k] for k in word.tolist()], pa.binary()),
+                                                  pa.array((code % 2).astype(np.int32)), pa.array(n.astype(np.int64))], names=["near", "word", "after", "n"])
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = np.zeros((batch.num_rows, 2 * WIDTH), np.int64)
+                n[np.arange(batch.num_rows), batch.column("slot").to_numpy()] = batch.column("n").to_numpy()
+                yield _sides(batch.column("word").to_pylist(), n)
+
+        other = vocabulary.select(F.col("word").alias("near"), "class")
+        more = (encoded.mapInArrow(beside, "near binary, word binary, after int, n bigint").join(other, "near")
+                .groupBy("word", (F.col("class") + F.col("after") * WIDTH).alias("slot")).agg(F.sum("n").alias("n")))
+        seen = seen.union(more.mapInArrow(spread, _SIDES))
+    return seen.groupBy("word").agg(*[F.sum(c).alias(c) for c in SIDES])
+
+
+def assign(seen: DataFrame, core: dict[bytes, int], joint: np.ndarray, share: np.ndarray | None) -> DataFrame:
+    """``word, n, class``: core words keep their class, others take the one likeliest beside their neighbours' classes.
+
+    A word whose neighbours all lack a class gets none (CLASSES + 1), or the largest of ``share`` if given.
+    """
+    joint = joint[:WIDTH - 1, :WIDTH - 1] + 0.5
+    likely = np.zeros((2 * WIDTH, CLASSES))
+    likely[:WIDTH - 1] = np.log(joint[:, :CLASSES] / joint[:, :CLASSES].sum(axis=0))
+    likely[WIDTH:-1] = np.log(joint[:CLASSES] / joint[:CLASSES].sum(axis=1, keepdims=True)).T
     shared = seen.sparkSession.sparkContext.broadcast((core, likely))
-    names = [f"c{i}" for i in range(CLASSES + 2)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, log = shared.value
         for batch in batches:
-            n = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
+            n = np.stack([batch.column(c).to_numpy() for c in SIDES], axis=1)
             own = (n @ log).argmax(axis=1).astype(np.int32)
+            none = ~(n[:, :WIDTH - 1].any(axis=1) | n[:, WIDTH:-1].any(axis=1))
+            own[none] = WIDTH - 1 if share is None else share[:CLASSES].argmax()
             for i, word in enumerate(batch.column("word").to_pylist()):
                 own[i] = known.get(word, own[i])
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(n.sum(axis=1)), pa.array(own), *[batch.column(c) for c in names]],
-                                             names=["word", "n", "class", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(n[:, :WIDTH].sum(axis=1)), pa.array(own)], names=["word", "n", "class"])
+
+    return written(seen.mapInArrow(scan, "word binary, n bigint, class int"), "word-classes")
+
+
+def numbered(words: DataFrame, ids: dict[bytes, int]) -> np.ndarray:
+    """The classes of the numbered words, by number."""
+    shared = words.sparkSession.sparkContext.broadcast(ids)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array([shared.value.get(w, -1) for w in batch.column("word").to_pylist()], np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(own[own >= 0]), pa.array(batch.column("class").to_numpy()[own >= 0])], names=["id", "class"])
 
-    return seen.mapInArrow(scan, "word binary, n bigint, class int, " + ", ".join(f"{c} bigint" for c in names))
+    found = words.mapInArrow(scan, "id int, class int").toArrow()
+    out = np.zeros(len(ids), np.int64)
+    out[found.column("id").to_numpy()] = found.column("class").to_numpy()
+    return out
+
+
+def class_pairs(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, vocabulary: DataFrame) -> np.ndarray:
+    """How often class i is followed by class j over all bigrams, the classes of words without a number from ``vocabulary``."""
+    rest = len(ids)
+    shared = encoded.sparkSession.sparkContext.broadcast(classes)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts by class, or by word where the word has no number (its class is null then, else the word)."""
+        total = np.zeros(WIDTH * WIDTH, np.int64)
+        for before, now, rare in _pairs(batches, rest):
+            size = WIDTH + len(rare)
+            of = np.append(shared.value, np.arange(WIDTH, size))
+            left, right = of[before], of[now]
+            known = (left < WIDTH) & (right < WIDTH)
+            total += np.bincount(left[known] * WIDTH + right[known], minlength=WIDTH * WIDTH)
+            code, n = np.unique(left[~known] * size + right[~known], return_counts=True)
+            yield row(code // size, code % size, n, rare)
+        at = np.flatnonzero(total)
+        yield row(at // WIDTH, at % WIDTH, total[at], [])
+
+    def row(left: np.ndarray, right: np.ndarray, n: np.ndarray, rare: list[bytes]) -> pa.RecordBatch:
+        columns = []
+        for side in (left, right):
+            columns += [pa.array([rare[k - WIDTH] if k >= WIDTH else None for k in side.tolist()], pa.binary()), pa.array(side.astype(np.int32), mask=side >= WIDTH)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=["lw", "l", "rw", "r", "n"])
+
+    rows = written(encoded.mapInArrow(scan, "lw binary, l int, rw binary, r int, n bigint").groupBy("lw", "l", "rw", "r").agg(F.sum("n").alias("n")), "word-pairs")
+    of = vocabulary.select("word", "class")
+    left = rows.filter("lw is null").select("l", "rw", "r", "n")
+    left = left.union(rows.filter("lw is not null").join(of, F.col("lw") == F.col("word")).select(F.col("class").alias("l"), "rw", "r", "n"))
+    left = left.groupBy("l", "rw", "r").agg(F.sum("n").alias("n"))
+    both = left.filter("rw is null").select("l", "r", "n")
+    both = both.union(left.filter("rw is not null").join(of, F.col("rw") == F.col("word")).select("l", F.col("class").alias("r"), "n"))
+    found = both.groupBy("l", "r").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((WIDTH, WIDTH))
+    out[found.column("l").to_numpy(), found.column("r").to_numpy()] = found.column("n").to_numpy()
+    return out
 
 
 class Model(NamedTuple):
@@ -235,23 +353,20 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     if not total.n:
         return Model(counts.withColumn("class", F.lit(0)), {}, np.zeros(0), np.zeros(0, int), 0, 0, np.zeros(CLASSES + 2), np.full((CLASSES + 2, CLASSES + 2), 1.0 / (CLASSES + 2)))
     core = dict.fromkeys([END, *most_frequent(counts, CORE - 1).column("word").to_pylist()])
-    core = {w: i for i, w in enumerate(core)}
-    pairs = neighbours(docs, core)
-    own = exchange(pairs, core[END])
-    core = {w: int(own[i]) for w, i in core.items()}
-    member = np.zeros((len(own), CLASSES + 1))
+    ids = {w: i for i, w in enumerate(dict.fromkeys([*core, *most_frequent(counts, HEAD).column("word").to_pylist()]))}
+    encoded = encode(docs, ids)
+    pairs = neighbours(encoded, len(ids), len(core))
+    own = exchange(pairs, 0)
+    core = {w: int(c) for w, c in zip(core, own, strict=True)}
+    member = np.zeros((len(own), WIDTH))
     member[np.arange(len(own)), own] = 1
-    joint = member.T @ pairs @ member + 0.5
-    likely = np.zeros((CLASSES + 2, CLASSES))
-    likely[:CLASSES + 1] = np.log(joint[:, :CLASSES] / joint[:, :CLASSES].sum(axis=0))
-    words = written(assign(contexts(docs, core), core, likely), "word-classes")
-    names = [f"c{i}" for i in range(CLASSES + 2)]
-    sums = words.groupBy("class").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).toArrow()
-    moves, class_tokens = np.zeros((CLASSES + 2, CLASSES + 2)), np.zeros(CLASSES + 2)
-    at = sums.column("class").to_numpy()
-    class_tokens[at] = sums.column("n").to_numpy()
-    for i, c in enumerate(names):
-        moves[i, at] = sums.column(c).to_numpy()
+    classes = np.append(own, np.full(len(ids) - len(own), WIDTH - 1))
+    words = assign(contexts(encoded, ids, classes, None), core, member.T @ pairs @ member, None)
+    classes = numbered(words, ids)
+    joint = class_pairs(encoded, ids, classes, words)
+    words = assign(contexts(encoded, ids, classes, words), core, joint, joint.sum(axis=0))
+    moves = class_pairs(encoded, ids, numbered(words, ids), words)
+    class_tokens = moves.sum(axis=0)
     share = class_tokens / class_tokens.sum()
     new = max(total.once, 1) / (total.n + 1)
     transition = (moves + SMOOTH * share) / (moves.sum(axis=1, keepdims=True) + SMOOTH) * (1 - new)

@@ -112,6 +112,28 @@ def test_words_beyond_the_head_score_the_same(spark, monkeypatch):
     assert {r.score for r in brown.score(docs, brown.train(docs.limit(0))).select("score").collect()} is not None
 
 
+def test_transitions_count_all_bigrams(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CORE", 8)
+    rows = [(i, prose(i % 9, 40, "abcd") + f" the{i} cat", None, None) for i in range(24)] + [(90, None, None, None)]
+    docs, models = frame(spark, rows), []
+    for head in (1 << 17, 12):
+        monkeypatch.setattr(brown, "HEAD", head)
+        models.append(brown.train(docs))
+        own = {bytes(r.word): r["class"] for r in models[-1].vocabulary.collect()}
+        moves = np.zeros((brown.CLASSES + 2, brown.CLASSES + 2))
+        for _, t, *_ in rows:
+            line = [brown.END, *brown.tokens(t)]
+            for a, b in zip(line, line[1:], strict=False):
+                moves[own[a], own[b]] += 1
+        share = moves.sum(axis=0) / moves.sum()
+        total = Counter(w for _, t, *_ in rows for w in brown.tokens(t))
+        new = max(1, sum(n == 1 for n in total.values())) / (sum(total.values()) + 1)
+        want = (moves + brown.SMOOTH * share) / (moves.sum(axis=1, keepdims=True) + brown.SMOOTH) * (1 - new)
+        want[:, brown.CLASSES + 1] = new
+        assert np.allclose(models[-1].transition, want)
+    assert {bytes(r.word): r["class"] for r in models[0].vocabulary.collect()} == own
+
+
 def test_exchange_finds_word_classes():
     rng = np.random.default_rng(1)
     own = np.arange(30) % 3
