@@ -12,8 +12,9 @@ The model: P(word | before) = LAMBDA * P(class of word | class of before) * P(wo
 end token. Words not seen in training are one class of their own, whose share is that of training
 words seen once. So the probabilities of all seen words and one unseen add up to 1.
 
-Frequent words (HEAD, a bounded number) are scored where the text is; the occurrences of all others
-join the whole vocabulary in Spark. As context, words beyond HEAD share one class.
+Frequent words after frequent words (HEAD, a bounded number) are scored where the text is; all other
+occurrences join the whole vocabulary in Spark, by the word, by the word before or by both. So HEAD
+decides where a word is scored and never its score.
 
 Defined cases: null and empty texts are one end token; with no training text every token is unseen
 and base and score are 0 for each; repeated rows each count and each get their row; a null doc_id
@@ -346,7 +347,7 @@ class Model(NamedTuple):
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """The model of all rows of ``docs``. Classes: 0.. words, CLASSES the end, CLASSES + 1 unseen (as context: beyond HEAD)."""
+    """The model of all rows of ``docs``. Classes: 0.. words, CLASSES the end, CLASSES + 1 unseen."""
     docs = docs.select(F.col(text).alias("text"))
     counts = written(word_counts(docs), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum((F.col("n") == 1).cast("long")).alias("once")).first()
@@ -394,18 +395,26 @@ def score(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str = "te
                 ids = [np.array([find(w, rest) for w in own]) for own in texts]
                 n = np.array([len(x) for x in ids])
                 flat = np.concatenate(ids)
-                own = classes[flat]
-                before = np.concatenate(([CLASSES], own[:-1]))
                 first = np.concatenate(([0], np.cumsum(n)))
+                left = np.concatenate(([rest], flat[:-1]))
+                own, before = classes[flat], classes[left]
                 before[first[:-1]] = CLASSES
-                seen = flat < rest
-                p = np.where(seen, LAMBDA * transition[before, own] * emission[flat] + (1 - LAMBDA) * base[flat], 1.0)
+                seen, open_ = flat < rest, left == rest
+                open_[first[:-1]] = False
+                sure = seen & ~open_
+                p = np.where(sure, LAMBDA * transition[before, own] * emission[flat] + (1 - LAMBDA) * base[flat], 1.0)
                 add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: B023, E731
-                rare = [Counter(zip([w for w, s in zip(t, seen[a:b].tolist(), strict=True) if not s], before[a:b][~seen[a:b]].tolist(), strict=True))
-                        for t, a, b in zip(texts, first[:-1], first[1:], strict=True)]
+                rare = []
+                for t, start, end in zip(texts, first[:-1], first[1:], strict=True):
+                    at = np.flatnonzero(~sure[start:end])
+                    rare.append(Counter((None if k else t[i], f if k else rest, t[i - 1] if o else None, c)
+                                        for i, k, f, o, c in zip(at.tolist(), seen[start:end][at].tolist(), flat[start:end][at].tolist(),
+                                                                 open_[start:end][at].tolist(), before[start:end][at].tolist(), strict=True)))
                 keys = [k for r in rare for k in r]
-                others = pa.StructArray.from_arrays([pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int32()),
-                                                     pa.array([x for r in rare for x in r.values()], pa.int32())], names=["word", "before", "times"])
+                known = np.array([k[1] for k in keys], np.int64)
+                others = pa.StructArray.from_arrays([pa.array([k[0] for k in keys], pa.binary()), pa.array(np.append(counts, 0)[known].astype(np.int64)), pa.array(classes[known].astype(np.int32)),
+                                                     pa.array([k[2] for k in keys], pa.binary()), pa.array([k[3] for k in keys], pa.int32()),
+                                                     pa.array([x for r in rare for x in r.values()], pa.int32())], names=["word", "n", "class", "left", "before", "times"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), part.column("key"), pa.array(n), pa.array(add(seen.astype(np.int64))), pa.array(add(np.log10(base[flat]))),
                      pa.array(add(np.log10(p))), lists(others, np.array([len(r) for r in rare]))],
@@ -413,15 +422,24 @@ def score(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str = "te
 
     rows = docs.select(F.col(doc).alias("doc"), text_key(doc, text).alias("key"), F.col(text).alias("text"))
     rows = written(rows.mapInArrow(scan, f"doc {kind}, key bigint, n_tokens bigint, known bigint, base double, own double, "
-                                         "others array<struct<word:binary,before:int,times:int>>"), "scored-texts")
-    tail = rows.select("doc", "key", F.inline("others")).join(model.vocabulary, "word", "left")
+                                         "others array<struct<word:binary,n:bigint,class:int,left:binary,before:int,times:int>>"), "scored-texts")
+    pending = rows.select("doc", "key", F.inline("others"))
+    lefts = model.vocabulary.select(F.col("word").alias("left_word"), F.col("class").alias("left_class"))
+    kept = ["doc", "key", "word", "n", "class"]
+    pending = (pending.filter("left is null").select(*kept, "before", "times")
+               .union(pending.filter("left is not null").join(lefts, F.col("left") == F.col("left_word"), "left")
+                      .select(*kept, F.coalesce("left_class", F.lit(size - 1)).alias("before"), "times")))
+    words = model.vocabulary.select("word", F.col("n").alias("own_n"), F.col("class").alias("own_class"))
+    tail = (pending.filter("word is not null").join(words, "word", "left")
+            .select("doc", "key", F.lit(True).alias("rare"), F.col("own_n").alias("n"), F.col("own_class").alias("class"), "before", "times")
+            .union(pending.filter("word is null").select("doc", "key", F.lit(False), "n", "class", "before", "times")))
     count = F.coalesce(F.col("n"), F.lit(0)).cast("double")
     of = F.coalesce(F.col("class"), F.lit(size - 1))
     pick = lambda values, at: F.element_at(F.array(*[F.lit(float(x)) for x in values]), at + 1)
     emission = F.when(F.col("n").isNull(), F.lit(1.0)).otherwise(count / F.greatest(F.lit(1.0), pick(model.class_tokens, of)))
     p = LAMBDA * pick(model.transition.ravel(), F.col("before") * size + of) * emission + (1 - LAMBDA) * (count + 1) / below
-    tail = (tail.select("doc", "key", F.when(count > 0, F.col("times")).otherwise(0).alias("known"),
-                        (F.col("times") * F.log10((count + 1) / below)).alias("base"), (F.col("times") * F.log10(p)).alias("own"))
+    tail = (tail.select("doc", "key", F.when(F.col("rare") & (count > 0), F.col("times")).otherwise(0).alias("known"),
+                        F.when(F.col("rare"), F.col("times") * F.log10((count + 1) / below)).otherwise(0.0).alias("base"), (F.col("times") * F.log10(p)).alias("own"))
             .groupBy(F.col("doc").alias("d"), F.col("key").alias("k"))
             .agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("own").alias("own2")))
     same = rows.groupBy("doc", "key").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n_tokens", "known", "base", "own")])

@@ -112,6 +112,23 @@ def test_words_beyond_the_head_score_the_same(spark, monkeypatch):
     assert {r.score for r in brown.score(docs, brown.train(docs.limit(0))).select("score").collect()} is not None
 
 
+def test_the_head_never_changes_a_score(spark):
+    docs = frame(spark, [(i, prose(i % 5, 60) + " unseen" * (i % 3), None, None) for i in range(12)] + [(3, None, None, None), (4, prose(4, 60) + " unseen", None, None)])
+    model = brown.train(docs.filter("doc_id < 10 and text not like '%unseen'"))
+    whole = sorted((r.doc, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in brown.score(docs, model).collect())
+    words = {bytes(r.word): (r.n, r["class"]) for r in model.vocabulary.collect()}
+    for size in (50, 0):
+        few = model._replace(head=dict(list(model.head.items())[:size]), head_n=model.head_n[:size], head_class=model.head_class[:size])
+        assert sorted((r.doc, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in brown.score(docs, few).collect()) == whole
+    text = brown.tokens(prose(2, 60) + " unseen unseen")
+    of = [brown.CLASSES, *[words.get(w, (0, brown.CLASSES + 1))[1] for w in text]]
+    plain = 0.0
+    for w, a, b in zip(text, of, of[1:], strict=False):
+        n = words.get(w, (0, 0))[0]
+        plain += math.log10(brown.LAMBDA * model.transition[a, b] * (n / model.class_tokens[b] if n else 1) + (1 - brown.LAMBDA) * (n + 1) / (model.tokens + model.words + 1))
+    assert (2, round(plain, 6)) in {(r[0], r[4]) for r in whole}
+
+
 def test_transitions_count_all_bigrams(spark, monkeypatch):
     monkeypatch.setattr(brown, "CORE", 8)
     rows = [(i, prose(i % 9, 40, "abcd") + f" the{i} cat", None, None) for i in range(24)] + [(90, None, None, None)]
