@@ -7,7 +7,8 @@ with which each of its documents is kept; where that would pass 1 the document i
 the rest as ``loss_weight``, so expected weighted shares still meet the targets. Decisions come from
 a hash of the document, so a repeated task decides the same.
 
-Topics are the nearest of a few centroids over hashed words, fitted on a bounded sample.
+Topics are the nearest of a few centroids over hashed words. A bounded sample gives their seeds, all
+documents the centroids.
 
 Defined cases: null source or language is the cell value ``unknown``; null, empty and wordless texts
 have no tokens, topic -1 (``none``), weight 0 in the counts, and get the weight of their source and
@@ -18,18 +19,22 @@ targets leave; an empty table gives no rows. Only the named columns are read, th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from headroom.llm.text import ALNUM, small_sample, sums, table, with_result, words, written
+from headroom.llm.text import ALNUM, slices, small_sample, sums, table, with_result, words, written
 
 TOPICS = 8
-#: Texts on which the topic centroids are fitted, and the hashed dimensions.
+#: Texts from which the topic centroids are seeded, and the hashed dimensions.
 TOPIC_ROWS = 4_000
 TOPIC_BUCKETS = 256
 TOPIC_ROUNDS = 12
+#: Steps of 1 in the sums of vectors.
+UNIT = 1 << 20
 #: Default targets are the shares to this power, scaled to 1: small values gain, large ones lose.
 FLATTEN = 0.5
 #: Share of all tokens that the sample should hold.
@@ -41,18 +46,60 @@ DIMENSIONS = ("source", "lang", "topic")
 UNKNOWN = "unknown"
 
 
-def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of square roots of hashed word shares, and the number of words."""
+def _counted(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Words by hashed dimension, and the number of words."""
     w = words(column, ALNUM)
     n, rows = np.diff(w.first), len(w.first) - 1
     at = w.doc * TOPIC_BUCKETS + (w.hash >> np.uint64(40)).astype(np.int64) % TOPIC_BUCKETS
-    x = np.sqrt(np.bincount(at, minlength=rows * TOPIC_BUCKETS).reshape(rows, TOPIC_BUCKETS).astype(np.float32))
-    return x / np.maximum(1e-9, np.sqrt(n))[:, None].astype(np.float32), n
+    return np.bincount(at, minlength=rows * TOPIC_BUCKETS).reshape(rows, TOPIC_BUCKETS).astype(np.int32), n
+
+
+def _unit(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.sqrt(counts.astype(np.float32)) / np.maximum(1e-9, np.sqrt(n))[:, None].astype(np.float32)
+
+
+def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of square roots of hashed word shares, and the number of words."""
+    counts, n = _counted(column)
+    return _unit(counts, n), n
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``x``: the 32-bit word counts of each text that has words."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for i in range(0, part.num_rows, 512):
+                    counts, n = _counted(part.column("text").slice(i, 512))
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in counts[n > 0]], pa.binary())], names=["x"])
+
+    return written(texts.mapInArrow(scan, "x binary"), "topic-counts")
+
+
+def _topic_sums(counts: DataFrame, centre: np.ndarray) -> np.ndarray:
+    """The sum of the vectors nearest to each centroid, over all texts (in whole steps of 1 / UNIT, so in any order)."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centre), TOPIC_BUCKETS), np.int64)
+        for batch in batches:
+            for part in slices(batch, "x"):
+                own = np.frombuffer(b"".join(part.column("x").to_pylist()), np.int32).reshape(-1, TOPIC_BUCKETS)
+                x = _unit(own, own.sum(axis=1))
+                topic, steps = (x @ centre.T).argmax(axis=1), np.rint(x * UNIT).astype(np.int64)
+                for k in range(len(centre)):
+                    total[k] += steps[topic == k].sum(axis=0)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.ravel()[at])], names=["at", "n"])
+
+    rows = counts.mapInArrow(scan, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(centre) * TOPIC_BUCKETS)
+    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    return out.reshape(len(centre), TOPIC_BUCKETS)
 
 
 def fit_topics(docs: DataFrame, total: int, text: str = "text") -> np.ndarray:
-    """Unit centroids (topics x buckets) by spherical k-means on a sample; fewer if the sample is small."""
-    sample = small_sample(docs.select(F.col(text).alias("text")), TOPIC_ROWS, total, "topics", "text")
+    """Unit centroids (topics x buckets) by spherical k-means over all texts, seeded from a sample; fewer if the sample is small."""
+    texts = docs.select(F.col(text).alias("text"))
+    sample = small_sample(texts, TOPIC_ROWS, total, "topics", "text").distinct()
     seen, name = with_result(sample, "text", "x array<float>, n bigint", lambda column: [list(_vectors(column)[0]), _vectors(column)[1]])
     rows = seen.filter(f"{name}.n > 0").select(f"{name}.x").toArrow().column("x").combine_chunks()
     if not len(rows):
@@ -61,11 +108,15 @@ def fit_topics(docs: DataFrame, total: int, text: str = "text") -> np.ndarray:
     centre = x[[0]]
     while len(centre) < min(TOPICS, len(x)):
         centre = np.vstack((centre, x[(x @ centre.T).max(axis=1).argmin()]))
+    counts = _word_counts(texts)
     for _ in range(TOPIC_ROUNDS):
-        own = (x @ centre.T).argmax(axis=1)
-        new = np.stack([x[own == k].sum(axis=0) if (own == k).any() else centre[k] for k in range(len(centre))])
-        centre = new / np.linalg.norm(new, axis=1, keepdims=True)
-    return centre.astype(np.float32)
+        total_x = _topic_sums(counts, centre)
+        size = np.linalg.norm(total_x, axis=1, keepdims=True)
+        new = np.where(size > 0, total_x / np.maximum(size, 1e-9), centre).astype(np.float32)
+        if (new == centre).all():
+            break
+        centre = new
+    return centre
 
 
 def assign_topics(docs: DataFrame, centre: np.ndarray, text: str = "text") -> tuple[DataFrame, str]:

@@ -309,6 +309,21 @@ def test_keep_one_per_component(spark):
 
 # ---- mixing ----
 
+def test_topics_are_fitted_on_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TOPIC_ROWS", 60)
+    rows = [(i, prose(i, 40, ["abcd", "klmn", "wxyz"][i % 3]), None, None) for i in range(500)] + [(i, "same old text again", None, None) for i in range(500, 700)] + [(900, None, None, None)]
+    docs = frame(spark, rows)
+    found = mixing.fit_topics(docs, len(rows))
+    monkeypatch.setattr(mixing, "TOPIC_ROUNDS", 0)
+    centre = mixing.fit_topics(docs, len(rows))
+    x = mixing._vectors(pa.array([t for _, t, *_ in rows if t]))[0]
+    for _ in range(12):
+        own = (x @ centre.T).argmax(axis=1)
+        new = np.stack([x[own == k].sum(axis=0) if (own == k).any() else centre[k] for k in range(len(centre))])
+        centre = new / np.linalg.norm(new, axis=1, keepdims=True)
+    assert found.shape == centre.shape and np.allclose(found, centre, atol=1e-4)
+
+
 def test_raking_meets_the_targets_and_probabilities_the_budget(spark):
     rng = random.Random(3)
     rows = [(i, prose(i, rng.randint(5, 60), "abcde" if i % 3 else "vwxyz"), rng.choice(["en", "en", "de", None]), rng.choice(["s1"] * 6 + ["s2", None])) for i in range(400)]
