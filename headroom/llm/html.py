@@ -8,7 +8,8 @@ chose among those it has; only a page with none of them uses its own.
 
 Defined cases: null and empty html, and pages without running text, give an empty text; a null url
 or one without a host votes with all of its kind; cut-off pages are read as far as they go (an
-unfinished tag at the end is dropped); repeated rows each vote and each get their row; ties go to
+unfinished tag at the end is dropped); lists of links inside the main element are text, unless an
+element is navigation by its own name, role, class or id; attributes count by their exact names; repeated rows each vote and each get their row; ties go to
 the deeper, then to the smaller path; an empty table gives no rows. Only the named columns are read,
 the others pass.
 """
@@ -34,7 +35,7 @@ PATHS = 8
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|svg|math|select|title|head|noembed|noframes|xmp|object|canvas|video|audio)\b[^>]*+>.*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>|<[!?][^>]*+>|<[/!?a-zA-Z][^<]*+\Z""", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen frame".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img nobr".split())
@@ -77,7 +78,7 @@ def _named(tag: str, attributes: str, parent: Element) -> tuple[str, bool]:
             never = never or value in _ROLES
         elif name == "hidden":
             never = True
-        elif "display:none" in value.replace(" ", ""):
+        elif name == "style" and "display:none" in value.replace(" ", ""):
             never = True
     return step, never
 
@@ -186,11 +187,11 @@ def extract(html: str, paths: list[str]) -> str:
     there = {e.path for e in elements}
     path = next((p for p in paths if p in there), own)
     out = []
-    for home, text, links in blocks:
+    for home, text, _ in blocks:
         above = home
         while above is not None and above.path != path:
             above = above.parent
-        if above is not None and not (links * 10 > len(text) * 9 and _block_of(home).tag in ("li", "ul")):
+        if above is not None:
             out.append(text)
     return "\n\n".join(out)
 

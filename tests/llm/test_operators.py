@@ -249,6 +249,15 @@ def test_main_text(spark):
     assert html.main_text(pages.limit(0))[0].count() == 0
 
 
+def test_links_and_attribute_values_are_text():
+    odd = ['a href="/hidden-gems"', 'a title="a hidden cost"', 'div aria-hidden="false"', 'div data-id="related"', "a href=/p?id=share", "div data-class='menu' title='style=\"display:none\"'"]
+    parts = "".join(f"<p>Part {i} with <{x}>words {i}</{x.split()[0]}></p>" for i, x in enumerate(odd))
+    page = f"<body><article><p>A long first line of running text.</p>{parts}<ul><li><a href=/s>Source one</a><li><a href=/t>Source two</a></ul><div hidden>gone</div><div style='display: none'>gone</div><ul class=menu><li><a>gone</a></ul></article></body>"
+    text = html.extract(page, [])
+    assert all(f"words {i}" in text for i in range(len(odd)))
+    assert text.endswith("Source one\n\nSource two") and "gone" not in text
+
+
 def test_unclosed_quotes_do_not_hang():
     assert html.extract("<p>a</p><a href=\"" + "x='" * 5000 + "<p>b", []) is not None
 
