@@ -4,7 +4,8 @@ Each page's elements are scored by the running text below them (text in links an
 never article, such as menus, forms or adverts, counts nothing). A page votes for the path of tags
 and classes (numbers generalised) of its deepest element that holds most of that text. Votes are
 summed per host in Spark, and every page is read again with the path that most of its host's pages
-chose among those it has; only a page with none of them uses its own.
+chose among all those that hold some of its running text (every voted path counts, however few votes
+it has); a page without running text gives all its text.
 
 Defined cases: null and empty html, and pages without running text, give an empty text; a null url
 or one without a host votes with all of its kind; cut-off pages are read as far as they go (an
@@ -25,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headroom.llm.text import slices, table
+from headroom.llm.text import slices, table, written
 
 #: An element that holds this share of a page's running text may be its main one.
 MOST = 0.6
-#: Paths that a host offers its pages, by votes.
-PATHS = 8
+#: Parts into which a host's pages are dealt to meet its paths.
+SALTS = 64
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|svg|math|select|title|head|noembed|noframes|xmp|object|canvas|video|audio)\b[^>]*+>.*?(?:</\1\s*>|\Z)"""
@@ -49,6 +50,10 @@ _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr"
 _NO_P = frozenset("address article aside blockquote center div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
+#: Parts of texts, never a main element.
+_PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li td tr tbody pre blockquote ul ol".split())
+
+
 class Element:
     __slots__ = ("tag", "path", "never", "link", "depth", "parent", "score")
 
@@ -169,15 +174,16 @@ def _score(elements: list[Element], blocks: list) -> Element:
     total = elements[0].score
     best = elements[0]
     for e in elements[1:]:
-        if total and e.score >= MOST * total and e.depth > best.depth and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "tr", "tbody", "pre", "blockquote", "ul", "ol"):
+        if total and e.score >= MOST * total and e.depth > best.depth and e.tag not in _PARTS:
             best = e
     return best
 
 
-def vote(html: str) -> tuple[str, int]:
-    """The path of a page's main element and the characters of running text under it."""
-    best = _score(*read(html))
-    return best.path, best.score
+def offers(html: str) -> tuple[str, int, list[str]]:
+    """The path of a page's main element, the characters of running text under it, and all paths of elements that hold some."""
+    elements, blocks = read(html)
+    best = _score(elements, blocks)
+    return best.path, best.score, sorted({e.path for e in elements if e.score and e.tag not in _PARTS})
 
 
 def extract(html: str, paths: list[str]) -> str:
@@ -200,21 +206,29 @@ def host(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def host_paths(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """``host, paths``: the paths that the host's pages voted for, most votes first, at most PATHS."""
+def _page(url: str, html: str) -> list[Column]:
+    """A page's host and a 128-bit key of it; pages with the same are read alike."""
+    own = host(url)
+    return [own, F.xxhash64(own, F.col(html)), F.xxhash64(F.lit("page"), F.col(html), own)]
+
+
+def page_paths(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """``key, key2, path``: for each page with running text, its host's most voted path among those that hold some of it."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                own = [vote(h or "") for h in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("host"), pa.array([v[0] for v in own], pa.string()), pa.array([v[1] for v in own], pa.int64())],
-                                                 names=["host", "path", "score"])
+                own = [offers(h or "") for h in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("host", "key", "key2")], pa.array([v[0] for v in own], pa.string()), pa.array([v[1] for v in own], pa.int64()),
+                                                  pa.array([v[2] for v in own], pa.list_(pa.string()))], names=["host", "key", "key2", "path", "score", "has"])
 
-    votes = pages.select(host(url).alias("host"), F.col(html).alias("html")).mapInArrow(scan, "host string, path string, score bigint")
-    votes = votes.filter("score > 0").groupBy("host", "path").agg(F.sum(F.log1p("score")).alias("weight"))
-    depth = F.size(F.split("path", ">"))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.round("weight", 6)).alias("w"), (-depth).alias("d"), "path")))
-    strong = votes.join(votes.groupBy("host").agg(F.sum("weight").alias("all")), "host").filter(F.col("weight") * PATHS >= F.col("all"))
-    return strong.groupBy("host").agg(F.transform(ranked, lambda x: x.path).alias("paths"))
+    names = ("host", "key", "key2")
+    small = pages.select(*[c.alias(n) for c, n in zip(_page(url, html), names, strict=True)], F.col(html).alias("html"))
+    read_ = written(small.mapInArrow(scan, "host string, key bigint, key2 bigint, path string, score bigint, has array<string>").filter("score > 0"), "page-paths")
+    votes = read_.groupBy("host", "path").agg(F.sum(F.log1p("score")).alias("weight"))
+    votes = votes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    has = read_.dropDuplicates(["key", "key2"]).select("host", "key", "key2", F.pmod("key", F.lit(SALTS)).cast("int").alias("salt"), F.explode("has").alias("path"))
+    rank = F.struct((-F.round("weight", 6)).alias("w"), (-F.size(F.split("path", ">"))).alias("d"), "path")
+    return has.join(votes, ["host", "path", "salt"]).groupBy("key", "key2").agg(F.min(rank).alias("best")).select("key", "key2", F.col("best.path").alias("path"))
 
 
 def main_text(pages: DataFrame, *, url: str = "url", html: str = "html") -> tuple[DataFrame, str]:
@@ -222,16 +236,17 @@ def main_text(pages: DataFrame, *, url: str = "url", html: str = "html") -> tupl
     name = "main"
     while name.lower() in {c.lower() for c in pages.columns}:
         name += "_"
-    key, paths = f"{name}_host", f"{name}_paths"
-    known = host_paths(pages, url, html).select(F.col("host").alias(key), F.col("paths").alias(paths))
-    own = pages.withColumn(f"{name}_own", host(url)).join(known, F.col(f"{name}_own") == F.col(key), "left").select(*pages.columns, paths)
+    path, keys = f"{name}_path", [f"{name}_key", f"{name}_key2"]
+    known = page_paths(pages, url, html).select(F.col("key").alias(f"{name}_k"), F.col("key2").alias(f"{name}_k2"), F.col("path").alias(path))
+    own = pages.withColumns(dict(zip(keys, _page(url, html)[1:], strict=True)))
+    own = own.join(known, (F.col(keys[0]) == F.col(f"{name}_k")) & (F.col(keys[1]) == F.col(f"{name}_k2")), "left").select(*pages.columns, path)
 
     columns = pages.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, html):
-                text = [extract(h or "", p or []) for h, p in zip(part.column(html).to_pylist(), part.column(paths).to_pylist(), strict=True)]
+                text = [extract(h or "", [] if p is None else [p]) for h, p in zip(part.column(html).to_pylist(), part.column(path).to_pylist(), strict=True)]
                 found = pa.StructArray.from_arrays([pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["text", "n_chars"])
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], found], names=[*columns, name])
 

@@ -249,6 +249,18 @@ def test_main_text(spark):
     assert html.main_text(pages.limit(0))[0].count() == 0
 
 
+def test_all_voted_paths_of_a_host_count(spark):
+    running = "The running text of this page goes on for a while, line after line."
+    page = "<body><div class={box}><div class=story><p>{text}</p></div>{more}</div><div class=other><p>Short words below.</p></div></body>"
+    kinds = [chr(97 + k) for k in range(12)]
+    rows = [(100 * k + i, "http://h/x", page.format(box=b, text=f"{running} {i}", more="")) for k, b in enumerate(kinds) for i in range(5)]
+    # most of this page's running text is beside the story that the host's pages chose; box a is there without text
+    rows += [(5000, "http://h/y", page.format(box="c", text="Only this is the story.", more=f"<div class=talk><p>{running * 2}</p></div>").replace("<body>", "<body><div class=a><div class=story><p><a href=/>all of it link</a></p></div></div>"))]
+    found, name = html.main_text(frame(spark, rows, "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in found.select("page_id", f"{name}.text").collect()}
+    assert got == {i: "Only this is the story." if i == 5000 else f"{running} {i % 100}" for i, *_ in rows}
+
+
 def test_links_and_attribute_values_are_text():
     odd = ['a href="/hidden-gems"', 'a title="a hidden cost"', 'div aria-hidden="false"', 'div data-id="related"', "a href=/p?id=share", "div data-class='menu' title='style=\"display:none\"'"]
     parts = "".join(f"<p>Part {i} with <{x}>words {i}</{x.split()[0]}></p>" for i, x in enumerate(odd))
