@@ -10,10 +10,11 @@ from headroom.llm.quality import op8_quality
 from headroom.llm.setjoin import op6_jaccard_join
 from headroom.llm.sql import ORACLE_SQL
 from headroom.llm.toxicity import op3_toxicity
+from headroom.llm.trie import op13_prefix_trie
 from headroom.llm.warc import op4_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_brown_lm, op3_toxicity, op4_warc, op5_main_text, op6_jaccard_join, op7_mixing, op8_quality,
-    op9_neighbours, op10_decontamination)}
+    op9_neighbours, op10_decontamination, op13_prefix_trie)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -147,4 +147,4 @@ def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+                        (F.col("n_hit") > 0).alias("contaminated"))

@@ -22,4 +22,35 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(pos.n, 0) as big
 from d left join pos using (rid) left join it using (rid)
 """
 
-ORACLE_SQL = {"op10_decontamination": OP10}
+OP13 = r"""
+with t as (select conv_id as c, turn, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as id,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+           from conversations where conv_id is not null),
+own as (select c, list({'id': id, 'words': words} order by turn nulls first, id) as p from t group by c),
+crc_step as (select i::bigint as byte, list_reduce(list_prepend(i::bigint, range(8)),
+                  lambda x, _: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as v from range(256) r(i)),
+crc_table as (select list(v order by byte) as tab from crc_step),
+h as (select c, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda d: ascii(d)::bigint)),
+                  lambda x, b: xor(tab[(xor(x, b) & 255) + 1], x >> 8)), 4294967295) % 4 as h from own, crc_table),
+path as (select own.c as c, list_concat(coalesce(b.p, [])[1:h.h], own.p[h.h + 1:]) as p
+         from own join h on own.c = h.c left join own b on b.c = own.c - own.c % 20),
+member as (select c, d, array_to_string(list_transform(p[1:d], lambda x: x.id), ' ') as node, len(p) = d as ends,
+                  coalesce(p[d].words, 0) as words
+           from (select c, p, unnest(range(0, len(p) + 1)) as d from path)),
+node as (select d, node, min(c) as conv_id, count(*) as n_convs, any_value(words) as words,
+                sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where ends), '')) as ends_sha256
+         from member group by d, node),
+kids as (select d - 1 as d, case when d = 1 then '' else left(node, length(node) - 65) end as node, count(*) as n
+         from node where d > 0 group by all),
+full_node as (select node.*, coalesce(kids.n, 0) as n_children,
+                     case when node.d > 1 then left(node.node, length(node.node) - 65) else '' end as up
+              from node left join kids on kids.d = node.d and kids.node = node.node),
+share as (select a as d, case when a = 0 then '' else left(node, a * 65 - 1) end as node,
+                 sum((n_children = 0)::int) as leaves, sum((n_convs - 1) * words) as saved
+          from (select *, unnest(range(0, d + 1)) as a from full_node) group by all)
+select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, s.leaves::bigint as n_leaves,
+       s.saved::bigint as saved_tokens, f.ends_sha256
+from full_node f join share s on s.d = f.d and s.node = f.node left join full_node u on u.d = f.d - 1 and u.node = f.up
+"""
+
+ORACLE_SQL = {"op10_decontamination": OP10, "op13_prefix_trie": OP13}
