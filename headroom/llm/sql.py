@@ -53,4 +53,24 @@ select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_chil
 from full_node f join share s on s.d = f.d and s.node = f.node left join full_node u on u.d = f.d - 1 and u.node = f.up
 """
 
-ORACLE_SQL = {"op10_decontamination": OP10, "op13_prefix_trie": OP13}
+OP12 = rf"""
+with piece as (select coalesce(lang, 'und') as lang,
+                      unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as p from documents),
+w as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from piece),
+gram as (select lang, w[s:s + k - 1] as g, count(*) as f
+         from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as s from w cross join (values (1), (2), (3)) t(k)) group by all),
+total as (select lang, sum(f)::bigint as n from gram where len(g) = 1 group by lang),
+cand as (select lang, g, f as a from gram where len(g) > 1 and f >= 10),
+inner_part as (select lang, g[1:2] as g, a from cand where len(g) = 3 union all select lang, g[2:3], a from cand where len(g) = 3),
+kept as (select * from cand c where not exists
+         (select 1 from inner_part i where i.lang = c.lang and i.g = c.g and 100 * i.a >= 50 * c.a)),
+cut as (select c.lang, c.g, a, k, x.f as l, y.f as r, (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+        from (select *, unnest(range(1, len(g))) as k from kept) c
+        join gram x on x.lang = c.lang and x.g = c.g[1:k] join gram y on y.lang = c.lang and y.g = c.g[k + 1:]),
+weak as (select *, row_number() over (partition by lang, g order by score, k) as o from cut),
+named as (select *, array_to_string(g, ' ') as phrase from weak where o = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join total using (lang) where rank <= 2000
+"""
+
+ORACLE_SQL = {"op10_decontamination": OP10, "op12_collocations": OP12, "op13_prefix_trie": OP13}
