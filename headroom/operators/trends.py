@@ -28,6 +28,29 @@ def aggregate_daily(df: DataFrame, id_col: str, value_cols: Sequence[str], time_
             .agg(*[F.avg(c).alias(c) for c in value_cols]))
 
 
+def rollup_daily(df: DataFrame, id_col: str, value_cols: Sequence[str], time_col: str = "timestamp") -> DataFrame:
+    """A1 before its division: sum and count of each value column per (id, calendar day).
+
+    Rollups of disjoint rows merge by adding (:func:`merge_rollups`), so rows that arrive later
+    join a day without its raw rows being read again.
+    """
+    return (df.where(F.col(id_col).isNotNull() & F.col(time_col).isNotNull())
+            .groupBy(F.col(id_col), F.to_date(F.col(time_col)).alias("date"))
+            .agg(*[a for c in value_cols for a in (F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_count"))]))
+
+
+def merge_rollups(rollups: DataFrame, id_col: str, value_cols: Sequence[str]) -> DataFrame:
+    """One rollup row per (id, date) from several of disjoint rows (a union of rollups)."""
+    return rollups.groupBy(id_col, "date").agg(
+        *[F.sum(f"{c}_{part}").alias(f"{c}_{part}") for c in value_cols for part in ("sum", "count")])
+
+
+def rollup_means(rollup: DataFrame, id_col: str, value_cols: Sequence[str]) -> DataFrame:
+    """A1 from a merged rollup; a day without a present value has a missing mean."""
+    return rollup.select(id_col, "date", *[F.when(F.col(f"{c}_count") > 0, F.col(f"{c}_sum") / F.col(f"{c}_count")).alias(c)
+                                           for c in value_cols])
+
+
 def moving_average(value_col: str, n: int, w) -> Column:
     """Mean over the current and previous n-1 rows (not days), missing values ignored."""
     return F.avg(value_col).over(w.rowsBetween(-(n - 1), Window.currentRow))
