@@ -36,7 +36,7 @@ LEAST = 10
 SHARE = 50
 TOP = 2000
 UNKNOWN = "und"
-SLICE = 16 << 20
+SLICE = 4 << 20
 SALTS = 16
 BUCKETS = 64
 BITS = 1 << 23
@@ -175,7 +175,7 @@ def spelled(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text"):
                 w, own, _ = _words(part.column("text"))
                 some = np.flatnonzero(in_bitmap(own, shared.value))
                 # One word for each pair of the hash and an unrelated sum, so that two words with one hash both come out.
