@@ -6,6 +6,8 @@ has been turned into NULL at the source (:func:`nan_to_null`), so only NULL rema
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,3 +61,19 @@ def round_half_even(col, decimals: int) -> Column:
 def round_to(col, decimals: int) -> Column:
     """Stable rounding for comparisons across engines (same formula as DuckDB's round_even)."""
     return round_half_even(col, decimals)
+
+
+def packed_order(*parts: tuple) -> Column:
+    """One decimal that sorts like the tuple of ``(column, digits)`` parts, NULL before every value.
+
+    Each part is a whole number from 0 to 10**digits - 2; the digits together are 38 at most. As an
+    order column it keeps ``min_by`` in a hash aggregate, which a struct would not. A value that
+    needs more digits fails (ANSI mode) instead of spoiling the order.
+    """
+    if sum(d for _, d in parts) > 38:
+        raise ValueError("the parts need more than 38 digits")
+    out = None
+    for col, digits in parts:
+        c = F.coalesce(_c(col).cast("long") + F.lit(1), F.lit(0)).cast(f"decimal({digits},0)")
+        out = c if out is None else out * F.lit(Decimal(10 ** digits)) + c
+    return out.cast("decimal(38,0)")

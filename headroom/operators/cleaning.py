@@ -18,7 +18,7 @@ from headroom.schemas import COMPUTE, NETWORK, STORAGE, MetricKind
 SEQ = "seq"
 
 # Aggregation buffers of these types are fixed-width, which keeps min_by in a hash aggregate.
-_NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_NUMERIC = (T.DecimalType, T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 _FIXED_WIDTH = _NUMERIC + (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -27,9 +27,10 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_col: str = SEQ) -> Da
 
     ``order_col`` must be a unique total order (the input order). This is a hash/sort
     aggregate with map-side partial aggregation: duplicates collapse before the shuffle and a
-    hot key never has to fit in one task. With a numeric order column and fixed-width value
-    columns each column is a ``min_by`` (hash aggregate); otherwise the first row is taken
-    as one struct.
+    hot key never has to fit in one task. With a numeric order column (see
+    :func:`headroom.functions.numeric.packed_order` for orders of several columns) and
+    fixed-width value columns each column is a ``min_by`` (hash aggregate); otherwise the first
+    row is taken as one struct.
     """
     keys = list(keys)
     carried = [c for c in df.columns if c not in keys and c != order_col]

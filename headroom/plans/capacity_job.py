@@ -19,6 +19,7 @@ from headroom.operators import export, forecast, narrative, rules, series
 from headroom.operators.cleaning import CLEANERS
 from headroom.operators.quality import broken, observe_quality, raise_on_violations
 from headroom.operators.trends import TREND_BUILDERS
+from headroom.plans.increment import DayStore
 from headroom.session import fresh_path
 from headroom.sources import adapters
 from headroom.sources.files import RAW_FILES, land_recommendations, read_all, write_interim, write_table
@@ -137,15 +138,48 @@ def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th:
     return log
 
 
+def job_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Run the job on the metric tables derived from ``sf_dir``; the folder that it wrote."""
+    out = fresh_path(spark, "capacity-job")
+    run_job(spark, adapters.raw_all(spark, sf_dir, dedupe_before_lookup=True), out)
+    return out
+
+
 def run_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the job on the metric tables derived from ``sf_dir``; return the recommendations as
     read back from the written export."""
-    out = fresh_path(spark, "capacity-job")
-    run_job(spark, adapters.raw_all(spark, sf_dir, dedupe_before_lookup=True), out)
-    recs = spark.read.parquet(f"{out}/processed/recommendations")
+    recs = spark.read.parquet(f"{job_folder(spark, sf_dir)}/processed/recommendations")
     return recs.withColumn("details", F.to_json("details"))
 
 
+def read_export(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """One of the job's CSV exports, as a dashboard reads it."""
+    return (spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+            .csv(f"{folder}/export/{name}"))
+
+
+def run_increment(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run: int, grain: str = "day",
+                  th: Thresholds = Thresholds(), horizons_weeks: Sequence[int] | None = None, rule_model: str = LINEAR,
+                  provider: str = "template_fallback", responses: DataFrame | None = None) -> dict[str, int]:
+    """E1-E4 for one night: the rows of this run alone go into the day stores under ``out_dir/days``
+    (see :mod:`headroom.plans.increment`), the later stages read the trends that these hold.
+
+    ``raw`` has what landed since the last run, for any of the kinds. Runs are numbered upwards; a
+    run that failed is repeated under its number."""
+    log: dict[str, int] = {}
+    trends = {}
+    for kind in RAW_FILES:
+        store = DayStore(spark, f"{out_dir}/days/{kind}", kind, grain=grain)
+        if kind in raw:
+            log[f"{kind}_days"] = len(store.add(raw[kind], run).days)
+        trends[kind] = store.trends()
+    forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks)
+    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses,
+                         made_with=_forecast_parameters(horizons_weeks))
+    run_export(trends, recs, out_dir, log)
+    return log
+
+
 def run_from_raw_dir(spark: SparkSession, raw_dir: str, out_dir: str, fmt: str = "csv",
                      on_violation: str = "fail", resume: bool = False, **job_args) -> dict[str, int]:
     """E5 over landed files: S2 read (validated) -> S3 interim -> E1..E4 on the interim tables.
@@ -192,10 +226,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--horizons", default="4,12", help="forecast horizons in weeks")
     ap.add_argument("--rule-model", default=LINEAR)
     ap.add_argument("--resume", action="store_true")
+    ap.add_argument("--run", type=int, help="take the files as the increment of this number, not as the whole history")
+    ap.add_argument("--grain", default="day", choices=["day", "month", "year"], help="partitions of an increment's tables")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("headroom-capacity-job").getOrCreate()
-    log = run_from_raw_dir(spark, a.raw_dir, a.out_dir, a.format, a.on_violation, a.resume,
-                           horizons_weeks=[int(h) for h in a.horizons.split(",") if h], rule_model=a.rule_model)
+    horizons = [int(h) for h in a.horizons.split(",") if h]
+    if a.run is not None:
+        raw = read_all(spark, a.raw_dir, a.format, on_violation=a.on_violation)
+        log = run_increment(spark, raw, a.out_dir, a.run, a.grain, horizons_weeks=horizons, rule_model=a.rule_model)
+    else:
+        log = run_from_raw_dir(spark, a.raw_dir, a.out_dir, a.format, a.on_violation, a.resume,
+                               horizons_weeks=horizons, rule_model=a.rule_model)
     print(json.dumps(log))
 
 

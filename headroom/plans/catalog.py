@@ -221,8 +221,15 @@ def derived_responses(recs: DataFrame) -> DataFrame:
 
 
 def q_narratives_from_responses(spark, sf_dir):
-    recs = _recs(spark, sf_dir)
-    n = narrative.narrate(recs, derived_responses(recs), provider="gemini")
+    from headroom.session import fresh_path
+    path = fresh_path(spark, "recommendations")  # read twice: by the responses and by the join with them
+    _recs(spark, sf_dir).write.parquet(path)
+    recs = spark.read.parquet(path)
+    responses = derived_responses(recs)
+    later = '{"candidates":[{"content":{"parts":[{"text":"~ a later answer"}]}}]}'
+    repeated = responses.unionByName(responses).unionByName(
+        recs.where(F.col("risk_level") == CRITICAL).select(*narrative.NARRATIVE_KEY, F.lit(later).alias("response")))
+    n = narrative.narrate(recs, repeated, provider="gemini")
     return narrative.narratives_table(n).withColumn("forecast_horizon_weeks",
                                                     F.col("forecast_horizon_weeks").cast("long"))
 
@@ -258,11 +265,63 @@ def q_stream_landing(spark, sf_dir):
                     *[r6(c).alias(c) for c in COMPUTE.daily_cols])
 
 
+def q_stream_daily_all(spark, sf_dir):
+    from headroom.streaming.days import stream_daily_all
+    d = stream_daily_all(spark, sf_dir)
+    return d.select("cluster_id", "date", *[r6(c).alias(c) for c in COMPUTE.daily_cols])
+
+
+def _trend_columns(t: DataFrame, kind) -> DataFrame:
+    cols = list(kind.daily_cols) + [f"{kind.target}_ma7", f"{kind.target}_ma30", f"{kind.target}_growth_rate"]
+    return t.select(kind.id_col, "date", *[r6(c).alias(c) for c in cols])
+
+
+def q_stream_trends_compute(spark, sf_dir):
+    from headroom.streaming.indicators import stream_trends_all
+    return _trend_columns(stream_trends_all(spark, sf_dir, "compute", cleaned(spark, sf_dir, ["compute"])["compute"]), COMPUTE)
+
+
+def _incremental_query(kind):
+    def q(spark, sf_dir):
+        from headroom.plans.increment import incremental_trends
+        from headroom.session import fresh_path
+        raw = RAW[kind.name](spark, sf_dir)
+        return _trend_columns(incremental_trends(spark, fresh_path(spark, f"days-{kind.name}"), raw, kind), kind)
+    return q
+
+
 def q_end_to_end_roundtrip(spark, sf_dir):
     from headroom.plans.capacity_job import run_on_tables
     return run_on_tables(spark, sf_dir)
 
 
+# The job's own files (S3-S8, E1-E5) against the same SQL as the operators.
+
+def q_roundtrip_recommendations(spark, sf_dir):
+    from headroom.plans.capacity_job import job_folder, read_export
+    recs = read_export(spark, job_folder(spark, sf_dir), "recommendations",
+                       "resource_id string, resource_type string, recommendation_type string, risk_level string, "
+                       "current_value double, forecasted_value double, forecast_horizon_weeks int, details string, ai_narrative string")
+    return _flat_recs(recs.withColumn("details", F.from_json("details", "map<string,double>")), "ai_narrative")
+
+
+def q_roundtrip_overview(spark, sf_dir):
+    from headroom.plans.capacity_job import job_folder, read_export
+    o = read_export(spark, job_folder(spark, sf_dir), "utilization_overview",
+                    "resource_id string, resource_type string, date date, utilization_pct double")
+    return o.withColumn("utilization_pct", r6("utilization_pct"))
+
+
+def q_roundtrip_risk_summary(spark, sf_dir):
+    from headroom.plans.capacity_job import job_folder, read_export
+    return read_export(spark, job_folder(spark, sf_dir), "risk_summary", "resource_type string, risk_level string, count bigint")
+
+
+def q_roundtrip_forecasts(spark, sf_dir):
+    from headroom.plans.capacity_job import job_folder
+    return _forecast_cols(spark.read.parquet(f"{job_folder(spark, sf_dir)}/processed/forecasts"))
+
+
 QUERIES: dict[str, Query] = {
     "dq_violations": q_dq_violations,
     "dedupe_first": q_dedupe_first,
@@ -300,5 +359,14 @@ QUERIES: dict[str, Query] = {
     "latency_warning": q_latency_warning,
     "stream_daily_closed": q_stream_daily_closed,
     "stream_landing": q_stream_landing,
+    "stream_daily_all": q_stream_daily_all,
+    "stream_trends_compute": q_stream_trends_compute,
+    "incremental_trends_compute": _incremental_query(COMPUTE),
+    "incremental_trends_storage": _incremental_query(STORAGE),
+    "incremental_trends_network": _incremental_query(NETWORK),
     "end_to_end_roundtrip": q_end_to_end_roundtrip,
+    "roundtrip_recommendations": q_roundtrip_recommendations,
+    "roundtrip_overview": q_roundtrip_overview,
+    "roundtrip_risk_summary": q_roundtrip_risk_summary,
+    "roundtrip_forecasts": q_roundtrip_forecasts,
 }

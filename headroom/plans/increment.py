@@ -1,13 +1,13 @@
-"""Nightly increments (E1): day-partitioned tables that take new and late rows without a full run.
+"""Nightly increments (E1): date-partitioned tables that take new and late rows without a full run.
 
 A :class:`DayStore` holds one kind of metric as four tables, all written by dynamic partition
 overwrite, so a run that stopped half-way is simply run again under its number:
 
-``first/date=/run=``   first-wins rows as landed (before cleaning: a missing first copy evicts
+``first/period=/run=`` first-wins rows as landed (before cleaning: a missing first copy evicts
                        a later one). Rows whose (timestamp, id) an earlier run already has lose.
-``rollup/date=/run=``  each run's cleaned rows as (sum, count) per (id, day). A day's means are
+``rollup/period=/run=`` each run's cleaned rows as (sum, count) per (id, day). A day's means are
                        the merged rollups of its runs, so late rows never re-read raw rows.
-``trends/date=``       daily means with their indicators.
+``trends/period=``     daily means with their indicators.
 ``tails/as_of=/run=``  what the indicators after a day need: each resource's last 30 daily rows
                        and, if those are all missing, its last present value. A run leaves them
                        for the newest day and for days ever further back (1, 3, 7, 15, ...).
@@ -17,9 +17,10 @@ first of those days, and the rollups after them: the trends are rebuilt from the
 day on, which is the new day alone on a normal night, and nothing is read from more than twice
 as far back. The log ``runs`` (one row a run) says which tails later late rows have made stale.
 
-Which days a run touches is collected (one value a day); everything else stays in Spark. Days
-are written with a ``rebalance`` hint: a day larger than the advisory partition size is written
-by several tasks, small days share one.
+A period is a day, or a month or year where a day has few rows (``grain``). Which days a run touches is
+collected (one value a day); everything else stays in Spark. Periods are written with a
+``rebalance`` hint: one larger than the advisory partition size is written by several tasks,
+small ones share a task.
 """
 
 from __future__ import annotations
@@ -59,30 +60,33 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 @dataclass(frozen=True)
 class Touched:
-    """The days a run touches."""
+    """The days a run touches, and their periods."""
 
     days: tuple[dt.date, ...]
+    periods: tuple[dt.date, ...]
     undated: bool  # some rows have no timestamp
 
     def among(self, column: str) -> Column:
-        hit = F.col(column).isin(list(self.days))
+        hit = F.col(column).isin(list(self.periods))
         return (hit | F.col(column).isNull()) if self.undated else hit
 
 
 class DayStore:
     """Incremental cleaning and trends of one metric kind in the folder ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, kind: str | MetricKind, fill: str = "ffill"):
-        self.spark, self.path, self.fill = spark, path.rstrip("/"), fill
+    def __init__(self, spark: SparkSession, path: str, kind: str | MetricKind, fill: str = "ffill", grain: str = "day"):
+        if grain not in ("day", "month", "year"):
+            raise ValueError(f"grain must be 'day', 'month' or 'year', got {grain!r}")
+        self.spark, self.path, self.fill, self.grain = spark, path.rstrip("/"), fill, grain
         self.kind = KINDS[kind] if isinstance(kind, str) else kind
         k = self.kind
-        day, number = T.StructField("date", T.DateType()), T.StructField("run", T.LongType())
+        day, period, number = T.StructField("date", T.DateType()), T.StructField("period", T.DateType()), T.StructField("run", T.LongType())
         parts = [T.StructField(f"{c}_{p}", t) for c in k.daily_cols for p, t in (("sum", T.DoubleType()), ("count", T.LongType()))]
         who = k.schema[k.id_col]
-        self._first = T.StructType([*k.schema.fields, day, number])
-        self._rollup = T.StructType([who, *parts, day, number])
+        self._first = T.StructType([*k.schema.fields, period, number])
+        self._rollup = T.StructType([who, day, *parts, period, number])
         values = [T.StructField(c, T.DoubleType()) for c in k.daily_cols]
-        self._trends = T.StructType([who, *values, *[T.StructField(f"{k.target}_{n}", T.DoubleType()) for n in ("ma7", "ma30", "growth_rate")], day])
+        self._trends = T.StructType([who, *values, *[T.StructField(f"{k.target}_{n}", T.DoubleType()) for n in ("ma7", "ma30", "growth_rate")], day, period])
         self._tails = T.StructType([who, T.StructField(k.target, T.DoubleType()), day, T.StructField("as_of", T.DateType()), number])
         self._runs = T.StructType([T.StructField("min_day", T.DateType()), T.StructField("max_day", T.DateType()),
                                    T.StructField("tail_days", T.ArrayType(T.DateType())), number])
@@ -100,7 +104,13 @@ class DayStore:
     def trends(self) -> DataFrame:
         """The trend table as a full run would give it."""
         t = _read(self.spark, f"{self.path}/trends", self._trends)
-        return t.select(self.kind.id_col, "date", *[c for c in t.columns if c not in (self.kind.id_col, "date")])
+        return t.select(self.kind.id_col, "date", *[c for c in t.columns if c not in (self.kind.id_col, "date", "period")])
+
+    def period(self, day: dt.date) -> dt.date:
+        return {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[self.grain]
+
+    def _period(self, column: str) -> Column:
+        return F.col(column) if self.grain == "day" else F.trunc(column, self.grain)
 
     def cleaned(self) -> DataFrame:
         """All cleaned rows (C7-C9 over every run)."""
@@ -108,9 +118,10 @@ class DayStore:
 
     def daily(self, after: dt.date | None = None) -> DataFrame:
         """A1: daily means, from the rollups after a day only if one is given."""
-        r = self.rollups()
-        return rollup_means(merge_rollups(r if after is None else r.where(F.col("date") > F.lit(after)),
-                                          self.kind.id_col, self.kind.daily_cols), self.kind.id_col, self.kind.daily_cols)
+        k, r = self.kind, self.rollups()
+        if after is not None:
+            r = r.where((F.col("period") >= F.lit(self.period(after))) & (F.col("date") > F.lit(after)))
+        return rollup_means(merge_rollups(r, k.id_col, k.daily_cols), k.id_col, k.daily_cols)
 
     # ---- one run ----
     def add(self, raw: DataFrame, run: int, order_col: str = SEQ) -> Touched:
@@ -118,18 +129,20 @@ class DayStore:
         run (with the same rows, after a failure)."""
         k = self.kind
         own = dedupe_first(raw.select(*k.columns, order_col), k.dedupe_keys, order_col)
-        own = own.select(*k.columns).withColumn("date", F.to_date("timestamp"))
+        own = own.select(*k.columns).withColumn("date", F.to_date("timestamp")).withColumn("period", self._period("date")).drop("date")
         staged = f"{self.path}/staged/run={run}"
         own.write.mode("overwrite").parquet(staged)
         own = self.spark.read.schema(T.StructType(self._first.fields[:-1])).parquet(staged)
-        found = [r["date"] for r in own.select("date").distinct().collect()]  # one value a day
-        touched = Touched(tuple(sorted(d for d in found if d is not None)), None in found)
+        found = [r["date"] for r in own.select(F.to_date("timestamp").alias("date")).distinct().collect()]  # one value a day
+        days = tuple(sorted(d for d in found if d is not None))
+        touched = Touched(days, tuple(sorted({self.period(d) for d in days})), None in found)
         if not found:
             return touched
-        _overwrite_partitions(self.new_rows(own, touched, run), f"{self.path}/first", "date", "run")
+        _overwrite_partitions(self.new_rows(own, touched, run), f"{self.path}/first", "period", "run")
         if touched.days:
-            _overwrite_partitions(self.own_rollup(touched, run), f"{self.path}/rollup", "date", "run")
-            tail_days = self._rebuild(touched.days[0], run)
+            _overwrite_partitions(self.own_rollup(touched, run), f"{self.path}/rollup", "period", "run")
+            # A partition is written whole: the trends start with the first touched period.
+            tail_days = self._rebuild(touched.periods[0], run)
             log = [(touched.days[0], touched.days[-1], tail_days, run)]
             _overwrite_partitions(self.spark.createDataFrame(log, self._runs), f"{self.path}/runs", "run")
         return touched
@@ -137,16 +150,17 @@ class DayStore:
     def new_rows(self, own: DataFrame, touched: Touched, run: int) -> DataFrame:
         """The rows whose key no earlier run has; of earlier runs only the touched days' keys are read."""
         k = self.kind
-        known = (self.first().where(touched.among("date") & (F.col("run") < run))
+        known = (self.first().where(touched.among("period") & (F.col("run") < run))
                  .select(F.col("timestamp").alias("_at"), F.col(k.id_col).alias("_id")))
         same = own["timestamp"].eqNullSafe(known["_at"]) & own[k.id_col].eqNullSafe(known["_id"])
         return own.join(known, same, "left_anti").withColumn("run", F.lit(run).cast("long"))
 
     def own_rollup(self, touched: Touched, run: int) -> DataFrame:
         """This run's rollup: its own partitions of the touched days, cleaned and summed."""
-        rows = self.first().where(F.col("date").isin(list(touched.days)) & (F.col("run") == run))
+        rows = self.first().where(F.col("period").isin(list(touched.periods)) & (F.col("run") == run))
         own = row_clean(rows.select(*self.kind.columns), self.kind)
-        return rollup_daily(own, self.kind.id_col, self.kind.daily_cols).withColumn("run", F.lit(run).cast("long"))
+        return (rollup_daily(own, self.kind.id_col, self.kind.daily_cols)
+                .withColumns({"period": self._period("date"), "run": F.lit(run).cast("long")}))
 
     def _newest_tails(self, before: dt.date, run: int) -> tuple[dt.date, int] | None:
         """The newest tails of a day before ``before`` that no later run has made stale."""
@@ -171,7 +185,8 @@ class DayStore:
         k = self.kind
         history = self.history(first_day, run)
         trends = add_trend_indicators(history, k.id_col, k.target, fill=self.fill).where(F.col("date") >= F.lit(first_day))
-        _overwrite_partitions(trends.select([f.name for f in self._trends]), f"{self.path}/trends", "date")
+        _overwrite_partitions(trends.withColumn("period", self._period("date")).select([f.name for f in self._trends]),
+                              f"{self.path}/trends", "period")
         base = self._newest_tails(first_day, run)
         ends = history.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
         if ends["high"] is None:  # no row of any day was left by cleaning
@@ -210,9 +225,9 @@ def landings(raw: DataFrame, kind: str | MetricKind) -> list[DataFrame]:
     return [raw.where(early & (share != 0)), raw.where(~early | (early & (share == 1))), raw.where(early & (share == 0))]
 
 
-def incremental_trends(spark: SparkSession, path: str, raw: DataFrame, kind: str | MetricKind) -> DataFrame:
+def incremental_trends(spark: SparkSession, path: str, raw: DataFrame, kind: str | MetricKind, grain: str = "year") -> DataFrame:
     """The trend table after a :class:`DayStore` at ``path`` took ``raw`` in three landings."""
-    store = DayStore(spark, path, kind)
+    store = DayStore(spark, path, kind, grain=grain)
     for run, rows in enumerate(landings(raw, kind)):
         store.add(rows, run)
     return store.trends()

@@ -489,7 +489,7 @@ err AS (SELECT f.resource_type, f.resource_id, f.model, avg(abs(f.yhat - h.y)) A
     parsed = (f"trim(CASE WHEN json_valid(p.response) THEN json_extract_string(p.response, "
               f"'$.candidates[0].content.parts[0].text') END, {_WS})")
     q["narratives_from_responses"] = (
-        with_ctes(*ALL_RECS_CTES, RESPONSES) +
+        with_ctes(*ALL_RECS_CTES, RESPONSES).replace("\nrecs AS (", "\nrecs AS MATERIALIZED (") +
         " SELECT r.resource_type, r.resource_id, CAST(r.forecast_horizon_weeks AS BIGINT) AS forecast_horizon_weeks, "
         f"coalesce(nullif({parsed}, ''), {NARRATIVE.replace('resource_id', 'r.resource_id').replace('forecast_horizon_weeks', 'r.forecast_horizon_weeks')}) AS narrative "
         "FROM recs r LEFT JOIN responses p ON r.resource_type = p.resource_type AND r.resource_id = p.resource_id "
@@ -512,6 +512,15 @@ err AS (SELECT f.resource_type, f.resource_id, f.model, avg(abs(f.yhat - h.y)) A
                            + ", ".join(f"{r6(clip(c, '0.0', '100.0'))} AS {c}" for c in KIND["compute"][1])
                            + " FROM raw_compute WHERE cpu_utilization_pct IS NOT NULL AND "
                              "memory_utilization_pct IS NOT NULL")
+    # The same tables by another way: increments and streams.
+    q["stream_daily_all"] = q["daily_compute"]
+    q["stream_trends_compute"] = q["trends_compute"]
+    for kind in ALL:
+        q[f"incremental_trends_{kind}"] = q[f"trends_{kind}"]
+    q["roundtrip_recommendations"] = q["recommendations"]
+    q["roundtrip_overview"] = q["utilization_overview"]
+    q["roundtrip_risk_summary"] = q["risk_summary"]
+    q["roundtrip_forecasts"] = q["forecast_all"]
     # end_to_end_roundtrip: rows-only (it writes and re-reads the whole job's outputs).
     return {name: sql for name, sql in q.items() if name in QUERIES}
 

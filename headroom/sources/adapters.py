@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headroom.functions.numeric import packed_order
 from headroom.functions.timeutil import floor_hour_ntz
 
 # The resources are the real users, suppliers and customers; SHAPES only varies the course of their values.
@@ -83,7 +84,9 @@ def storage_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("l_shipdate").alias("timestamp"), _id("storage-", F.col("l_suppkey")).alias("storage_id"),
         used.alias("disk_used_gb"), total.alias("disk_total_gb"), (used / total * 100.0).alias("disk_utilization_pct"),
         (F.col("l_discount") * 1000.0 + F.col("l_tax") * 500.0).alias("io_utilization_pct"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("seq"))
+        # By order, line, part, quantity and price (in cents); the supplier is the same within a key.
+        packed_order(("l_orderkey", 12), ("l_linenumber", 1), ("l_partkey", 11), (F.rint(F.col("l_quantity") * 100), 4),
+                     (F.rint(F.col("l_extendedprice") * 100), 10)).alias("seq"))
 
 
 def network_from_orders(orders: DataFrame, customer: DataFrame, dedupe_before_lookup: bool = False) -> DataFrame:

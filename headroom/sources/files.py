@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headroom.functions.numeric import nan_to_null
+from headroom.functions.numeric import nan_to_null, packed_order
 from headroom.operators.cleaning import CLEANERS, SEQ
 from headroom.operators.quality import TABLE_LABELS, VALIDATORS, require_columns, violation_counts
 from headroom.operators.trends import TREND_BUILDERS
@@ -35,11 +35,31 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def with_input_order(df: DataFrame) -> DataFrame:
-    """Attach ``seq`` = (file, block start, row id) captured at the scan: the input order."""
-    return df.withColumn(SEQ, F.struct(F.col("_metadata.file_path").alias("file"),
-                                       F.col("_metadata.file_block_start").alias("block"),
-                                       F.monotonically_increasing_id().alias("row")))
+_PATH, _MODIFIED, _BLOCK = "_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_block_start"
+#: Digits of an input order: file, block, row.
+_FILE_DIGITS, _BLOCK_DIGITS, _ROW_DIGITS = 6, 13, 19
+
+
+def file_ordinals(spark: SparkSession, path: str, by: str = "path") -> DataFrame:
+    """``_file, _ordinal``: the files at ``path`` numbered by their path, or by landing (modification
+    time, then path). Only the listing is read; like Spark's own, it passes through the driver."""
+    if by not in ("path", "landed"):
+        raise ValueError("by must be 'path' or 'landed'")
+    listed = spark.read.format("binaryFile").load(path).select(F.col(_PATH).alias("path"), F.col(_MODIFIED).alias("at")).collect()
+    order = sorted(listed, key=lambda r: (r["at"], r["path"]) if by == "landed" else r["path"])
+    return spark.createDataFrame([(r["path"], i) for i, r in enumerate(order)], "_file string, _ordinal int")
+
+
+def with_input_order(df: DataFrame, ordinals: DataFrame, file: str = _PATH, block: str = _BLOCK) -> DataFrame:
+    """Attach ``seq``, the input order (file, block start, row) packed into one decimal.
+
+    ``df`` is a file scan, or rows that carry the scan's path and block as columns, in the
+    order of the file; a fixed-width order keeps de-duplication in a hash aggregate.
+    """
+    placed = df.withColumns({"_path": F.col(file), "_block": F.col(block), "_row": F.monotonically_increasing_id()})
+    placed = placed.join(ordinals, placed["_path"] == ordinals["_file"], "left")
+    seq = packed_order(("_ordinal", _FILE_DIGITS), ("_block", _BLOCK_DIGITS), ("_row", _ROW_DIGITS))
+    return placed.withColumn(SEQ, seq).drop("_path", "_block", "_row", "_file", "_ordinal")
 
 
 def file_schema(spark: SparkSession, path: str, fmt: str, wanted: T.StructType, label: str) -> T.StructType:
@@ -61,14 +81,15 @@ def file_schema(spark: SparkSession, path: str, fmt: str, wanted: T.StructType,
 
 def read_metrics(spark: SparkSession, path: str, kind: str, fmt: str = "csv",
                  validator: Callable[[DataFrame], DataFrame] | None = None,
-                 on_violation: str = "fail") -> DataFrame:
+                 on_violation: str = "fail", order: str = "path") -> DataFrame:
     """Read a raw metric table by column name, NaN->NULL, input order, then validate.
 
     Column order in the file does not matter and extra columns are dropped; a file without a
     required column raises :class:`SchemaValidationError`, whatever ``on_violation`` says.
 
     ``on_violation="fail"`` raises like the source on a broken rule; ``"report"`` leaves
-    repair to the cleaners (use :func:`violation_counts` to see what would fail).
+    repair to the cleaners (use :func:`violation_counts` to see what would fail). Of repeated
+    rows in several files the first counts, by ``order`` of the files' paths or as they "landed".
     """
     k = KINDS[kind]
     reader = spark.read.schema(file_schema(spark, path, fmt, k.schema, TABLE_LABELS[kind])).format(fmt)
@@ -76,7 +97,7 @@ def read_metrics(spark: SparkSession, path: str, kind: str, fmt: str = "csv",
         # Spark's default timestamp parsing accepts "2025-01-01 00:00:00", "2025-01-01T00:00:00.000"
         # (Spark's own CSV output) and date-only values.
         reader = reader.option("header", True).option("enforceSchema", False)
-    df = with_input_order(reader.load(path))
+    df = with_input_order(reader.load(path), file_ordinals(spark, path, order))
     df = normalise_missing(df.select(*k.columns, SEQ))
     if on_violation == "fail":
         (validator or VALIDATORS[kind])(df)
