@@ -12,7 +12,7 @@ population standard deviation of the in-sample residuals (constant width, no cli
 Needs at least 2 points and no missing ``y``.
 
 ``seasonal``  OLS trend + day-of-week effect (+ month effect with at least 365 points), all
-computed as window aggregates over the same per-resource partitioning; interval from the
+computed from centred sums per (resource, weekday, month); interval from the
 population standard deviation of what remains. Missing ``y`` are skipped. With fewer than
 ``seasonal_min_points`` present values the linear model stands in (``model_used`` says so).
 """
@@ -92,47 +92,81 @@ def forecast_linear(series: DataFrame, horizons_weeks: Sequence[int] | None = No
     return _future(fit, horizons, linear_yhat).select(*FORECAST_COLUMNS)
 
 
-def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
-    """F6/F7 fit: trend, weekday and month effects per resource, plus ``model_used``.
+def season_cells(series: DataFrame) -> DataFrame:
+    """F6 statistics: one row per (resource, weekday, month), at most 84 a resource.
 
-    All statistics are window aggregates over partitions of the same resource key, so the
-    series is shuffled once (by resource) and every effect reuses that partitioning.
+    Per cell the points, the present ones with their means of t and y and their centred sums of
+    squares and products, the last position, date and value. Cells of disjoint parts of a series
+    (with t counted through) merge by union: :func:`fit_from_cells` pools whatever rows a cell has,
+    so later days need no second look at earlier ones.
     """
-    w = Window.partitionBy(*KEY)
-    s = series.withColumns({
-        "_n": F.count(F.lit(1)).over(w), "_n_y": F.count("y").over(w),
-        "_a": F.regr_intercept("y", "t").over(w), "_b": F.regr_slope("y", "t").over(w),
-        "_syy": F.regr_syy("y", "t").over(w), "_sxy": F.regr_sxy("y", "t").over(w),
-        "_sxx": F.regr_sxx("y", "t").over(w),
-        "_dow": F.dayofweek("ds"), "_mon": F.month("ds"),
-    })
-    s = s.withColumn("_r", F.col("y") - (F.col("_a") + F.col("_b") * F.col("t")))
-    s = s.withColumn("_sw", F.avg("_r").over(Window.partitionBy(*KEY, "_dow")))
-    s = s.withColumn("_r2", F.col("_r") - F.col("_sw"))
-    yearly = F.col("_n") >= params.yearly_min_points
-    s = s.withColumn("_sm", F.when(yearly, F.avg("_r2").over(Window.partitionBy(*KEY, "_mon"))).otherwise(F.lit(0.0)))
-    s = s.withColumn("_e", F.col("_r2") - F.col("_sm"))
-    fit = s.groupBy(*KEY).agg(
-        F.max("_n").alias("n"), F.max("_n_y").alias("n_y"), F.max("_a").alias("intercept"),
-        F.max("_b").alias("slope"), F.max("t").alias("max_t"), F.max("ds").alias("max_ds"),
-        F.max_by("y", "ds").alias("last_y"),
-        F.stddev_pop("_e").alias("_sigma_e"),
-        _linear_sigma(F.max("_syy"), F.max("_sxy"), F.max("_sxx"), F.max("_n")).alias("_sigma_lin"),
-        F.array(*[F.max(F.when(F.col("_dow") == d, F.col("_sw"))) for d in range(1, 8)]).alias("weekday_effect"),
-        F.array(*[F.max(F.when(F.col("_mon") == m, F.col("_sm"))) for m in range(1, 13)]).alias("month_effect"),
-    )
+    return series.groupBy(*KEY, F.dayofweek("ds").alias("dow"), F.month("ds").alias("mon")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("y").alias("n_y"), F.max("t").alias("max_t"), F.max("ds").alias("max_ds"),
+        F.max_by("y", "ds").alias("last_y"), F.regr_avgx("y", "t").alias("t_mean"), F.regr_avgy("y", "t").alias("y_mean"),
+        F.regr_sxx("y", "t").alias("sxx"), F.regr_sxy("y", "t").alias("sxy"), F.regr_syy("y", "t").alias("syy"))
+
+
+def _pooled(value, among=None) -> Column:
+    """Sum of ``value(cell)`` over a resource's cells (those ``among`` which hold)."""
+    cells = F.col("_cells") if among is None else F.filter("_cells", among)
+    return F.aggregate(cells, F.lit(0.0), lambda total, c: total + value(c))
+
+
+def fit_from_cells(cells: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
+    """F6/F7 fit from the statistics of :func:`season_cells`: trend, weekday and month effects and the
+    spread of what remains, per resource. Exact: all sums are centred and pooled by their means."""
+    moments = F.struct("dow", "mon", F.col("n_y").cast("double").alias("n"), "t_mean", "y_mean", "sxx", "sxy", "syy")
+    f = cells.groupBy(*KEY).agg(
+        F.sum("n").alias("n"), F.sum("n_y").alias("n_y"), F.max("max_t").alias("max_t"), F.max_by("last_y", "max_ds").alias("last_y"),
+        F.max("max_ds").alias("max_ds"), F.collect_list(F.when(F.col("n_y") > 0, moments)).alias("_cells"))  # 84 rows a part at most
+    present = F.when(F.col("n_y") > 0, F.col("n_y").cast("double"))
+    f = f.withColumns({"_t": _pooled(lambda c: c["n"] * c["t_mean"]) / present, "_y": _pooled(lambda c: c["n"] * c["y_mean"]) / present})
+    dt, dy = (lambda c: c["t_mean"] - F.col("_t")), (lambda c: c["y_mean"] - F.col("_y"))
+    f = f.withColumns({"_sxx": _pooled(lambda c: c["sxx"] + c["n"] * dt(c) * dt(c)), "_sxy": _pooled(lambda c: c["sxy"] + c["n"] * dt(c) * dy(c)),
+                       "_syy": _pooled(lambda c: c["syy"] + c["n"] * dy(c) * dy(c))})
+    f = f.withColumn("slope", F.when(F.col("_sxx") > 0, F.col("_sxy") / F.col("_sxx")))
+    f = f.withColumn("intercept", F.col("_y") - F.col("slope") * F.col("_t"))
+
+    def rest(c):  # what the trend leaves of a cell's mean
+        return c["y_mean"] - F.col("intercept") - F.col("slope") * c["t_mean"]
+
+    def on(field, value):
+        return lambda c: c[field] == value
+
+    def effect(value, among):
+        n = _pooled(lambda c: c["n"], among)
+        return F.when(n > 0, _pooled(value, among) / n)
+
+    f = f.withColumn("weekday_effect", F.array(*[effect(lambda c: c["n"] * rest(c), on("dow", d)) for d in range(1, 8)]))
+    weekday = lambda c: F.get(F.col("weekday_effect"), c["dow"] - 1)
+    monthly = F.array(*[effect(lambda c: c["n"] * (rest(c) - weekday(c)), on("mon", m)) for m in range(1, 13)])
+    f = f.withColumn("month_effect", F.when(F.col("n") >= params.yearly_min_points, monthly).otherwise(F.array_repeat(F.lit(0.0), 12)))
+    left = lambda c: rest(c) - weekday(c) - F.get(F.col("month_effect"), c["mon"] - 1)
+    f = f.withColumn("_left", _pooled(lambda c: c["n"] * left(c)) / present)
+    b = F.col("slope")
+    inside = lambda c: F.greatest(c["syy"] - 2.0 * b * c["sxy"] + b * b * c["sxx"], F.lit(0.0))
+    f = f.withColumn("_sigma_e", F.sqrt(_pooled(lambda c: inside(c) + c["n"] * (left(c) - F.col("_left")) * (left(c) - F.col("_left"))) / present))
+    f = f.withColumn("sigma_linear", _linear_sigma(F.col("_syy"), F.col("_sxy"), F.col("_sxx"), F.col("n")))
     seasonal_ok = F.col("n_y") >= params.seasonal_min_points
     linear_ok = (F.col("n") >= 2) & (F.col("n_y") == F.col("n"))
-    return (fit.withColumn("model_used", F.when(seasonal_ok, F.lit(SEASONAL)).when(linear_ok, F.lit(LINEAR)))
-            .withColumn("sigma", F.when(seasonal_ok, F.col("_sigma_e")).otherwise(F.col("_sigma_lin")))
+    return (f.withColumn("model_used", F.when(seasonal_ok, F.lit(SEASONAL)).when(linear_ok, F.lit(LINEAR)))
+            .withColumn("sigma", F.when(seasonal_ok, F.col("_sigma_e")).otherwise(F.col("sigma_linear")))
             .withColumn("status", F.when(F.col("n") < 2, F.lit("too_few_points"))
                         .when(seasonal_ok, F.lit("ok"))
                         .when(linear_ok, F.lit("fallback_linear"))
                         .otherwise(F.lit("missing_y")))
-            # the plain linear model from the same pass (its OLS is the trend above)
+            # the plain linear model from the same statistics (its OLS is the trend above)
             .withColumn("linear_status", linear_status(F.col("n"), F.col("n_y")))
-            .withColumnRenamed("_sigma_lin", "sigma_linear")
-            .drop("_sigma_e"))
+            .drop("_cells", "_t", "_y", "_sxx", "_sxy", "_syy", "_left", "_sigma_e"))
+
+
+def fit_seasonal(series: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
+    """F6/F7 fit: trend, weekday and month effects per resource, plus ``model_used``.
+
+    Two hash aggregates, over (resource, weekday, month) and over the resource; both reuse the
+    partitioning by resource that numbered the series, so the fit adds no shuffle and no sort.
+    """
+    return fit_from_cells(season_cells(series), params)
 
 
 def forecast_seasonal(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
@@ -147,8 +181,8 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
                  models: Sequence[str] = (LINEAR, SEASONAL), params: ForecastParams = ForecastParams()) -> DataFrame:
     """every model slot for every resource; ineligible resources simply have no rows.
 
-    All slots come from one pass over the series: the seasonal fit's windows already carry the
-    linear OLS statistics, so the linear (and, if asked for, the prophet) rows are the same
+    All slots come from one pass over the series: the seasonal fit's statistics already carry the
+    linear OLS, so the linear (and, if asked for, the prophet) rows are the same
     fit rows projected with the linear prediction and interval.
     """
     horizons = params.resolved_horizons() if horizons_weeks is None else ForecastParams(tuple(horizons_weeks)).resolved_horizons()

@@ -1,10 +1,13 @@
+import math
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from headroom.config import ForecastParams
-from headroom.operators.forecast import fit_linear, fit_seasonal, forecast_all, forecast_linear, forecast_seasonal, \
-    forecast_status
+from headroom.operators.forecast import fit_from_cells, fit_linear, fit_seasonal, forecast_all, forecast_linear, \
+    forecast_seasonal, forecast_status, season_cells
 from tests.conftest import d
 from tests.frames import SERIES, series_df
 
@@ -212,3 +215,60 @@ def test_seasonal_model_from_two_points(spark):
     assert set(p["resource_id"]) == {"n2", "n13", "n14"} and set(p["model_used"]) == {"seasonal"}
     for n in (2, 13, 14):  # an exact line: no weekday effect, seen or unseen
         np.testing.assert_allclose(p[p["resource_id"] == f"n{n}"]["yhat"], 2.0 * np.arange(n, n + 7), atol=1e-9)
+
+
+def _season_series(spark, seed=4, days=800, resources=3):
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for k in range(resources):
+        t = 0
+        for i in range(days):
+            if rng.random() < 0.85:
+                y = None if rng.random() < 0.1 else 50 + 0.03 * i + 3 * math.sin(i * 2 * math.pi / 7) + (i // 30 % 12) + rng.gauss(0, 1)
+                rows.append(("compute", f"r{k}", d(i), y, t))
+                t += 1
+    return spark.createDataFrame(rows, "resource_type string, resource_id string, ds date, y double, t long")
+
+
+def test_season_cells_of_two_halves_merge(spark):
+    s = _season_series(spark)
+    early = F.col("ds") < F.lit(d(300))
+    parts = season_cells(s.where(early)).unionByName(season_cells(s.where(~early)))
+    whole = {r.resource_id: r for r in fit_from_cells(season_cells(s)).collect()}
+    merged = {r.resource_id: r for r in fit_from_cells(parts).collect()}
+    assert season_cells(s).groupBy("resource_id").count().agg(F.max("count")).first()[0] <= 84
+    assert whole.keys() == merged.keys() and len(whole) == 3
+    for k, w in whole.items():
+        for c in w.asDict():
+            a, b = w[c], merged[k][c]
+            if isinstance(a, (float, list)):
+                np.testing.assert_allclose(np.array(b, dtype=float), np.array(a, dtype=float), rtol=1e-9, atol=1e-9)
+            else:
+                assert a == b, c
+
+
+def test_season_fit_equals_its_definition(spark):
+    s = _season_series(spark, seed=9, resources=2)
+    p = s.toPandas().dropna(subset=["y"])
+    for r in fit_from_cells(season_cells(s)).collect():
+        g = p[p.resource_id == r.resource_id].copy()
+        b, a = np.polyfit(g.t, g.y, 1)
+        g["r"] = g.y - a - b * g.t
+        g["dow"], g["mon"] = [(x.isoweekday() % 7) + 1 for x in g.ds], [x.month for x in g.ds]
+        week = g.groupby("dow").r.mean()
+        g["r2"] = g.r - g.dow.map(week)
+        month = g.groupby("mon").r2.mean()
+        left = g.r2 - g.mon.map(month)
+        np.testing.assert_allclose([r.intercept, r.slope, r.sigma], [a, b, left.std(ddof=0)], rtol=1e-8)
+        np.testing.assert_allclose(r.weekday_effect, week.sort_index(), rtol=1e-7, atol=1e-9)
+        np.testing.assert_allclose(r.month_effect, month.sort_index(), rtol=1e-7, atol=1e-9)
+
+
+def test_season_fit_adds_no_window_and_no_shuffle(spark):
+    from tests.test_plans import plan
+    from __spark_entry__ import queries
+    def count(name, what):
+        return len(re.findall(rf"^\(\d+\) {what}", plan(queries()[name](spark, "/root/testdata/sf0.001")), re.M))
+    for what in ("Window", "Exchange", "Sort "):
+        assert count("seasonal_forecast", what) == count("series_index", what), what
