@@ -9,9 +9,11 @@ none of them loses a link:
   remaining lengths cannot reach the similarity are never joined.
 * Answer skipping: each list first compares its members with a few leaders only. What a leader's
   answer holds belongs to its component at once; members of one component are never compared again.
-* Incremental answers: for the rest, each comparison starts from the leader's answer. A member's
-  stored difference from its leader bounds the similarity to any other set (the triangle inequality
-  of the Jaccard distance), so only the members that the bound leaves open are read.
+* Incremental answers: of two sets compared with one leader L, the answer follows from their differences
+  from L alone, |A ^ B| = |A ^ L| + |B ^ L| - 2 |(A ^ L) & (B ^ L)|. Where the two sizes are small enough
+  the sets link without a look (one representative per leader takes all such links); elsewhere they must
+  share a minimum of difference elements, so they meet only in an index of the rarest of these, and the
+  common part of two short differences is the exact answer. No text is read for such pairs.
 
 Rarity is the number of sets that hold a shingle, counted over all texts inside each task (a shingle
 alone in its task counts nothing there) and summed; it only orders the prefix, so any count is right.
@@ -31,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headroom.llm.text import SPACED, grams, likely, mix, slices, table, text_key, words, written
+from headroom.llm.text import SPACED, free_names, grams, likely, lists, mix, slices, table, text_key, words, written
 
 #: Of the shingles seen most, so many are told apart by their count; the rest are ordered by hash alone.
 RANKED = 1 << 20
 #: Leaders with which each list's members are compared, round by round, before the blocks are joined.
-LEADERS = (1, 4, 8)
+LEADERS = (1, 4)
 #: Size of the bitmap of wanted texts.
 BITMAP_BITS = 1 << 24
 #: Members of one component and size band in a block.
@@ -45,6 +47,8 @@ BLOCK = 256
 LARGE = 64
 #: Width of a size band.
 BAND = 1.04
+#: Bands of a leader's members by how far they are from linking with it.
+GAPS = 8
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,10 +219,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _short_lists(index: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the open pairs inside lists of at most BLOCK members: a join with the same tests as blocks have."""
-    a, b = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "root", "n", "pos", "leader", "apart")]) for x in "ab")
+    a, b = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "root", "n", "pos", "leader")]) for x in "ab")
     most = F.least(F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b"), F.least("n_a", "n_b"))
-    fits = (most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent) & ~(
-        (F.col("leader_a") == F.col("leader_b")) & (F.abs(F.col("apart_a") - F.col("apart_b")) > 1 - percent / 100 + 1e-9))
+    fits = (most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent) & (F.col("leader_a") != F.col("leader_b"))
     on = (a.shingle == b.shingle) & (F.col("set_a") < F.col("set_b")) & (F.col("root_a") != F.col("root_b")) & fits
     return a.join(b, on).select(F.col("set_a").alias("a"), F.col("set_b").alias("b"))
 
@@ -233,7 +236,7 @@ def _blocks(index: DataFrame, percent: int) -> DataFrame:
     own = own.join(by_root, ["shingle", "band", "root"]).withColumn("group", F.when(F.col("members") >= LARGE, F.col("root")))
     by_group = (by_root.groupBy("shingle", "band", F.when(F.col("members") >= LARGE, F.col("root")).alias("g"))
                 .agg(F.ceil(F.sum("members") / BLOCK).alias("parts")))
-    rows = F.collect_list(F.struct("set", "root", "n", "pos", "leader", "apart")).alias("rows")
+    rows = F.collect_list(F.struct("set", "root", "n", "pos", "leader")).alias("rows")
     block = (own.alias("o").join(by_group.alias("g"), (F.col("o.shingle") == F.col("g.shingle")) & (F.col("o.band") == F.col("g.band"))
                                  & F.col("o.group").eqNullSafe(F.col("g.g")))
              .select("o.*", F.pmod(F.xxhash64("set"), F.col("parts")).alias("part"))
@@ -253,10 +256,10 @@ def _open_pairs(blocks: DataFrame, percent: int) -> DataFrame:
             for i in range(batch.num_rows):
                 a, b = (batch.column(x)[i].values for x in ("rows_a", "rows_b"))
                 of = lambda name: (a.field(name).to_numpy(zero_copy_only=False)[:, None], b.field(name).to_numpy(zero_copy_only=False)[None, :])  # noqa: B023, E731
-                (n, m), (at, at2), (root, root2), (lead, lead2), (apart, apart2) = map(of, ("n", "pos", "root", "leader", "apart"))
+                (n, m), (at, at2), (root, root2), (lead, lead2) = map(of, ("n", "pos", "root", "leader"))
                 most = np.minimum(np.minimum(n - at, m - at2) + np.minimum(at, at2), np.minimum(n, m)).astype(np.int64)
                 fits = (100 * most >= percent * (n + m - most)) & (root != root2)
-                fits &= ~((lead == lead2) & (np.abs(apart - apart2) > 1 - percent / 100 + 1e-9))
+                fits &= lead != lead2
                 x, y = np.nonzero(fits)
                 one, two = of("set")[0][x, 0], of("set")[1][0, y]
                 pair = np.unique(np.stack((np.minimum(one, two), np.maximum(one, two))), axis=1)
@@ -265,13 +268,75 @@ def _open_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(scan, "a bigint, b bigint")
 
 
-def _answers(tried: DataFrame) -> DataFrame:
-    """``set, leader, apart``: each compared set's nearest leader and its Jaccard distance; a leader is its own."""
-    apart = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    leaders = tried.select(F.col("b").alias("set")).distinct()
-    near = tried.groupBy(F.col("a").alias("set")).agg(F.min(F.struct(apart.alias("apart"), F.col("b").alias("leader"))).alias("x"))
-    return (leaders.select("set", F.col("set").alias("leader"), F.lit(0.0).alias("apart"))
-            .union(near.join(leaders, "set", "left_anti").select("set", "x.leader", "x.apart")))
+def _mains(first: DataFrame) -> DataFrame:
+    """``set, leader, n``: each set's main leader, the first by hash of those it was compared with in round one
+    or is itself; sets that share a list mostly share it."""
+    leaders = first.groupBy(F.col("b").alias("set")).agg(F.max("n_b").alias("n")).select(
+        "set", F.col("set").alias("leader"), "n")
+    each = first.select(F.col("a").alias("set"), F.col("b").alias("leader"), F.col("n_a").alias("n")).union(leaders)
+    best = F.min_by(F.struct("leader", "n"), F.struct(F.xxhash64(F.lit(0), F.lit(0), "leader"), "leader"))
+    return each.groupBy("set").agg(best.alias("x")).select("set", "x.leader", "x.n")
+
+
+def _differences(sets: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``set, leader, n, root, delta``: the shingles in which each set differs from its leader."""
+    both = (sets.join(texts, "set").join(texts.select(F.col("set").alias("leader"), F.col("text").alias("leader_text")), "leader")
+            .select("set", "leader", "n", "root", "text", "leader_text"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, hold = None, np.empty(0, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                value, first = shingle_sets(part.column("text"), k)
+                names, delta = part.column("leader").to_numpy(), []
+                for i, name in enumerate(names.tolist()):
+                    if name != last:
+                        last, hold = name, shingle_sets(part.column("leader_text").slice(i, 1), k)[0]
+                    delta.append(np.setxor1d(value[first[i]:first[i + 1]], hold, assume_unique=True))
+                flat = np.concatenate(delta) if delta else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("set", "leader", "n", "root")), lists(flat, np.array([len(d) for d in delta]))],
+                                                 names=["set", "leader", "n", "root", "delta"])
+
+    return both.mapInArrow(scan, "set bigint, leader bigint, n bigint, root bigint, delta array<bigint>")
+
+
+def _links_by_difference(sets: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a, b`` linked: enough links that sets with one main leader are connected exactly as all of theirs would.
+
+    With q = 100 + percent and gap = q |A ^ L| - (100 - percent) |A|, two sets of leader L link when their gaps
+    are at most 2 q times the number of common difference elements.
+    """
+    q = 100 + percent
+    mixed = sets.groupBy("leader").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("leader")
+    sets = sets.join(mixed, "leader")
+    own = sets.filter("set = leader").select("set", "leader", "n", "root", F.expr("cast(array() as array<bigint>)").alias("delta"))
+    found = _differences(sets.filter("set <> leader"), texts, k).union(own)
+    found = written(found.withColumn("gap", F.size("delta") * q - F.col("n") * (100 - percent)), "set-differences")
+    group = found.groupBy("leader").agg(F.min_by("set", F.struct("gap", "set")).alias("close"), F.min("gap").alias("low"), F.max("gap").alias("high"))
+    near = found.join(group, "leader")
+    direct = near.filter((F.col("gap") + F.col("low") <= 0) & (F.col("set") != F.col("close"))).select(F.col("set").alias("a"), F.col("close").alias("b"))
+
+    width = F.greatest(F.lit(2 * q).cast("long"), F.ceil((F.col("high") - F.col("low") + 1) / GAPS))
+    near = near.withColumn("width", width).withColumn("band", F.floor((F.col("gap") - F.col("low")) / F.col("width")))
+    rarity = near.select("leader", F.explode("delta").alias("element")).groupBy("leader", "element").agg(F.count("*").alias("times"))
+    rarity = rarity.filter("times > 1")  # an element of one set alone is in no other's difference
+    ranked = (near.select("leader", "set", "gap", "root", "band", "low", "width", F.size("delta").alias("d"), F.explode("delta").alias("element"))
+              .join(rarity, ["leader", "element"])
+              .groupBy("leader", "set", "gap", "root", "band", "low", "width", "d").agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("shared")))
+    # With a partner in a band so many difference elements are common at least; those that no other set has count as the rarest.
+    least = F.greatest(F.lit(1), F.ceil((F.col("gap") + F.col("low") + F.col("partner") * F.col("width")) / (2 * q)))
+    met = (ranked.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(GAPS)))).withColumn("least", least)
+           .withColumn("take", F.size("shared") - F.col("least") + 1).filter("take > 0")
+           .select("leader", "set", "root", "band", F.least("band", "partner").alias("lower"), F.greatest("band", "partner").alias("upper"),
+                   F.explode(F.slice(F.transform("shared", lambda x: x["element"]), F.lit(1), F.col("take").cast("int"))).alias("element")))
+    x, y = (met.select("leader", "lower", "upper", "element", *[F.col(c).alias(f"{c}_{side}") for c in ("set", "root", "band")]) for side in "ab")
+    pairs = (x.filter("band_a = lower").join(y.filter("band_b = upper"), ["leader", "lower", "upper", "element"])
+             .filter("root_a <> root_b and (lower < upper or set_a < set_b)").select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct())
+    side = found.select("set", "gap", "delta")
+    known = (pairs.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("set_a"))
+             .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("set_b")))
+    linked = known.filter(F.col("gap_a") + F.col("gap_b") <= 2 * q * F.size(F.array_intersect("delta_a", "delta_b"))).select("a", "b")
+    return direct.union(linked)
 
 
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
@@ -291,7 +356,7 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     several = written(several, "shared-shingles")
     index = written(likely(index, "shingle", several, "shingle", BITMAP_BITS).join(several, "shingle").distinct(), "prefix-lists")
     texts = written(_texts(own, rows.filter("n > 0"), index.select("set").distinct()), "listed-texts")
-    tried, roots, state = None, None, index.withColumn("root", F.col("set"))
+    tried, mains, roots, state = None, None, None, index.withColumn("root", F.col("set"))
     for turn in range(len(LEADERS) + 1):
         mixed = state.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
         state = state.join(mixed, "shingle")
@@ -303,8 +368,7 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
                      .filter((F.col("n") * 100 >= F.col("lead_n") * percent) & (F.col("lead_n") * 100 >= F.col("n") * percent))
                      .select(F.col("set").alias("a"), F.col("lead").alias("b")).distinct())
         else:
-            state = (state.join(_answers(tried), "set", "left")
-                     .withColumn("leader", F.coalesce("leader", "set")).withColumn("apart", F.coalesce("apart", F.lit(0.0))))
+            state = state.join(mains.select("set", "leader"), "set", "left").withColumn("leader", F.coalesce("leader", "set"))
             state = written(state, "open-lists")
             long = state.groupBy("shingle").count().filter(F.col("count") > BLOCK).select("shingle")
             pairs = (_short_lists(state.join(long, "shingle", "left_anti"), percent)
@@ -312,6 +376,13 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
         found = written(_overlap(_untried(pairs, tried), texts, k, percent), "answers")
         tried = found if tried is None else tried.union(found)
         links = found.filter("linked").select("a", "b")
+        if turn == 0:
+            mains = written(_mains(found), "main-leaders")
+        if turn == len(LEADERS) - 1:  # before the blocks: whatever follows from differences
+            now = links if roots is None else links.union(roots.filter("set <> root").select("set", "root"))
+            roots = written(components(now), "roots")
+            own = mains.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+            links = _links_by_difference(own, texts, k, percent)
         if roots is not None:
             links = links.union(roots.filter("set <> root").select("set", "root"))
         roots = written(components(links), "roots")
@@ -328,11 +399,12 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", **how) ->
     """Of each component the row with the smallest doc (nulls last), and every row without a set; same columns."""
     found = written(similar_components(docs, doc=doc, text=text, **how), "similar-components")
     one = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "key")).alias("x"))
-    kept = one.select(F.col("x.key").alias("_key"), F.lit(True).alias("_once")).union(
+    own, key, once, copy = free_names(docs, "own", "key", "once", "copy")
+    kept = one.select(F.col("x.key").alias(key), F.lit(True).alias(once)).union(
         found.filter("root is null").select("key", F.lit(False)).distinct())
-    rows = docs.withColumn("_own", text_key(doc, text)).join(kept, F.col("_own") == F.col("_key"))
-    rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_own").orderBy("_own")))
-    return rows.filter(~F.col("_once") | (F.col("_copy") == 1)).select(*docs.columns)
+    rows = docs.withColumn(own, text_key(doc, text)).join(kept, F.col(own) == F.col(key))
+    rows = rows.withColumn(copy, F.row_number().over(Window.partitionBy(own).orderBy(own)))
+    return rows.filter(~F.col(once) | (F.col(copy) == 1)).select(*docs.columns)
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -53,6 +53,19 @@ select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_chil
 from full_node f join share s on s.d = f.d and s.node = f.node left join full_node u on u.d = f.d - 1 and u.node = f.up
 """
 
+OP6 = rf"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 3], ' ') as g, least(len(w), 4) as size
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.size = b.size and a.doc_id < b.doc_id group by all),
+link as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+step as (select a, b from link union select b, a from link),
+reach as (select doc_id as a, doc_id as b from d union select reach.a, step.b from reach join step on step.a = reach.b)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, (select min(b) from reach where reach.a = d.doc_id) as component_id
+from d left join n using (doc_id)
+"""
+
 OP12 = rf"""
 with piece as (select coalesce(lang, 'und') as lang,
                       unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as p from documents),
@@ -73,4 +86,4 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join total using (lang) where rank <= 2000
 """
 
-ORACLE_SQL = {"op10_decontamination": OP10, "op12_collocations": OP12, "op13_prefix_trie": OP13}
+ORACLE_SQL = {"op6_jaccard_join": OP6, "op10_decontamination": OP10, "op12_collocations": OP12, "op13_prefix_trie": OP13}
