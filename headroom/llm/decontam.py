@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headroom.llm.text import ALNUM, Words, bitmap, grams, in_bitmap, lists, slices, table, text_key, words, written
+from headroom.llm.text import ALNUM, Words, bitmap, free_names, grams, in_bitmap, lists, slices, table, text_key, words, written
 
 WINDOW = 10
 KGRAM = 5
@@ -137,9 +137,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """The rows of ``docs`` without a hit, with their columns."""
     doc, text = names.get("doc", "doc_id"), names.get("text", "text")
+    bad_doc, bad_key = free_names(docs, "bad_doc", "bad_key")
     bad = (contamination(docs, benchmark, **names).filter("n_hit > 0")
-           .select(F.col("doc").alias("_bad_doc"), F.col("text_key").alias("_bad_key")).distinct())
-    return docs.join(bad, docs[doc].eqNullSafe(F.col("_bad_doc")) & (text_key(doc, text) == F.col("_bad_key")), "left_anti")
+           .select(F.col("doc").alias(bad_doc), F.col("text_key").alias(bad_key)).distinct())
+    return docs.join(bad, F.col(doc).eqNullSafe(F.col(bad_doc)) & (text_key(doc, text) == F.col(bad_key)), "left_anti")
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from headroom.llm.text import ALNUM, slices, small_sample, sums, table, with_result, words, written
+from headroom.llm.text import ALNUM, free_names, slices, small_sample, sums, table, with_result, words, written
 
 TOPICS = 8
 #: Texts from which the topic centroids are seeded, and the hashed dimensions.
@@ -220,15 +220,17 @@ def mix(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", source: str
     plain = (raked.groupBy("source", "lang").agg((F.sum(F.col("tokens") * F.col("weight")) / F.sum("tokens")).alias("weight"), F.max("scale").alias("scale"))
              .select("source", "lang", F.lit(-1).alias("topic"), "weight", "scale"))
     known = raked.select("source", "lang", "topic", "weight", "scale").union(plain)
-    known = known.select(*[F.col(c).alias(f"_mix_{c}") for c in known.columns])
     out, own = assign_topics(docs, centre, text)
     topic = F.col(f"{own}.topic")
-    joined = out.join(known, (cell[0] == F.col("_mix_source")) & (cell[1] == F.col("_mix_lang")) & (topic == F.col("_mix_topic")), "left")
-    wanted = F.coalesce(F.col("_mix_scale") * F.col("_mix_weight"), F.lit(1.0))
+    free = dict(zip(known.columns, free_names(out, *known.columns), strict=True))
+    known = known.select(*[F.col(c).alias(x) for c, x in free.items()])
+    joined = out.join(known, (cell[0] == F.col(free["source"])) & (cell[1] == F.col(free["lang"])) & (topic == F.col(free["topic"])), "left")
+    weight = F.col(free["weight"])
+    wanted = F.coalesce(F.col(free["scale"]) * weight, F.lit(1.0))
     chance = F.least(F.lit(1.0), wanted)
     draw = F.pmod(key, F.lit(1 << 40)) / float(1 << 40)
     return joined.select(*docs.columns, F.struct(
-        F.col(f"{own}.n_tokens").alias("n_tokens"), topic.alias("topic"), F.col("_mix_weight").alias("weight"), chance.alias("probability"),
+        F.col(f"{own}.n_tokens").alias("n_tokens"), topic.alias("topic"), weight.alias("weight"), chance.alias("probability"),
         (draw < chance).alias("sampled"), F.greatest(F.lit(1.0), wanted).alias("loss_weight")).alias(own)), own
 
 

@@ -153,14 +153,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names like ``wanted`` that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def with_result(docs: DataFrame, text: str, fields: str, score, **kept) -> tuple[DataFrame, str]:
     """``docs`` with all its columns and one struct more, and that struct's (unused) name.
 
     ``score(column, **kept)`` gets a string array and returns an array for each of ``fields``.
     """
-    name = "result"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
+    name, = free_names(docs, "result")
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType.fromDDL(fields))])
     names = T.StructType.fromDDL(fields).names
 

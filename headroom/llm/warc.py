@@ -198,8 +198,8 @@ class WarcReader(DataSourceReader):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]):
         files, root = _files(self.path)
@@ -231,11 +231,20 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages):
         files, root = _files(self.path)
         files.create_dir(root, recursive=True)
+        new = [f for m in messages if m for f in m.files]
+        old = files.get_file_info(pafs.FileSelector(root, recursive=True)) if self.overwrite else []
         with files.open_output_stream(f"{root}/_manifest-{uuid.uuid4().hex}.json", compression=None) as out:
-            out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+            out.write(json.dumps(new).encode())
+        # The new manifest is there before the old ones and then their files go.
+        mine = {name for name, _ in new}
+        for f in sorted((f.path for f in old if f.type == pafs.FileType.File), key=lambda x: "/_manifest-" not in x):
+            if "/_manifest-" in f or (re.search(r"\.warc(\.gz)?$", f) and f.rsplit("/", 1)[-1] not in mine):
+                files.delete_file(f)
 
     def abort(self, messages):
-        pass
+        files, root = _files(self.path)
+        for name, _ in [f for m in messages if m for f in m.files]:
+            files.delete_file(f"{root}/{name}")
 
 
 class WarcSource(DataSource):
@@ -255,7 +264,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self._payload())
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark) -> None:
