@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from headroom.config import LINEAR, SEASONAL, Thresholds
+from headroom.config import LINEAR, SEASONAL, STORAGE_RULE_HORIZONS, Thresholds
 from headroom.operators import export, forecast, narrative, rules, series
 from headroom.operators.cleaning import CLEANERS
 from headroom.operators.quality import broken, observe_quality, raise_on_violations
@@ -22,7 +22,7 @@ from headroom.operators.trends import TREND_BUILDERS
 from headroom.plans.increment import DayStore
 from headroom.session import fresh_path
 from headroom.sources import adapters
-from headroom.sources.files import RAW_FILES, land_recommendations, read_all, write_interim, write_table
+from headroom.sources.files import RAW_FILES, land_recommendations, read_all, write_bucketed, write_interim, write_sorted, write_table
 
 logger = logging.getLogger(__name__)
 
@@ -114,9 +114,9 @@ def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: st
 
 
 def run_export(trends, recs: DataFrame, out_dir: str, log: dict) -> None:
-    """The three dashboard tables as headered CSV."""
-    _, log["utilization_overview"] = write_table(export.utilization_overview(trends),
-                                                 f"{out_dir}/export/utilization_overview", "csv")
+    """The three dashboard tables as headered CSV, the overview by resource and date (``trends`` are written tables)."""
+    _, log["utilization_overview"] = write_sorted(export.utilization_overview(trends), f"{out_dir}/export/utilization_overview",
+                                                  ("resource_type", "resource_id", "date"), "csv")
     _, log["export_recommendations"] = land_recommendations(recs, f"{out_dir}/export/recommendations")
     _, log["risk_summary"] = write_table(export.risk_summary(recs), f"{out_dir}/export/risk_summary", "csv")
 
@@ -158,6 +158,25 @@ def read_export(spark: SparkSession, folder: str, name: str, schema: str) -> Dat
             .csv(f"{folder}/export/{name}"))
 
 
+def recommend_bucketed(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir: str, buckets: int | None = None,
+                       horizons_weeks: Sequence[int] | None = None, model: str = LINEAR) -> dict[str, DataFrame]:
+    """E2/E3 on tables bucketed by resource: series, forecasts and storage rule without an exchange between them.
+
+    Every table is bucketed by (resource_type, resource_id) into as many buckets, sorted by date, so
+    the fits (F2, F6), the peaks (A7), the lookup of the forecasts (J1) and the storage rule (R1)
+    read their resource's rows where they are. Returns the lazy ``forecasts``, ``peaks`` and ``storage`` rows.
+    """
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = write_bucketed(series.prepare_all(trends), f"{out_dir}/bucketed/series", forecast.KEY, n, ("ds",))
+    forecasts = write_bucketed(forecast.forecast_all(s, horizons_weeks), f"{out_dir}/bucketed/forecasts", forecast.KEY, n, ("model", "ds"))
+    latest = s.where((F.col("resource_type") == "storage")).groupBy(*forecast.KEY).agg(F.max_by("y", "ds").alias("current_value"))
+    chosen = forecasts.where((F.col("model") == model) & (F.col("resource_type") == "storage"))
+    peaks = chosen.groupBy(*forecast.KEY).agg(*[F.max(F.when(F.col("horizon_weeks") == h, F.col("yhat"))).alias(f"peak_{h}")
+                                                for h in STORAGE_RULE_HORIZONS])
+    joined = latest.join(peaks, list(forecast.KEY), "left")
+    return {"forecasts": forecasts, "peaks": joined, "storage": rules.rule_storage(joined.drop("resource_type"))}
+
+
 def run_increment(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run: int, grain: str = "day",
                   th: Thresholds = Thresholds(), horizons_weeks: Sequence[int] | None = None, rule_model: str = LINEAR,
                   provider: str = "template_fallback", responses: DataFrame | None = None) -> dict[str, int]:

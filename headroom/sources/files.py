@@ -10,7 +10,8 @@ and report the row count through an ``Observation`` filled by the same job.
 from __future__ import annotations
 
 import logging
-from typing import Callable, Mapping
+import uuid
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -114,12 +115,12 @@ def read_all(spark: SparkSession, raw_dir: str, fmt: str = "csv", on_violation:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, label: str | None = None) -> tuple[str, int]:
+                partition_by: list[str] | None = None, label: str | None = None, rows_per_file: int = 0) -> tuple[str, int]:
     """Write ``df`` and return (path, rows) from an Observation of the same job; logs
     ``[SAVED] <label>: <rows> rows -> <path>``."""
     obs = Observation(f"rows_{abs(hash(path))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode)
+    w = observed.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
@@ -131,6 +132,33 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path, rows
 
 
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", files: int | None = None,
+                 rows_per_file: int = 0, label: str | None = None) -> tuple[str, int]:
+    """L1 at a sink: S5 in the order of ``keys`` (id, then time), as sorted files whose ranges don't overlap.
+
+    Range bounds over all keys split a hot id by its time, so files stay of one size; a reader's
+    filter on an id finds its row groups by their statistics. The bounds are drawn from a sample of
+    ``df``, which Spark computes for that: give a written table, not a plan that is dear to run twice.
+    ``files`` fixes their number (default: AQE's, from the size), ``rows_per_file`` bounds it (0: no bound).
+    """
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    placed = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    return write_table(placed.sortWithinPartitions(*order), path, fmt, label=label, rows_per_file=rows_per_file)
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, order: Sequence[str] = ()) -> DataFrame:
+    """``df`` written in buckets of ``keys``, sorted within, and read again as a table.
+
+    Tables with the same keys and number of buckets join and group by resource without an exchange.
+    Bucketing is known to the session's catalog only, so the table gets a name of its own there;
+    the files at ``path`` are plain parquet for any other reader.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    w = df.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, *keys)
+    w.sortBy(*keys, *order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_interim(datasets: Mapping[str, DataFrame], interim_dir: str) -> dict[str, tuple[str, int]]:
     """S3: each ingested table as ``<name>_ingested`` (parquet)."""
     return {name: write_table(df, f"{interim_dir}/{name}_ingested") for name, df in datasets.items()}
