@@ -37,9 +37,25 @@ def resource_counts(series: DataFrame) -> DataFrame:
     return series.groupBy("resource_type").agg(F.count_distinct("resource_id").alias("n_resources"))
 
 
-def time_spine(start: Column | str, periods: int, freq: str = "day") -> Column:
-    """array of ``periods`` regular points from ``start`` (freq "day" on dates, "hour" on timestamps)."""
+def missing_days(series: DataFrame) -> DataFrame:
+    """The days without a row between each resource's first and last: (resource_type, resource_id, ds).
+
+    The regular days (F4) of each resource, without those it has; t doesn't advance over them.
+    """
+    key = ["resource_type", "resource_id"]
+    ends = series.groupBy(*key).agg(F.min("ds").alias("low"), F.max("ds").alias("high"))
+    spine = time_spine("low", F.datediff("high", "low") + 1)
+    return ends.select(*key, F.explode(spine).alias("ds")).join(series.select(*key, "ds"), [*key, "ds"], "left_anti")
+
+
+def time_spine(start: Column | str, periods: int | Column, freq: str = "day") -> Column:
+    """array of ``periods`` regular points from ``start`` (freq "day" on dates, "hour" on timestamps);
+    a column of periods (days only) must be positive."""
     s = F.col(start) if isinstance(start, str) else start
+    if isinstance(periods, Column):
+        if freq != "day":
+            raise ValueError("a column of periods needs freq 'day'")
+        return F.sequence(s.cast("date"), F.date_add(s.cast("date"), periods - 1), F.expr("interval 1 day"))
     if periods <= 0:
         return F.array().cast("array<date>" if freq == "day" else "array<timestamp_ntz>")
     if freq == "day":

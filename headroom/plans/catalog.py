@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headroom.config import CRITICAL, WARNING
+from headroom.config import CRITICAL, WARNING, ForecastParams
 from headroom.functions.numeric import round_to
 from headroom.operators import cleaning, export, forecast, narrative, rules, series, trends
 from headroom.schemas import COMPUTE, KINDS, NETWORK, STORAGE
@@ -141,6 +141,19 @@ def q_seasonal_forecast(spark, sf_dir):
     return _forecast_cols(forecast.forecast_seasonal(series_table(spark, sf_dir)))
 
 
+# Series with fewer present values get the linear stand-in.
+FALLBACK_MIN_POINTS = 300
+
+
+def q_seasonal_fallback(spark, sf_dir):
+    params = ForecastParams(seasonal_min_points=FALLBACK_MIN_POINTS)
+    return _forecast_cols(forecast.forecast_seasonal(series_table(spark, sf_dir), params=params))
+
+
+def q_missing_days(spark, sf_dir):
+    return series.missing_days(series_table(spark, sf_dir))
+
+
 def q_forecast_all(spark, sf_dir):
     return _forecast_cols(forecast.forecast_all(series_table(spark, sf_dir)))
 
@@ -340,6 +353,8 @@ QUERIES: dict[str, Query] = {
     "linear_forecast": q_linear_forecast,
     "seasonal_forecast": q_seasonal_forecast,
     "prophet_forecast": q_prophet_forecast,
+    "seasonal_fallback": q_seasonal_fallback,
+    "missing_days": q_missing_days,
     "forecast_all": q_forecast_all,
     "forecast_status": q_forecast_status,
     "forecast_status_series": q_forecast_status_series,

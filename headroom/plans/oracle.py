@@ -6,7 +6,7 @@ Tables ``events lineitem orders customer`` are views over the benchmark parquet
 
 from __future__ import annotations
 
-from headroom.plans.catalog import QUERIES
+from headroom.plans.catalog import FALLBACK_MIN_POINTS, QUERIES
 from headroom.operators.narrative import ACTION_SENTENCE, HORIZON_PHRASE, NO_ACTION_SENTENCE, PROMPT_TEMPLATE
 
 
@@ -512,6 +512,17 @@ err AS (SELECT f.resource_type, f.resource_id, f.model, avg(abs(f.yhat - h.y)) A
                            + ", ".join(f"{r6(clip(c, '0.0', '100.0'))} AS {c}" for c in KIND["compute"][1])
                            + " FROM raw_compute WHERE cpu_utilization_pct IS NOT NULL AND "
                              "memory_utilization_pct IS NOT NULL")
+    q["seasonal_fallback"] = (
+        f"WITH season AS ({q['seasonal_forecast']}), line AS ({q['linear_forecast']}), points AS ({q['series_index']}), "
+        "sizes AS (SELECT resource_type, resource_id, count(*) AS n, count(y) AS n_y FROM points GROUP BY ALL) "
+        f"SELECT season.* FROM season JOIN sizes USING (resource_type, resource_id) WHERE n_y >= {FALLBACK_MIN_POINTS} UNION ALL "
+        f"SELECT line.* REPLACE ('seasonal' AS model) FROM line JOIN sizes USING (resource_type, resource_id) "
+        f"WHERE n_y < {FALLBACK_MIN_POINTS} AND n_y = n")
+    q["missing_days"] = (
+        f"WITH points AS ({q['series_index']}), ends AS (SELECT resource_type, resource_id, min(ds) AS low, max(ds) AS high "
+        "FROM points GROUP BY ALL), spine AS (SELECT resource_type, resource_id, "
+        "CAST(unnest(generate_series(low::TIMESTAMP, high::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS ds FROM ends) "
+        "SELECT * FROM spine ANTI JOIN points USING (resource_type, resource_id, ds)")
     # The same tables by another way: increments and streams.
     q["stream_daily_all"] = q["daily_compute"]
     q["stream_trends_compute"] = q["trends_compute"]

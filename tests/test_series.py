@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,3 +42,12 @@ def test_time_spine(spark):
     hours = df.select(F.explode(time_spine(F.col("s").cast("timestamp_ntz"), 3, "hour")).alias("x")).collect()
     assert [r.x.hour for r in hours] == [0, 1, 2]
     assert df.select(F.size(time_spine("s", 0)).alias("n")).first().n == 0
+
+
+def test_missing_days(spark):
+    from headroom.operators.series import missing_days, time_spine
+    rows = [("compute", "a", d(0), 1.0, 0), ("compute", "a", d(3), 1.0, 1), ("compute", "a", d(4), None, 2), ("compute", "b", d(9), 1.0, 0)]
+    s = spark.createDataFrame(rows, "resource_type string, resource_id string, ds date, y double, t long")
+    assert sorted(map(tuple, missing_days(s).collect())) == [("compute", "a", d(1)), ("compute", "a", d(2))]
+    with pytest.raises(ValueError):
+        time_spine("ds", F.lit(3), "hour")
