@@ -47,6 +47,9 @@ BLOCK = 256
 LARGE = 64
 #: Width of a size band.
 BAND = 1.04
+#: A leader's members up to this Jaccard distance are settled by differences, where more than so many of them are
+#: outside its largest component; all others meet in the blocks, at most OUTSIDERS pairs a member.
+CLOSE, OUTSIDERS = 0.5, 32
 #: Bands of a leader's members by how far they are from linking with it.
 GAPS = 8
 
@@ -269,13 +272,21 @@ def _open_pairs(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def _mains(first: DataFrame) -> DataFrame:
-    """``set, leader, n``: each set's main leader, the first by hash of those it was compared with in round one
-    or is itself; sets that share a list mostly share it."""
-    leaders = first.groupBy(F.col("b").alias("set")).agg(F.max("n_b").alias("n")).select(
-        "set", F.col("set").alias("leader"), "n")
-    each = first.select(F.col("a").alias("set"), F.col("b").alias("leader"), F.col("n_a").alias("n")).union(leaders)
-    best = F.min_by(F.struct("leader", "n"), F.struct(F.xxhash64(F.lit(0), F.lit(0), "leader"), "leader"))
-    return each.groupBy("set").agg(best.alias("x")).select("set", "x.leader", "x.n")
+    """``set, leader, n, apart``: each set's main leader, the first by hash of those it was compared with in round
+    one or is itself, and the Jaccard distance; sets that share a list mostly share it."""
+    leaders = first.groupBy(F.col("b").alias("set")).agg(F.max("n_b").alias("n")).select("set", F.col("set").alias("leader"), "n", F.lit(0.0).alias("apart"))
+    apart = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+    each = first.select(F.col("a").alias("set"), F.col("b").alias("leader"), F.col("n_a").alias("n"), apart.alias("apart")).union(leaders)
+    best = F.min_by(F.struct("leader", "n", "apart"), F.struct(F.xxhash64(F.lit(0), F.lit(0), "leader"), "leader"))
+    return each.groupBy("set").agg(best.alias("x")).select("set", "x.leader", "x.n", "x.apart")
+
+
+def _settled(mains: DataFrame, roots: DataFrame) -> DataFrame:
+    """``set, leader, n, root`` of the close members of leaders that leave many of them in other components."""
+    close = (mains.filter(F.col("apart") <= CLOSE).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+             .select("set", "leader", "n", "root"))
+    sizes = close.groupBy("leader", "root").agg(F.count("*").alias("size")).groupBy("leader").agg((F.sum("size") - F.max("size")).alias("outside"))
+    return close.join(sizes.filter(F.col("outside") > OUTSIDERS).select("leader"), "leader").select("set", "leader", "n", "root")
 
 
 def _differences(sets: DataFrame, texts: DataFrame, k: int) -> DataFrame:
@@ -307,8 +318,6 @@ def _links_by_difference(sets: DataFrame, texts: DataFrame, k: int, percent: int
     are at most 2 q times the number of common difference elements.
     """
     q = 100 + percent
-    mixed = sets.groupBy("leader").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("leader")
-    sets = sets.join(mixed, "leader")
     own = sets.filter("set = leader").select("set", "leader", "n", "root", F.expr("cast(array() as array<bigint>)").alias("delta"))
     found = _differences(sets.filter("set <> leader"), texts, k).union(own)
     found = written(found.withColumn("gap", F.size("delta") * q - F.col("n") * (100 - percent)), "set-differences")
@@ -381,8 +390,8 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
         if turn == len(LEADERS) - 1:  # before the blocks: whatever follows from differences
             now = links if roots is None else links.union(roots.filter("set <> root").select("set", "root"))
             roots = written(components(now), "roots")
-            own = mains.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-            links = _links_by_difference(own, texts, k, percent)
+            mains = written(_settled(mains, roots), "settled-sets")
+            links = _links_by_difference(mains, texts, k, percent)
         if roots is not None:
             links = links.union(roots.filter("set <> root").select("set", "root"))
         roots = written(components(links), "roots")

@@ -24,7 +24,9 @@ def near_copies(seed, n, words, edits):
 
 
 @pytest.mark.parametrize(("k", "percent", "edits"), [(4, 85, [1, 2, 3, 3, 4, 4, 5, 6]), (5, 80, [2, 4, 5, 6, 7, 9])])
-def test_a_large_group_on_both_sides_of_the_limit(spark, k, percent, edits):
+def test_a_large_group_on_both_sides_of_the_limit(spark, monkeypatch, k, percent, edits):
+    calls, real = [], setjoin._links_by_difference
+    monkeypatch.setattr(setjoin, "_links_by_difference", lambda sets, *rest: calls.append(sets.count()) or real(sets, *rest))
     rows = near_copies(3, 400, 120, edits)
     # A second family of edits that members share, so that differences have common parts.
     rng = random.Random(4)
@@ -36,6 +38,7 @@ def test_a_large_group_on_both_sides_of_the_limit(spark, k, percent, edits):
     found = sorted((repr(r.doc), r.n_shingles, repr(r.component)) for r in got.collect())
     want = brute_components(rows, k, percent)
     assert found == want
+    assert calls[0] > 100
     sizes = Counter(c for _, _, c in want)
     assert len(sizes) > 20 and max(sizes.values()) > 20  # some linked, some not
 
