@@ -51,3 +51,19 @@ def test_missing_days(spark):
     assert sorted(map(tuple, missing_days(s).collect())) == [("compute", "a", d(1)), ("compute", "a", d(2))]
     with pytest.raises(ValueError):
         time_spine("ds", F.lit(3), "hour")
+
+
+def test_missing_days_makes_no_day_that_has_a_row(spark):
+    """Only gaps are made, in the pass that orders the resource: no spine over all its days joined with its rows."""
+    import contextlib
+    import io
+    from headroom.operators.series import missing_days
+    rows = [("compute", "a", d(i), 1.0, i) for i in range(0, 60) if i % 20] + [("storage", "a", d(0), 1.0, 0), ("storage", "a", d(400), 1.0, 1), ("network", "c", d(5), 1.0, 0)]
+    s = spark.createDataFrame(rows, "resource_type string, resource_id string, ds date, y double, t long")
+    out = missing_days(s)
+    want = [("compute", "a", d(i)) for i in (20, 40)] + [("storage", "a", d(i)) for i in range(1, 400)]
+    assert sorted(map(tuple, out.collect())) == want
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain()
+    assert "Join" not in text.getvalue()
