@@ -18,9 +18,10 @@ day on, which is the new day alone on a normal night, and nothing is read from m
 as far back. The log ``runs`` (one row a run) says which tails later late rows have made stale.
 
 A period is a day, or a month or year where a day has few rows (``grain``). Which days a run touches is
-collected (one value a day); everything else stays in Spark. Periods are written with a
+collected (one value a day); everything else stays in Spark. Days are written with a
 ``rebalance`` hint: one larger than the advisory partition size is written by several tasks,
-small ones share a task.
+small ones share a task. Months and years are few, so each task writes its part of each, by id and
+time (which keeps files and later shuffles small), and no row is shuffled for that.
 """
 
 from __future__ import annotations
@@ -42,10 +43,12 @@ from headroom.streaming.landing import row_clean
 HISTORY_ROWS = 30
 
 
-def _overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace the partitions that ``df`` has rows for, and no others."""
-    (df.hint("rebalance", *[F.col(p) for p in partitions]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+def _overwrite_partitions(df: DataFrame, path: str, *partitions: str, order: tuple[str, ...] | None = None) -> None:
+    """Replace the partitions that ``df`` has rows for, and no others. Given an ``order``, each task writes
+    its part of every partition in it, without a shuffle."""
+    placed = df.sortWithinPartitions(*partitions, *order) if order else df.hint("rebalance", *[F.col(p) for p in partitions])
+    (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy(*partitions).parquet(path))
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -55,7 +58,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).where(F.lit(False))  # so that the optimizer knows that it is empty
 
 
 @dataclass(frozen=True)
@@ -112,16 +115,22 @@ class DayStore:
     def _period(self, column: str) -> Column:
         return F.col(column) if self.grain == "day" else F.trunc(column, self.grain)
 
+    def _order(self, time: str) -> tuple[str, ...] | None:
+        """The order of rows within a period that each task writes its own part of; none for days, which are gathered."""
+        return None if self.grain == "day" else (self.kind.id_col, time)
+
     def cleaned(self) -> DataFrame:
         """All cleaned rows (C7-C9 over every run)."""
         return row_clean(self.first().select(*self.kind.columns), self.kind)
 
     def daily(self, after: dt.date | None = None) -> DataFrame:
         """A1: daily means, from the rollups after a day only if one is given."""
-        k, r = self.kind, self.rollups()
-        if after is not None:
-            r = r.where((F.col("period") >= F.lit(self.period(after))) & (F.col("date") > F.lit(after)))
-        return rollup_means(merge_rollups(r, k.id_col, k.daily_cols), k.id_col, k.daily_cols)
+        k = self.kind
+        return rollup_means(merge_rollups(self._rollups_after(after), k.id_col, k.daily_cols), k.id_col, k.daily_cols)
+
+    def _rollups_after(self, after: dt.date | None) -> DataFrame:
+        r = self.rollups()
+        return r if after is None else r.where((F.col("period") >= F.lit(self.period(after))) & (F.col("date") > F.lit(after)))
 
     # ---- one run ----
     def add(self, raw: DataFrame, run: int, order_col: str = SEQ) -> Touched:
@@ -138,9 +147,9 @@ class DayStore:
         touched = Touched(days, tuple(sorted({self.period(d) for d in days})), None in found)
         if not found:
             return touched
-        _overwrite_partitions(self.new_rows(own, touched, run), f"{self.path}/first", "period", "run")
+        _overwrite_partitions(self.new_rows(own, touched, run), f"{self.path}/first", "period", "run", order=self._order("timestamp"))
         if touched.days:
-            _overwrite_partitions(self.own_rollup(touched, run), f"{self.path}/rollup", "period", "run")
+            _overwrite_partitions(self.own_rollup(touched, run), f"{self.path}/rollup", "period", "run", order=self._order("date"))
             # A partition is written whole: the trends start with the first touched period.
             tail_days = self._rebuild(touched.periods[0], run)
             log = [(touched.days[0], touched.days[-1], tail_days, run)]
@@ -169,16 +178,24 @@ class DayStore:
                 if day < before and not any(x["run"] > r["run"] and x["min_day"] <= day for x in log)]
         return max(good, default=None)
 
-    def history(self, first_day: dt.date, run: int) -> DataFrame:
-        """What the trends from ``first_day`` on are made of: id, date, daily columns (missing but for the target in the tail)."""
-        k, base = self.kind, self._newest_tails(first_day, run)
-        after = None if base is None else base[0]
-        daily = self.daily(after)
+    def _parts(self, base: tuple[dt.date, int] | None) -> DataFrame:
+        """The rollups after the tails ``base`` and these tails as rollups of one value a day; all rollups without tails."""
+        k = self.kind
+        rollups = self._rollups_after(None if base is None else base[0]).select([f.name for f in self._rollup.fields[:-2]])
         if base is None:
-            return daily
-        tails = (_read(self.spark, f"{self.path}/tails", self._tails)
-                 .where((F.col("as_of") == F.lit(base[0])) & (F.col("run") == base[1])).select(k.id_col, "date", k.target))
-        return tails.unionByName(daily, allowMissingColumns=True)
+            return rollups
+        tails = _read(self.spark, f"{self.path}/tails", self._tails).where((F.col("as_of") == F.lit(base[0])) & (F.col("run") == base[1]))
+        value = F.col(k.target)
+        return rollups.unionByName(tails.select(k.id_col, "date", value.alias(f"{k.target}_sum"), value.isNotNull().cast("long").alias(f"{k.target}_count")),
+                                   allowMissingColumns=True)
+
+    def history(self, first_day: dt.date, run: int) -> DataFrame:
+        """What the trends from ``first_day`` on are made of: id, date, daily columns (missing but for the target in the tail).
+
+        Dealt by the resource, so that the days merge and the indicators look back on them in one exchange."""
+        k = self.kind
+        parts = self._parts(self._newest_tails(first_day, run)).repartition(k.id_col)
+        return rollup_means(merge_rollups(parts, k.id_col, k.daily_cols), k.id_col, k.daily_cols)
 
     def _rebuild(self, first_day: dt.date, run: int) -> list[dt.date]:
         """Trends from ``first_day`` on, and tails after the newest day and some days before it; returns those days."""
@@ -186,9 +203,9 @@ class DayStore:
         history = self.history(first_day, run)
         trends = add_trend_indicators(history, k.id_col, k.target, fill=self.fill).where(F.col("date") >= F.lit(first_day))
         _overwrite_partitions(trends.withColumn("period", self._period("date")).select([f.name for f in self._trends]),
-                              f"{self.path}/trends", "period")
+                              f"{self.path}/trends", "period", order=self._order("date"))
         base = self._newest_tails(first_day, run)
-        ends = history.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+        ends = self._parts(base).agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
         if ends["high"] is None:  # no row of any day was left by cleaning
             return []
         low, days = ends["low"] if base is None else base[0], []
@@ -196,18 +213,23 @@ class DayStore:
             days.append(ends["high"] - dt.timedelta(days=2 ** len(days) - 1))
         days = [d for d in days if d >= low]
         _overwrite_partitions(self.tails(history, days).withColumn("run", F.lit(run).cast("long")).select([f.name for f in self._tails]),
-                              f"{self.path}/tails", "as_of", "run")
+                              f"{self.path}/tails", "as_of", "run", order=self._order("date"))
         return days
 
     def tails(self, history: DataFrame, days: list[dt.date]) -> DataFrame:
-        """After each of some days and per resource, the last 30 daily rows and the last present value, if it is older."""
+        """After each of some days and per resource, the last 30 daily rows and the last present value, if it is older.
+
+        One pass over the history: a row is in the tail of each day from its own on until 30 rows
+        have followed it, and while no present value has, if its own is one."""
         k = self.kind
-        latest = Window.partitionBy("as_of", k.id_col).orderBy(F.col("date").desc())
-        later = F.coalesce(F.sum(F.col(k.target).isNotNull().cast("int")).over(latest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return (history.select(k.id_col, "date", k.target, F.explode(F.array(*[F.lit(d) for d in days])).alias("as_of"))
-                .where(F.col("date") <= F.col("as_of"))
-                .withColumns({"_place": F.row_number().over(latest), "_later": later})
-                .where((F.col("_place") <= HISTORY_ROWS) | (F.col(k.target).isNotNull() & (F.col("_later") == 0)))
+        latest = Window.partitionBy(k.id_col).orderBy(F.col("date").desc())
+        present = F.when(F.col(k.target).isNotNull(), F.col("date"))
+        rows = history.select(k.id_col, "date", k.target).withColumns({
+            "_out": F.lag("date", HISTORY_ROWS).over(latest),
+            "_next": F.last(present, ignorenulls=True).over(latest.rowsBetween(Window.unboundedPreceding, -1))})
+        later = lambda c, d: F.col(c).isNull() | (F.col(c) > d)
+        holds = lambda d: (F.col("date") <= d) & (later("_out", d) | (F.col(k.target).isNotNull() & later("_next", d)))
+        return (rows.withColumn("as_of", F.explode(F.filter(F.array(*[F.lit(d) for d in days]), holds)))
                 .select(k.id_col, "date", k.target, "as_of"))
 
 

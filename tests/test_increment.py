@@ -141,3 +141,31 @@ def test_rollups_of_disjoint_rows_merge(spark):
         merged = merge_rollups(parts[0].unionByName(parts[1]), kind.id_col, kind.daily_cols)
         merged = merge_rollups(merged.unionByName(parts[2]), kind.id_col, kind.daily_cols)
         same(rollup_means(merged, kind.id_col, kind.daily_cols), aggregate_daily(df, kind.id_col, kind.daily_cols), [kind.id_col, "date"])
+
+
+def test_tails_of_many_days_are_one_pass(spark):
+    """Each day's tail by a plain loop, and no row is copied per day before the resource's rows are together."""
+    history = spark.createDataFrame(
+        [(who, (T0 + dt.timedelta(days=d)).date(), None if d % hole else float(d)) for who, hole in (("a", 1), ("b", 7), ("c", 45)) for d in range(0, 90, 2 if who == "b" else 1)],
+        "cluster_id string, date date, cluster_utilization_pct double")
+    days = [(T0 + dt.timedelta(days=d)).date() for d in (89, 88, 60, 29, 3)]
+    rows = [tuple(r) for r in history.collect()]
+    want = set()
+    for day in days:
+        for who in "abc":
+            own = sorted((r for r in rows if r[0] == who and r[1] <= day), key=lambda r: r[1])
+            want |= {(*r, day) for r in own[-30:] + [r for r in own if r[2] is not None][-1:]}
+    got = DayStore(spark, fresh_path(spark, "days"), "compute").tails(history, days)
+    text = plan(got)
+    assert text.index("Generate") < text.index("Window") < text.index("Exchange")  # the days come last
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("grain", ["month", "year"])
+def test_few_periods_are_written_without_a_shuffle(spark, grain, monkeypatch):
+    store, hinted = DayStore(spark, fresh_path(spark, "days"), "compute", grain=grain), []
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda self, *a: hinted.append(a) or self)
+    store.add(frame(spark, compute_rows(1, range(0, 40))), 0)
+    store.add(frame(spark, compute_rows(2, range(38, 42))), 1)
+    assert len(hinted) == 2  # the log of runs alone
+    check(spark, store, [compute_rows(1, range(0, 40)), compute_rows(2, range(38, 42))])
