@@ -44,6 +44,8 @@ LAMBDA = 0.95
 SMOOTH = 20.0
 #: Words that a task holds before it passes their counts on.
 HELD = 200_000
+#: Bytes of text that a task splits into word objects at once.
+SLICE = 1 << 18
 #: The end token; no word is empty.
 END = b""
 
@@ -57,7 +59,7 @@ def tokens(text: str | None) -> list[bytes]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             for text in part.column("text").to_pylist():
                 yield tokens(text)
 
@@ -96,7 +98,7 @@ def encode(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, rest = shared.value.get, len(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 codes, rare = [], []
                 for text in part.column("text").to_pylist():
                     own = tokens(text)
@@ -390,7 +392,7 @@ def score(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str = "te
         base = np.append((counts + 1) / below, 1.0)
         emission = np.append(counts / np.maximum(1, class_tokens[classes[:-1]]), 0.0)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = [tokens(t) for t in part.column("text").to_pylist()]
                 ids = [np.array([find(w, rest) for w in own]) for own in texts]
                 n = np.array([len(x) for x in ids])
