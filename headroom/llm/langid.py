@@ -34,6 +34,8 @@ CALIBRATION_ROWS = 10_000
 #: A lead over the second codeword, in mean weighted loss, under which a text is ambiguous.
 NARROW = 0.1
 UNKNOWN = "und"
+#: Bytes of text looked at together: each makes three n-grams with a weight a code bit, some 300 bytes in all.
+SLICE = 1 << 18
 
 _TEXTS = -1
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -74,7 +76,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
         seen: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 langs = part.column("lang").to_pylist()
                 for name in dict.fromkeys(langs):
                     own = part.filter(pc.equal(part.column("lang"), name))
@@ -132,7 +134,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     known = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(gram_weight)
     seen, name = with_result(small_sample(known, CALIBRATION_ROWS, int(texts.sum()), "calibration", "lang", "text"), "text",
-                             "m array<float>", lambda column: [list(_margins(column, shared.value))])
+                             "m array<float>", lambda column: [list(_margins(column, shared.value))], SLICE)
     bits = seen.select("lang", F.posexplode(f"{name}.m").alias("bit", "m"))
     size, right = np.ones(code.shape[1]), np.ones_like(code)
     own = (bits.groupBy("lang", "bit").agg(F.avg(F.abs("m")).alias("size"), F.avg((F.col("m") > 0).cast("double")).alias("up"),
@@ -168,7 +170,7 @@ def _predict(column: pa.Array, shared) -> list:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with a struct of lang_pred, score and ambiguous, and that struct's name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return with_result(docs, text, "lang_pred string, score double, ambiguous boolean", lambda column: _predict(column, shared))
+    return with_result(docs, text, "lang_pred string, score double, ambiguous boolean", lambda column: _predict(column, shared), SLICE)
 
 
 def held_out(doc: str = "doc_id") -> Column:
