@@ -199,10 +199,17 @@ def _overlap(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return both.mapInArrow(scan, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint, linked boolean")
 
 
+def _unsettled(pairs: DataFrame) -> DataFrame:
+    """Sets that keep the distinct ``pairs`` (a, b) from being stars: with two centres, or a centre and member at once."""
+    ends = pairs.select(F.col("a").alias("set"), F.lit(1).alias("member"), F.lit(0).alias("centre")).union(
+        pairs.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("set").agg(F.sum("member").alias("member"), F.max("centre").alias("centre")).filter("member + centre > 1")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``set, root`` of every end of ``edges`` (a, b): the smallest set it is connected with.
 
-    Alternating large-star and small-star steps, each written to the shared folder.
+    Alternating large-star and small-star steps, each written to the shared folder, until only stars are left.
     """
     pairs = written(edges.select("a", "b"), "edges")
     while True:
@@ -213,9 +220,8 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(low, large.a == low.u)
         small = joined.select("a", F.col("m").alias("b")).union(joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         after = written(small, "stars")
-        changed = after.join(pairs, ["a", "b"], "left_anti").limit(1).count() or pairs.join(after, ["a", "b"], "left_anti").limit(1).count()
         pairs = after
-        if not changed:
+        if not _unsettled(pairs).limit(1).count():
             roots = pairs.select(F.col("b").alias("set")).distinct()
             return pairs.select(F.col("a").alias("set"), F.col("b").alias("root")).union(roots.select("set", F.col("set").alias("root")))
 
