@@ -2,17 +2,20 @@
 
 Every stage boundary is a written table in the job folder (parquet), re-read by the next
 stage: lineage stays short, a lost executor only recomputes from the last written table,
-and the large raw input is scanned once.
+and the large raw input is scanned once. Stages that don't read each other's tables are submitted
+together, so the last tasks of one don't leave the cluster idle.
 """
 
 from __future__ import annotations
 
 import logging
-from typing import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any, Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.util import inheritable_thread_target
 
 from headroom.config import LINEAR, SEASONAL, STORAGE_RULE_HORIZONS, Thresholds
 from headroom.operators import export, forecast, narrative, rules, series
@@ -67,13 +70,30 @@ def _persist(spark: SparkSession, df: DataFrame, path: str, log: dict, resume: b
     return spark.read.parquet(p)
 
 
+def _together(spark: SparkSession, log: dict, *steps: Callable[[dict], Any]) -> list:
+    """Run ``steps`` at once, each with a log of its own, and return their results in order.
+
+    All of them end before this returns or the first failure is raised; their logs join ``log`` in
+    the order of the steps, however they ended."""
+    logs: list[dict] = [{} for _ in steps]
+    wrap = inheritable_thread_target(spark)  # job group, pool and the like hold in the threads too
+    with ThreadPoolExecutor(len(steps)) as pool:
+        runs = [pool.submit(wrap(step), own) for step, own in zip(steps, logs, strict=True)]
+    for own in logs:
+        log.update(own)
+    return [run.result() for run in runs]
+
+
 def run_clean_and_trend(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, log: dict,
                         resume: bool = False):
     """Cleaned and trend tables for the three kinds, each written and re-read."""
-    cleaned = {k: _persist(spark, CLEANERS[k](df), f"{out_dir}/processed/{k}_cleaned", log, resume)
-               for k, df in raw.items()}
-    return {k: _persist(spark, TREND_BUILDERS[k](df), f"{out_dir}/processed/{k}_trends", log, resume)
-            for k, df in cleaned.items()}
+    def of(k: str) -> Callable[[dict], DataFrame]:
+        def step(own: dict) -> DataFrame:
+            cleaned = _persist(spark, CLEANERS[k](raw[k]), f"{out_dir}/processed/{k}_cleaned", own, resume)
+            return _persist(spark, TREND_BUILDERS[k](cleaned), f"{out_dir}/processed/{k}_trends", own, resume)
+        return step
+
+    return dict(zip(raw, _together(spark, log, *map(of, raw)), strict=True))
 
 
 JOB_MODELS = (LINEAR, SEASONAL)
@@ -88,12 +108,19 @@ def run_forecast(spark: SparkSession, trends: Mapping[str, DataFrame], out_dir:
                  models: Sequence[str] = JOB_MODELS) -> DataFrame:
     """One long series table -> every model slot for every resource -> written forecasts."""
     s = _persist(spark, series.prepare_all(trends), f"{out_dir}/processed/series", log, resume)
-    for r in series.resource_counts(s).collect():  # one row per resource type
-        log[f"series_{r.resource_type}"] = r.n_resources
-    logger.info("[FORECASTED] %s", {k: v for k, v in log.items() if k.startswith("series_")})
-    _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", log, resume)
-    return _persist(spark, forecast.forecast_all(s, horizons_weeks, models), f"{out_dir}/processed/forecasts", log,
-                    resume, _forecast_parameters(horizons_weeks, models))
+
+    def count(own: dict) -> None:
+        own.update({f"series_{r.resource_type}": r.n_resources for r in series.resource_counts(s).collect()})  # one row per resource type
+        logger.info("[FORECASTED] %s", own)
+
+    def status(own: dict) -> None:
+        _persist(spark, forecast.forecast_status(s), f"{out_dir}/processed/forecast_status", own, resume)
+
+    def forecasts(own: dict) -> DataFrame:
+        out = forecast.forecast_all(s, horizons_weeks, models, spread=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return _persist(spark, out, f"{out_dir}/processed/forecasts", own, resume, _forecast_parameters(horizons_weeks, models))
+
+    return _together(spark, log, count, status, forecasts)[-1]
 
 
 def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: str, log: dict,
@@ -106,19 +133,55 @@ def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: st
     recs = narrative.narrate(rules.recommend(trends, forecasts, th, rule_model), responses, provider)
     recs = _persist(spark, recs, f"{out_dir}/processed/recommendations", log, resume and responses is None,
                     f"{made_with} {th} rule_model={rule_model} provider={provider} responses={responses is not None}")
-    _, log["recommendations_csv"] = land_recommendations(recs, f"{out_dir}/processed/recommendations_csv")
-    counts = rules.risk_counts(recs).first()  # one row
-    log["critical"], log["warning"] = counts.critical_count, counts.warning_count
-    logger.info("[SUMMARY] %d critical, %d warning recommendation(s)", counts.critical_count, counts.warning_count)
+
+    def land(own: dict) -> None:
+        _, own["recommendations_csv"] = land_recommendations(recs, f"{out_dir}/processed/recommendations_csv")
+
+    def count(own: dict) -> None:
+        counts = rules.risk_counts(recs).first()  # one row
+        own["critical"], own["warning"] = counts.critical_count, counts.warning_count
+        logger.info("[SUMMARY] %d critical, %d warning recommendation(s)", counts.critical_count, counts.warning_count)
+
+    _together(spark, log, land, count)
     return recs
 
 
-def run_export(trends, recs: DataFrame, out_dir: str, log: dict) -> None:
-    """The three dashboard tables as headered CSV, the overview by resource and date (``trends`` are written tables)."""
+def export_overview(trends, out_dir: str, log: dict) -> None:
+    """The overview as headered CSV by resource and date (``trends`` are written tables)."""
     _, log["utilization_overview"] = write_sorted(export.utilization_overview(trends), f"{out_dir}/export/utilization_overview",
                                                   ("resource_type", "resource_id", "date"), "csv")
-    _, log["export_recommendations"] = land_recommendations(recs, f"{out_dir}/export/recommendations")
-    _, log["risk_summary"] = write_table(export.risk_summary(recs), f"{out_dir}/export/risk_summary", "csv")
+
+
+def export_recommendations(recs: DataFrame, out_dir: str, log: dict) -> None:
+    """The recommendations and their risk summary as headered CSV."""
+    def land(own: dict) -> None:
+        _, own["export_recommendations"] = land_recommendations(recs, f"{out_dir}/export/recommendations")
+
+    def risks(own: dict) -> None:
+        _, own["risk_summary"] = write_table(export.risk_summary(recs), f"{out_dir}/export/risk_summary", "csv")
+
+    _together(recs.sparkSession, log, land, risks)
+
+
+def run_export(trends, recs: DataFrame, out_dir: str, log: dict) -> None:
+    """The three dashboard tables as headered CSV."""
+    _together(recs.sparkSession, log, lambda own: export_overview(trends, out_dir, own),
+              lambda own: export_recommendations(recs, out_dir, own))
+
+
+def _run_after_trends(spark: SparkSession, trends, out_dir: str, log: dict, horizons_weeks: Sequence[int] | None, th: Thresholds,
+                      rule_model: str, provider: str, responses: DataFrame | None, resume: bool = False) -> None:
+    """The overview needs the trends alone and is written beside the forecasts."""
+    def overview(own: dict) -> None:
+        export_overview(trends, out_dir, own)
+
+    def forecasts_on(own: dict) -> None:
+        forecasts = run_forecast(spark, trends, out_dir, own, horizons_weeks, resume)
+        recs = run_recommend(spark, trends, forecasts, out_dir, own, th, rule_model, provider, responses, resume,
+                             _forecast_parameters(horizons_weeks))
+        export_recommendations(recs, out_dir, own)
+
+    _together(spark, log, forecasts_on, overview)
 
 
 def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th: Thresholds = Thresholds(),
@@ -131,10 +194,7 @@ def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th:
     horizons, thresholds or models is made again."""
     log: dict[str, int] = {}
     trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
-    forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks, resume)
-    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses, resume,
-                         _forecast_parameters(horizons_weeks))
-    run_export(trends, recs, out_dir, log)
+    _run_after_trends(spark, trends, out_dir, log, horizons_weeks, th, rule_model, provider, responses, resume)
     return log
 
 
@@ -192,10 +252,7 @@ def run_increment(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: st
         if kind in raw:
             log[f"{kind}_days"] = len(store.add(raw[kind], run).days)
         trends[kind] = store.trends()
-    forecasts = run_forecast(spark, trends, out_dir, log, horizons_weeks)
-    recs = run_recommend(spark, trends, forecasts, out_dir, log, th, rule_model, provider, responses,
-                         made_with=_forecast_parameters(horizons_weeks))
-    run_export(trends, recs, out_dir, log)
+    _run_after_trends(spark, trends, out_dir, log, horizons_weeks, th, rule_model, provider, responses)
     return log
 
 

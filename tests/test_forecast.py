@@ -272,3 +272,19 @@ def test_season_fit_adds_no_window_and_no_shuffle(spark):
         return len(re.findall(rf"^\(\d+\) {what}", plan(queries()[name](spark, "/root/testdata/sf0.001")), re.M))
     for what in ("Window", "Exchange", "Sort "):
         assert count("seasonal_forecast", what) == count("series_index", what), what
+
+
+def test_forecast_all_fits_each_resource_once_and_status_fits_nothing(spark):
+    from headroom.operators.forecast import forecast_all, forecast_status
+    s = series_df(spark, "r1", [d(k) for k in range(80)], [float(k % 9) for k in range(80)])
+    s = s.unionByName(series_df(spark, "one", [d(0)], [1.0]))
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()))
+
+    assert plan(forecast_all(s)).count("collect_list") == plan(forecast_seasonal(s)).count("collect_list")
+    assert "collect_list" not in plan(forecast_status(s)) and "regr_" not in plan(forecast_status(s))
+    assert rows(forecast_all(s, [4], spread=5)) == rows(forecast_all(s, [4])) and forecast_all(s, [4], spread=5).rdd.getNumPartitions() == 5

@@ -91,3 +91,26 @@ def test_job_from_raw_dir_fails_on_broken_rule_after_one_pass(spark):
         run_from_raw_dir(spark, raw, os.path.join(base, "out"))
     log = run_from_raw_dir(spark, raw, os.path.join(base, "out2"), on_violation="report")
     assert log["compute_cpu_out_of_bounds"] == 1 and log["compute_ingested"] == 1
+
+
+def test_steps_run_together_and_log_in_order(spark):
+    import threading
+
+    import pytest
+    from headroom.plans.capacity_job import _together
+    both = threading.Barrier(2, timeout=60)  # passed only if both steps run at once
+
+    def step(name):
+        def run(own):
+            both.wait()
+            own[name] = spark.range(3).count()
+            if name == "bad":
+                raise ValueError(name)
+            return name
+        return run
+
+    log = {"before": 1}
+    assert _together(spark, log, step("b"), step("a")) == ["b", "a"] and list(log) == ["before", "b", "a"]
+    with pytest.raises(ValueError, match="bad"):
+        _together(spark, log, step("bad"), step("c"))
+    assert log["c"] == 3
