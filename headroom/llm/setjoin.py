@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 
 from headroom.llm.text import SPACED, free_names, grams, likely, lists, mix, slices, table, text_key, words, written
 
+#: Bytes of text that a task splits into shingles at once, and in how many parts it counts a batch's shingles.
+SLICE, PARTS = 1 << 18, 16
 #: Of the shingles seen most, so many are told apart by their count; the rest are ordered by hash alone.
 RANKED = 1 << 20
 #: Leaders with which each list's members are compared, round by round, before the blocks are joined.
@@ -94,6 +96,15 @@ def _prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def _repeated(kept: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The values that ``kept`` holds more than once and how often, a part of their range at a time."""
+    width = (1 << 64) // PARTS
+    for i in range(PARTS):
+        least, most = i * width - (1 << 63), (i + 1) * width - 1 - (1 << 63)
+        value, times = np.unique(np.concatenate([np.empty(0, np.int64), *[x[(x >= least) & (x <= most)] for x in kept]]), return_counts=True)
+        yield value[times > 1], times[times > 1]
+
+
 def _profile(docs: DataFrame, k: int) -> DataFrame:
     """Per row: doc, key, set (its signature) and n; and rows of a shingle and its sets in this batch."""
     kind = docs.schema["doc"].dataType.simpleString()
@@ -102,19 +113,18 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done: set[int] = set()
-            kept = [np.empty(0, np.int64)]
-            for part in slices(batch, "text"):
+            kept: list[np.ndarray] = []
+            for part in slices(batch, "text", SLICE):
                 value, first = shingle_sets(part.column("text"), k)
                 own, n = signatures(value, first), np.diff(first)
                 kept.append(value[np.repeat(_first_seen(own, n, done), n)])
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), part.column("key"), pa.array(own), pa.array(n.astype(np.int64)), none, none], names=names)
-            shingle, times = np.unique(np.concatenate(kept), return_counts=True)
-            shingle, times = shingle[times > 1], times[times > 1]
-            none = pa.nulls(len(shingle), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(shingle), batch.column("doc").type), none, none, none, pa.array(shingle), pa.array(times)], names=names)
+            for shingle, times in _repeated(kept):
+                none = pa.nulls(len(shingle), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(shingle), batch.column("doc").type), none, none, none, pa.array(shingle), pa.array(times)], names=names)
 
     return docs.mapInArrow(scan, f"doc {kind}, key bigint, set bigint, n bigint, shingle bigint, times bigint")
 
@@ -144,7 +154,7 @@ def _index(docs: DataFrame, common: np.ndarray, k: int, percent: int) -> DataFra
         known, rank = shared.value
         for batch in batches:
             done: set[int] = set()
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 value, first = shingle_sets(part.column("text"), k)
                 own, n = signatures(value, first), np.diff(first)
                 new = np.repeat(_first_seen(own, n, done), n)
@@ -180,7 +190,7 @@ def _overlap(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hold = None, np.empty(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "text_a"):
+            for part in slices(batch, "text_a", SLICE):
                 value, first = shingle_sets(part.column("text_a"), k)
                 names = part.column("b").to_numpy()
                 common, size = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
@@ -303,7 +313,7 @@ def _differences(sets: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hold = None, np.empty(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 value, first = shingle_sets(part.column("text"), k)
                 names, delta = part.column("leader").to_numpy(), []
                 for i, name in enumerate(names.tolist()):
@@ -397,10 +407,11 @@ def similar_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
             now = links if roots is None else links.union(roots.filter("set <> root").select("set", "root"))
             roots = written(components(now), "roots")
             mains = written(_settled(mains, roots), "settled-sets")
-            links = _links_by_difference(mains, texts, k, percent)
-        if roots is not None:
-            links = links.union(roots.filter("set <> root").select("set", "root"))
-        roots = written(components(links), "roots")
+            links = links.limit(0) if not mains.limit(1).count() else written(_links_by_difference(mains, texts, k, percent), "links-by-difference")
+        if roots is None:
+            roots = written(components(links), "roots")
+        elif links.limit(1).count():  # without a new link the components stay
+            roots = written(components(links.union(roots.filter("set <> root").select("set", "root"))), "roots")
         state = index.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     by_set = (rows.filter("n > 0").groupBy("set").agg(F.min("doc").alias("least"))
               .join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from headroom.llm import brown, langid, setjoin
@@ -61,3 +62,27 @@ def test_components_of_a_random_graph(spark):
 
 def test_components_of_no_edges(spark):
     assert setjoin.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shingles_are_counted_in_parts():
+    rng = np.random.default_rng(4)
+    kept = [rng.integers(-(1 << 63), 1 << 63, 500), np.array([-(1 << 63), (1 << 63) - 1, 0, -1, 7])]
+    kept += [kept[0][::3].copy(), kept[1].copy(), np.empty(0, np.int64)]
+    value, times = np.unique(np.concatenate(kept), return_counts=True)
+    parts = list(setjoin._repeated(kept))
+    assert len(parts) == setjoin.PARTS and max(len(v) for v, _ in parts) < 60
+    assert dict(zip(value[times > 1].tolist(), times[times > 1].tolist())) == {v: n for vs, ns in parts for v, n in zip(vs.tolist(), ns.tolist())}
+    assert [x.tolist() for x, _ in setjoin._repeated([])] == [[]] * setjoin.PARTS
+
+
+def test_shingles_come_from_small_slices_and_settled_components_are_not_joined_again(spark, monkeypatch):
+    made, real = [], setjoin.written
+    monkeypatch.setattr(setjoin, "written", lambda df, name: made.append(name) or real(df, name))
+    near = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, near), (2, near + " more"), (3, "other words of no other text"), (4, None), (5, near + " more"), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = setjoin.similar_components(docs, k=4, percent=85)
+    assert {r.doc: r.component for r in found.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 6}
+    # with no leader to settle and no link in the blocks: the components of round one, and with those of round two
+    assert made.count("roots") == 2 and "set-differences" not in made
+    assert setjoin.SLICE <= 1 << 18
