@@ -13,7 +13,9 @@ none of them loses a link:
   from L alone, |A ^ B| = |A ^ L| + |B ^ L| - 2 |(A ^ L) & (B ^ L)|. Where the two sizes are small enough
   the sets link without a look (one representative per leader takes all such links); elsewhere they must
   share a minimum of difference elements, so they meet only in an index of the rarest of these, and the
-  common part of two short differences is the exact answer. No text is read for such pairs.
+  common part of two short differences is the exact answer. No text is read for such pairs. Here too, if lists
+  are large, each first compares its members with one only, the closest to L; then only members of different components
+  meet, and only where enough elements are left from the shared one on.
 
 Rarity is the number of sets that hold a shingle, counted over all texts inside each task (a shingle
 alone in its task counts nothing there) and summed; it only orders the prefix, so any count is right.
@@ -45,7 +47,8 @@ LEADERS = (1, 4)
 BITMAP_BITS = 1 << 24
 #: Members of one component and size band in a block.
 BLOCK = 256
-#: Members of one list, component and size band from which they get blocks of their own.
+#: Members of one list, component and size band from which they get blocks of their own; members of a difference
+#: list above which its closest one is compared first.
 LARGE = 64
 #: Width of a size band.
 BAND = 1.04
@@ -352,16 +355,41 @@ def _links_by_difference(sets: DataFrame, texts: DataFrame, k: int, percent: int
     least = F.greatest(F.lit(1), F.ceil((F.col("gap") + F.col("low") + F.col("partner") * F.col("width")) / (2 * q)))
     met = (ranked.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(GAPS)))).withColumn("least", least)
            .withColumn("take", F.size("shared") - F.col("least") + 1).filter("take > 0")
-           .select("leader", "set", "root", "band", F.least("band", "partner").alias("lower"), F.greatest("band", "partner").alias("upper"),
-                   F.explode(F.slice(F.transform("shared", lambda x: x["element"]), F.lit(1), F.col("take").cast("int"))).alias("element")))
-    x, y = (met.select("leader", "lower", "upper", "element", *[F.col(c).alias(f"{c}_{side}") for c in ("set", "root", "band")]) for side in "ab")
-    pairs = (x.filter("band_a = lower").join(y.filter("band_b = upper"), ["leader", "lower", "upper", "element"])
-             .filter("root_a <> root_b and (lower < upper or set_a < set_b)").select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct())
+           .select("leader", "set", "gap", "root", "band", "partner", F.size("shared").alias("d"),
+                   F.posexplode(F.slice(F.transform("shared", lambda x: x["element"]), F.lit(1), F.col("take").cast("int"))).alias("at", "element"))
+           .select("leader", "set", "gap", "root", "band", "partner", "element", (F.col("d") - F.col("at")).alias("rest")))
+    met = written(met, "difference-lists")
     side = found.select("set", "gap", "delta")
+    close, sizes = direct, met.filter("partner = 0").groupBy("leader", "element").count()
+    if sizes.filter(F.col("count") > LARGE).limit(1).count():
+        close = written(direct.union(_linked(_with_closest(met), side, q)), "links-with-closest")
+        roots = components(close.union(sets.filter("set <> root").select("set", "root")))
+        met = met.join(roots.select("set", F.col("root").alias("now")), "set", "left").withColumn("root", F.coalesce("now", "root"))
+    return close.union(_linked(_open_meetings(met, q), side, q))
+
+
+def _with_closest(met: DataFrame) -> DataFrame:
+    """``a, b``: each difference list's members with the one closest to the leader, where components differ."""
+    every = met.filter("partner = 0")  # the longest prefixes hold all others
+    first = every.groupBy("leader", "element").agg(F.min(F.struct("gap", "set", "root")).alias("x"))
+    first = first.select("leader", "element", F.col("x.set").alias("b"), F.col("x.root").alias("root_b"))
+    return every.join(first, ["leader", "element"]).filter("root <> root_b").select(F.col("set").alias("a"), "b").distinct()
+
+
+def _open_meetings(met: DataFrame, q: int) -> DataFrame:
+    """``a, b`` of different components that share an entry and can still have enough elements in common from there on."""
+    both = met.select("leader", F.least("band", "partner").alias("lower"), F.greatest("band", "partner").alias("upper"), "element", "set", "root", "band", "gap", "rest")
+    x, y = (both.select("leader", "lower", "upper", "element", *[F.col(c).alias(f"{c}_{side}") for c in ("set", "root", "band", "gap", "rest")]) for side in "ab")
+    return (x.filter("band_a = lower").join(y.filter("band_b = upper"), ["leader", "lower", "upper", "element"])
+            .filter(f"root_a <> root_b and (lower < upper or set_a < set_b) and gap_a + gap_b <= {2 * q} * least(rest_a, rest_b)")
+            .select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct())
+
+
+def _linked(pairs: DataFrame, side: DataFrame, q: int) -> DataFrame:
+    """The ``pairs`` (a, b) that link, from the gaps and differences in ``side``."""
     known = (pairs.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("set_a"))
              .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("set_b")))
-    linked = known.filter(F.col("gap_a") + F.col("gap_b") <= 2 * q * F.size(F.array_intersect("delta_a", "delta_b"))).select("a", "b")
-    return direct.union(linked)
+    return known.filter(F.col("gap_a") + F.col("gap_b") <= 2 * q * F.size(F.array_intersect("delta_a", "delta_b"))).select("a", "b")
 
 
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:

@@ -79,3 +79,25 @@ def test_links_by_difference_connect_what_all_pairs_connect(spark, seed):
     delta = {r.set: set(r.delta) for r in setjoin._differences(rows.filter("set <> leader"), shown, k).collect()}
     assert delta == {s: x ^ sets[leader] for s, x in sets.items() if s != leader}
     assert np.array_equal(sorted(sets), sorted(set(names)))
+
+
+def test_members_of_one_component_do_not_meet_again(spark, monkeypatch):
+    """The pairs compared by their differences grow with a group's members, not with their square."""
+    monkeypatch.setattr(setjoin, "LARGE", 8)
+
+    def compared(n):
+        texts = [t for _, t in near_copies(7, n, 120, [1, 2, 3])]
+        value, first = setjoin.shingle_sets(pa.array(texts), 4)
+        names = setjoin.signatures(value, first).tolist()
+        rows = spark.createDataFrame([(s, names[0], int(b - a), s) for s, a, b in zip(names, first[:-1], first[1:], strict=True)], "set long, leader long, n long, root long")
+        shown = spark.createDataFrame(list(zip(names, texts, strict=True)), "set long, text string")
+        pairs, real = [], setjoin._linked
+        monkeypatch.setattr(setjoin, "_linked", lambda p, *rest: pairs.append(p.count()) or real(p, *rest))
+        got = {tuple(r) for r in setjoin._links_by_difference(rows, shown, 4, 85).collect()}
+        monkeypatch.setattr(setjoin, "_linked", real)
+        sets = {s: set(value[a:b].tolist()) for s, a, b in zip(names, first[:-1], first[1:], strict=True)}
+        assert roots(sets, got) == roots(sets, links(sets, 85))
+        return sum(pairs)
+
+    small, large = compared(150), compared(600)
+    assert large < 8 * small and large < 20 * 600
