@@ -194,20 +194,51 @@ def exchange(pairs: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int
 
 
 WIDTH = CLASSES + 2
-#: A word's counts: l0.. of the classes before it, r0.. of those after it (the last: a word without a class yet).
-SIDES = [f"l{i}" for i in range(WIDTH)] + [f"r{i}" for i in range(WIDTH)]
-_SIDES = "word binary, " + ", ".join(f"{c} bigint" for c in SIDES)
+#: A cell of a word's neighbourhood: the slot in the upper 8 bits (a class before the word, or WIDTH + a class after
+#: it; the last class: a word without one), how often in the others.
+COUNT_BITS = 24
+_CELLS = "word binary, own int, cells binary"
 
 
-def _sides(words: list[bytes], n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *[pa.array(n[:, i].astype(np.int64)) for i in range(2 * WIDTH)]], names=["word", *SIDES])
+def _cells(names: list[bytes] | None, word: np.ndarray, slot: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each run of ``word`` (ascending) with its cells; without ``names``, ``word`` is a class (``own``)."""
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    data = ((slot.astype(np.uint32) << COUNT_BITS) | n.astype(np.uint32)).tobytes()
+    ends = np.append(first, len(word)).astype(np.int32) * 4
+    cells = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+    words = pa.array([names[k] for k in word[first].tolist()], pa.binary()) if names else pa.nulls(len(first), pa.binary())
+    own = pa.nulls(len(first), pa.int32()) if names else pa.array(word[first].astype(np.int32))
+    return pa.RecordBatch.from_arrays([words, own, cells], names=["word", "own", "cells"])
 
 
-def contexts(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, vocabulary: DataFrame | None) -> DataFrame:
-    """``word, l0, .., r0, ..``: how often each class stands before and after each word, over all texts.
+def _events(names: list[bytes], word: np.ndarray, slot: np.ndarray) -> pa.RecordBatch:
+    code, n = np.unique(word * (2 * WIDTH) + slot, return_counts=True)
+    return _cells(names, code // (2 * WIDTH), code % (2 * WIDTH), n)
+
+
+def _dense(names: list[bytes] | None, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The cells of a table with a row of slots for each word, 10,000 rows at a time."""
+    for i in range(0, len(total), 10_000):
+        word, slot = np.nonzero(total[i:i + 10_000])
+        if len(word):
+            yield _cells(names, word + i, slot, total[word + i, slot])
+
+
+def _opened(cells: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of an array of cells: each one's row, slot and count."""
+    cells = cells.cast(pa.large_binary())
+    _, offsets, data = cells.buffers()
+    ends = np.frombuffer(offsets, np.int64)[cells.offset:cells.offset + len(cells) + 1]
+    flat = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(np.uint32)
+    return np.repeat(np.arange(len(cells)), np.diff(ends) // 4), (flat >> COUNT_BITS).astype(np.int64), (flat & ((1 << COUNT_BITS) - 1)).astype(np.int64)
+
+
+def contexts(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, vocabulary: DataFrame | None, core: int) -> DataFrame:
+    """``word, own, cells``: how often each class stands before and after each word, over all texts; several rows a word.
 
     ``classes`` are those of the numbered words; the classes of all others come from a join with
-    ``vocabulary`` (None: they have none yet). The last token's right neighbour isn't counted.
+    ``vocabulary`` (None: they have none yet). The last token's right neighbour isn't counted. The first
+    ``core`` words keep their classes, so what stands beside them is only counted.
     """
     rest, whole = len(ids), vocabulary is not None
     shared = encoded.sparkSession.sparkContext.broadcast((list(ids), classes))
@@ -217,30 +248,29 @@ def contexts(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, voc
         total = np.zeros((rest, 2 * WIDTH), np.int32)
         for before, now, rare in _pairs(batches, rest):
             of = np.append(own, np.full(len(rare), WIDTH - 1))
-            more = np.zeros((len(rare), 2 * WIDTH), np.int32)
+            rare_word, rare_slot = [], []
             for word, slot, near in ((now, of[before], before), (before, WIDTH + of[now], now)):
                 if whole:
-                    word, slot = word[near < rest], slot[near < rest]
+                    here = (near < rest) | (word < core)
+                    word, slot = word[here], slot[here]
                 head = word < rest
-                np.add.at(total, (word[head], slot[head]), np.int32(1))
-                np.add.at(more, (word[~head] - rest, slot[~head]), np.int32(1))
-            for i in range(0, len(rare), 10_000):
-                yield _sides(rare[i:i + 10_000], more[i:i + 10_000])
-            if total.max(initial=0) > 1 << 30:
-                yield _sides(names, total)
+                np.add.at(total.reshape(-1), word[head] * (2 * WIDTH) + slot[head], np.int32(1))
+                rare_word.append(word[~head] - rest)
+                rare_slot.append(slot[~head])
+            yield _events(rare, np.concatenate(rare_word), np.concatenate(rare_slot))
+            if total.max(initial=0) > 1 << (COUNT_BITS - 1):
+                yield from _dense(names, total)
                 total[:] = 0
-        at = np.flatnonzero(total.any(axis=1))
-        for i in range(0, len(at), 10_000):
-            yield _sides([names[k] for k in at[i:i + 10_000]], total[at[i:i + 10_000]])
+        yield from _dense(names, total)
 
-    seen = encoded.mapInArrow(scan, _SIDES)
+    seen = encoded.mapInArrow(scan, _CELLS)
     if whole:
         def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """near (a word without a number), the word beside it, and whether near stands after it."""
             names, _ = shared.value
             for before, now, rare in _pairs(batches, rest):
                 every, size = names + rare, rest + len(rare)
-                left, right = before >= rest, now >= rest
+                left, right = (before >= rest) & (now >= core), (now >= rest) & (before >= core)
                 code, n = np.unique(np.concatenate(((before[left] * size + now[left]) * 2, (now[right] * size + before[right]) * 2 + 1)), return_counts=True)
                 near, word = np.divmod(code // 2, size)
                 yield pa.RecordBatch.from_arrays([pa.array([rare[k - rest] for k in near.tolist()], pa.binary()), pa.array([every[k] for k in word.tolist()], pa.binary()),
@@ -248,15 +278,15 @@ def contexts(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray, voc
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n = np.zeros((batch.num_rows, 2 * WIDTH), np.int64)
-                n[np.arange(batch.num_rows), batch.column("slot").to_numpy()] = batch.column("n").to_numpy()
-                yield _sides(batch.column("word").to_pylist(), n)
+                at = np.arange(batch.num_rows)
+                found = _cells(None, at, batch.column("slot").to_numpy(), batch.column("n").to_numpy())
+                yield pa.RecordBatch.from_arrays([batch.column("word"), pa.nulls(len(at), pa.int32()), found.column("cells")], names=["word", "own", "cells"])
 
         other = vocabulary.select(F.col("word").alias("near"), "class")
         more = (encoded.mapInArrow(beside, "near binary, word binary, after int, n bigint").join(other, "near")
-                .groupBy("word", (F.col("class") + F.col("after") * WIDTH).alias("slot")).agg(F.sum("n").alias("n")))
-        seen = seen.union(more.mapInArrow(spread, _SIDES))
-    return seen.groupBy("word").agg(*[F.sum(c).alias(c) for c in SIDES])
+                .select("word", (F.col("class") + F.col("after") * WIDTH).alias("slot"), "n"))
+        seen = seen.union(more.mapInArrow(spread, _CELLS))
+    return seen
 
 
 def assign(seen: DataFrame, core: dict[bytes, int], joint: np.ndarray, share: np.ndarray | None) -> DataFrame:
@@ -270,18 +300,41 @@ def assign(seen: DataFrame, core: dict[bytes, int], joint: np.ndarray, share: np
     likely[WIDTH:-1] = np.log(joint[:CLASSES] / joint[:CLASSES].sum(axis=1, keepdims=True)).T
     shared = seen.sparkSession.sparkContext.broadcast((core, likely))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def classed(words: list[bytes], n: np.ndarray) -> pa.RecordBatch:
         known, log = shared.value
-        for batch in batches:
-            n = np.stack([batch.column(c).to_numpy() for c in SIDES], axis=1)
-            own = (n @ log).argmax(axis=1).astype(np.int32)
-            none = ~(n[:, :WIDTH - 1].any(axis=1) | n[:, WIDTH:-1].any(axis=1))
-            own[none] = WIDTH - 1 if share is None else share[:CLASSES].argmax()
-            for i, word in enumerate(batch.column("word").to_pylist()):
-                own[i] = known.get(word, own[i])
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(n[:, :WIDTH].sum(axis=1)), pa.array(own)], names=["word", "n", "class"])
+        own = (n @ log).argmax(axis=1).astype(np.int32)
+        none = ~(n[:, :WIDTH - 1].any(axis=1) | n[:, WIDTH:-1].any(axis=1))
+        own[none] = WIDTH - 1 if share is None else share[:CLASSES].argmax()
+        for i, word in enumerate(words):
+            own[i] = known.get(word, own[i])
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n[:, :WIDTH].sum(axis=1)), pa.array(own)], names=["word", "n", "class"])
 
-    return written(seen.mapInArrow(scan, "word binary, n bigint, class int"), "word-classes")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by word; the last word of a batch may go on in the next."""
+        held: list[bytes] = []
+        n_held = np.zeros((1, 2 * WIDTH), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = batch.column("word").to_pylist()
+            new = np.array([True, *[a != b for a, b in zip(words, words[1:], strict=False)]])
+            run = np.cumsum(new) - 1
+            row, slot, times = _opened(batch.column("cells"))
+            n = np.zeros((run[-1] + 1, 2 * WIDTH), np.int64)
+            np.add.at(n.reshape(-1), run[row] * (2 * WIDTH) + slot, times)
+            if held and held[0] == words[0]:
+                n[0] += n_held[0]
+            elif held:
+                yield classed(held, n_held)
+            ended = [words[i] for i in np.flatnonzero(new).tolist()]
+            if len(ended) > 1:
+                yield classed(ended[:-1], n[:-1])
+            held, n_held = ended[-1:], n[-1:]
+        if held:
+            yield classed(held, n_held)
+
+    dealt = seen.select("word", "cells").repartition("word").sortWithinPartitions("word")
+    return written(dealt.mapInArrow(scan, "word binary, n bigint, class int"), "word-classes")
 
 
 def numbered(words: DataFrame, ids: dict[bytes, int]) -> np.ndarray:
@@ -305,33 +358,41 @@ def class_pairs(encoded: DataFrame, ids: dict[bytes, int], classes: np.ndarray,
     shared = encoded.sparkSession.sparkContext.broadcast(classes)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts by class, or by word where the word has no number (its class is null then, else the word)."""
-        total = np.zeros(WIDTH * WIDTH, np.int64)
+        """Bigrams with a number on one side at least: by the word without one, else by the class that comes first."""
+        of = shared.value
+        total = np.zeros((WIDTH, 2 * WIDTH), np.int64)
         for before, now, rare in _pairs(batches, rest):
-            size = WIDTH + len(rare)
-            of = np.append(shared.value, np.arange(WIDTH, size))
-            left, right = of[before], of[now]
-            known = (left < WIDTH) & (right < WIDTH)
-            total += np.bincount(left[known] * WIDTH + right[known], minlength=WIDTH * WIDTH)
-            code, n = np.unique(left[~known] * size + right[~known], return_counts=True)
-            yield row(code // size, code % size, n, rare)
-        at = np.flatnonzero(total)
-        yield row(at // WIDTH, at % WIDTH, total[at], [])
+            both, left, right = (before < rest) & (now < rest), (before >= rest) & (now < rest), (before < rest) & (now >= rest)
+            total[:, WIDTH:] += np.bincount(of[before[both]] * WIDTH + of[now[both]], minlength=WIDTH * WIDTH).reshape(WIDTH, WIDTH)
+            yield _events(rare, np.concatenate((before[left], now[right])) - rest, np.concatenate((WIDTH + of[now[left]], of[before[right]])))
+            if total.max() > 1 << (COUNT_BITS - 1):
+                yield from _dense(None, total)
+                total[:] = 0
+        yield from _dense(None, total)
 
-    def row(left: np.ndarray, right: np.ndarray, n: np.ndarray, rare: list[bytes]) -> pa.RecordBatch:
-        columns = []
-        for side in (left, right):
-            columns += [pa.array([rare[k - WIDTH] if k >= WIDTH else None for k in side.tolist()], pa.binary()), pa.array(side.astype(np.int32), mask=side >= WIDTH)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=["lw", "l", "rw", "r", "n"])
+    def unnumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bigrams of two words without a number."""
+        for before, now, rare in _pairs(batches, rest):
+            both = (before >= rest) & (now >= rest)
+            code, n = np.unique((before[both] - rest) * max(1, len(rare)) + now[both] - rest, return_counts=True)
+            left, right = np.divmod(code, max(1, len(rare)))
+            yield pa.RecordBatch.from_arrays([*[pa.array([rare[k] for k in side.tolist()], pa.binary()) for side in (left, right)], pa.array(n.astype(np.int64))], names=["lw", "rw", "n"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(WIDTH * WIDTH, np.int64)
+        for batch in batches:
+            row, slot, n = _opened(batch.column("cells"))
+            own = batch.column("own").to_numpy().astype(np.int64)[row]
+            np.add.at(total, np.where(slot < WIDTH, slot * WIDTH + own, own * WIDTH + slot - WIDTH), n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array((at // WIDTH).astype(np.int32)), pa.array((at % WIDTH).astype(np.int32)), pa.array(total[at])], names=["l", "r", "n"])
 
-    rows = written(encoded.mapInArrow(scan, "lw binary, l int, rw binary, r int, n bigint").groupBy("lw", "l", "rw", "r").agg(F.sum("n").alias("n")), "word-pairs")
     of = vocabulary.select("word", "class")
-    left = rows.filter("lw is null").select("l", "rw", "r", "n")
-    left = left.union(rows.filter("lw is not null").join(of, F.col("lw") == F.col("word")).select(F.col("class").alias("l"), "rw", "r", "n"))
-    left = left.groupBy("l", "rw", "r").agg(F.sum("n").alias("n"))
-    both = left.filter("rw is null").select("l", "r", "n")
-    both = both.union(left.filter("rw is not null").join(of, F.col("rw") == F.col("word")).select("l", F.col("class").alias("r"), "n"))
-    found = both.groupBy("l", "r").agg(F.sum("n").alias("n")).toArrow()
+    rows = encoded.mapInArrow(scan, _CELLS).join(of, "word", "left").select(F.coalesce("own", "class").alias("own"), "cells")
+    other = encoded.mapInArrow(unnumbered, "lw binary, rw binary, n bigint")
+    other = other.join(of, F.col("lw") == F.col("word")).select(F.col("class").alias("l"), "rw", "n")
+    other = other.join(of, F.col("rw") == F.col("word")).select("l", F.col("class").alias("r"), "n")
+    found = rows.mapInArrow(summed, "l int, r int, n bigint").union(other).groupBy("l", "r").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((WIDTH, WIDTH))
     out[found.column("l").to_numpy(), found.column("r").to_numpy()] = found.column("n").to_numpy()
     return out
@@ -364,10 +425,10 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     member = np.zeros((len(own), WIDTH))
     member[np.arange(len(own)), own] = 1
     classes = np.append(own, np.full(len(ids) - len(own), WIDTH - 1))
-    words = assign(contexts(encoded, ids, classes, None), core, member.T @ pairs @ member, None)
+    words = assign(contexts(encoded, ids, classes, None, len(core)), core, member.T @ pairs @ member, None)
     classes = numbered(words, ids)
     joint = class_pairs(encoded, ids, classes, words)
-    words = assign(contexts(encoded, ids, classes, words), core, joint, joint.sum(axis=0))
+    words = assign(contexts(encoded, ids, classes, words, len(core)), core, joint, joint.sum(axis=0))
     moves = class_pairs(encoded, ids, numbered(words, ids), words)
     class_tokens = moves.sum(axis=0)
     share = class_tokens / class_tokens.sum()
