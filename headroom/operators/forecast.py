@@ -123,7 +123,7 @@ def fit_from_cells(cells: DataFrame, params: ForecastParams = ForecastParams())
     moments = F.struct("dow", "mon", F.col("n_y").cast("double").alias("n"), "t_mean", "y_mean", "sxx", "sxy", "syy")
     f = cells.groupBy(*KEY).agg(
         F.sum("n").alias("n"), F.sum("n_y").alias("n_y"), F.max("max_t").alias("max_t"), F.max_by("last_y", "max_ds").alias("last_y"),
-        F.max("max_ds").alias("max_ds"), F.collect_list(F.when(F.col("n_y") > 0, moments)).alias("_cells"))  # 84 rows a part at most
+        F.max("max_ds").alias("max_ds"), F.sort_array(F.collect_list(F.when(F.col("n_y") > 0, moments))).alias("_cells"))  # 84 rows a part at most; in one order, however they come
     present = F.when(F.col("n_y") > 0, F.col("n_y").cast("double"))
     f = f.withColumns({"_t": _pooled(lambda c: c["n"] * c["t_mean"]) / present, "_y": _pooled(lambda c: c["n"] * c["y_mean"]) / present})
     dt, dy = (lambda c: c["t_mean"] - F.col("_t")), (lambda c: c["y_mean"] - F.col("_y"))
@@ -187,13 +187,12 @@ def forecast_all(series: DataFrame, horizons_weeks: Sequence[int] | None = None,
     All slots come from one pass over the series and one fit per resource: the seasonal fit's statistics
     already carry the linear OLS, so the linear (and, if asked for, the prophet) rows are the same
     fit rows projected with the linear prediction and interval. A fit row gives hundreds of forecast
-    rows; with ``spread`` the fits are dealt over so many tasks first, else over as many as their own
-    size asks for.
+    rows; with ``spread`` the series are dealt over so many tasks first and fitted where they are (for a
+    written series: its rows travel once, in place of its cells, which are wider and hardly fewer, and its
+    fits), else the fits come in as many tasks as their own size asks for.
     """
     horizons = params.resolved_horizons() if horizons_weeks is None else ForecastParams(tuple(horizons_weeks)).resolved_horizons()
-    fit = fit_seasonal(series, params)
-    if spread:
-        fit = fit.repartition(spread, *KEY)
+    fit = fit_seasonal(series.repartition(spread, *KEY) if spread else series, params)
 
     def slot(model: str) -> Column:
         own = model == SEASONAL

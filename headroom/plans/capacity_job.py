@@ -2,7 +2,7 @@
 
 Every stage boundary is a written table in the job folder (parquet), re-read by the next
 stage: lineage stays short, a lost executor only recomputes from the last written table,
-and the large raw input is scanned once. Stages that don't read each other's tables are submitted
+and the large raw input is scanned once. A stage's shuffle files go when its table is written. Stages that don't read each other's tables are submitted
 together, so the last tasks of one don't leave the cluster idle.
 """
 
@@ -23,7 +23,7 @@ from headroom.operators.cleaning import CLEANERS
 from headroom.operators.quality import broken, observe_quality, raise_on_violations
 from headroom.operators.trends import TREND_BUILDERS
 from headroom.plans.increment import DayStore
-from headroom.session import fresh_path
+from headroom.session import fresh_path, freed_shuffles
 from headroom.sources import adapters
 from headroom.sources.files import RAW_FILES, land_recommendations, read_all, write_bucketed, write_interim, write_sorted, write_table
 
@@ -147,9 +147,11 @@ def run_recommend(spark: SparkSession, trends, forecasts: DataFrame, out_dir: st
 
 
 def export_overview(trends, out_dir: str, log: dict) -> None:
-    """The overview as headered CSV by resource and date (``trends`` are written tables)."""
+    """The overview as headered CSV by resource and date (``trends`` are written tables).
+
+    Its files are gzipped: as plain text this one export, a row for each resource and day, would be a third of the job's disk."""
     _, log["utilization_overview"] = write_sorted(export.utilization_overview(trends), f"{out_dir}/export/utilization_overview",
-                                                  ("resource_type", "resource_id", "date"), "csv")
+                                                  ("resource_type", "resource_id", "date"), "csv", compression="gzip")
 
 
 def export_recommendations(recs: DataFrame, out_dir: str, log: dict) -> None:
@@ -193,8 +195,9 @@ def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, th:
     ``resume`` expects the same raw tables as the earlier run; a stage made with other
     horizons, thresholds or models is made again."""
     log: dict[str, int] = {}
-    trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
-    _run_after_trends(spark, trends, out_dir, log, horizons_weeks, th, rule_model, provider, responses, resume)
+    with freed_shuffles(spark):
+        trends = run_clean_and_trend(spark, raw, out_dir, log, resume)
+        _run_after_trends(spark, trends, out_dir, log, horizons_weeks, th, rule_model, provider, responses, resume)
     return log
 
 

@@ -26,6 +26,9 @@ from headroom.schemas import KINDS
 
 logger = logging.getLogger(__name__)
 
+#: Means, growth rates and forecasts are doubles of which the session's default (snappy) hardly takes anything off.
+PARQUET_CODEC = "zstd"
+
 RAW_FILES = {"compute": "compute_metrics", "storage": "storage_metrics", "network": "network_metrics"}
 
 
@@ -115,14 +118,18 @@ def read_all(spark: SparkSession, raw_dir: str, fmt: str = "csv", on_violation:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, label: str | None = None, rows_per_file: int = 0) -> tuple[str, int]:
+                partition_by: list[str] | None = None, label: str | None = None, rows_per_file: int = 0,
+                compression: str | None = None) -> tuple[str, int]:
     """Write ``df`` and return (path, rows) from an Observation of the same job; logs
-    ``[SAVED] <label>: <rows> rows -> <path>``."""
+    ``[SAVED] <label>: <rows> rows -> <path>``. ``compression`` is the codec (Parquet: PARQUET_CODEC,
+    text: none unless given; compressed text files are named for it, as ``.csv.gz``)."""
     obs = Observation(f"rows_{abs(hash(path))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression := compression or (PARQUET_CODEC if fmt == "parquet" else None):
+        w = w.option("compression", compression)
     if fmt == "csv":
         w.option("header", True).option("escape", "\"").csv(path)
     else:
@@ -133,7 +140,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", files: int | None = None,
-                 rows_per_file: int = 0, label: str | None = None) -> tuple[str, int]:
+                 rows_per_file: int = 0, label: str | None = None, compression: str | None = None) -> tuple[str, int]:
     """L1 at a sink: S5 in the order of ``keys`` (id, then time), as sorted files whose ranges don't overlap.
 
     Range bounds over all keys split a hot id by its time, so files stay of one size; a reader's
@@ -143,7 +150,7 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parq
     """
     order = [F.col(k).asc_nulls_last() for k in keys]
     placed = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    return write_table(placed.sortWithinPartitions(*order), path, fmt, label=label, rows_per_file=rows_per_file)
+    return write_table(placed.sortWithinPartitions(*order), path, fmt, label=label, rows_per_file=rows_per_file, compression=compression)
 
 
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, order: Sequence[str] = ()) -> DataFrame:

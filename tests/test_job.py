@@ -1,11 +1,16 @@
+import glob
 import os
+import re
 import tempfile
 
 import numpy as np
+import pyarrow.parquet as pq
 
-from headroom.plans.capacity_job import run_job
+from headroom.operators.forecast import forecast_all
+from headroom.plans.capacity_job import read_export, run_job
 from tests.conftest import day, hour
 from tests.frames import compute_df, network_df, storage_df
+from tests.test_plans import plan
 
 
 def test_job_end_to_end_small(spark):
@@ -114,3 +119,35 @@ def test_steps_run_together_and_log_in_order(spark):
     with pytest.raises(ValueError, match="bad"):
         _together(spark, log, step("bad"), step("c"))
     assert log["c"] == 3
+
+
+def _shuffle_files(spark) -> set[str]:
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_job_leaves_no_shuffle_files_and_small_tables(spark):
+    """The job's disk: each stage's shuffle goes with the stage, tables and the long export are compressed."""
+    compute = compute_df(spark, [(hour(h), f"cluster-{c}", 20.0 + c + h % 24, 40.0, 20.0 + c + h % 24) for c in range(3) for h in range(40 * 24)])
+    storage = storage_df(spark, [(day(i), f"storage-{s}", 500.0 + 4 * i, 1000.0, None, 30.0) for s in range(3) for i in range(40)])
+    network = network_df(spark, [(hour(h), f"link-{k}", 1000.0, 200.0 + h % 7, 20.0) for k in range(3) for h in range(40 * 24)])
+    out, key = tempfile.mkdtemp(prefix="headroom-job-"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(key)
+    run_job(spark, {"compute": compute, "storage": storage, "network": network}, out)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(key) == was
+    for t in ("compute_cleaned", "storage_trends", "series", "forecasts", "recommendations"):
+        codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in glob.glob(f"{out}/processed/{t}/*.parquet")
+                  if pq.ParquetFile(f).metadata.num_rows}
+        assert codecs == {"ZSTD"}, t
+    assert not glob.glob(f"{out}/export/utilization_overview/*.csv")
+    overview = read_export(spark, out, "utilization_overview", "resource_id string, resource_type string, date date, utilization_pct double")
+    assert overview.count() == 9 * 40 and overview.where("utilization_pct is null").count() == 0
+
+
+def test_forecasts_of_a_written_series_shuffle_its_rows_once(spark):
+    path = f"{tempfile.mkdtemp(prefix='headroom-series-')}/series"
+    spark.createDataFrame([("compute", f"c{c}", day(i).date(), float(i % 7), i) for c in range(4) for i in range(30)],
+                          "resource_type string, resource_id string, ds date, y double, t long").write.parquet(path)
+    found = plan(forecast_all(spark.read.parquet(path), [4], spread=6)).split("\n\n")[0]
+    assert len(re.findall(r"(?<!\w)Exchange", found)) == 1, found
